@@ -52,7 +52,7 @@ def _fold(text: Column, signs: tuple[str, ...], fold: Callable[[Column], Column]
 
 def normalize_archive_text(text: Column) -> Column:
     """Whitespace rule of the archive form: F10 (NBSP included), spaces around newlines, F9, F11."""
-    text = F.replace(text, F.lit(" "), F.lit(" "))
+    text = F.replace(text, F.lit("\u00a0"), F.lit(" "))
     text = _fold(text, ("  ", "\t", "\f", "\x0b"), collapse_spaces)
     text = _fold(text, (" \n", "\n "), lambda t: F.regexp_replace(t, " *+\n *+", "\n"))
     return strip_unicode(_fold(text, ("\n\n\n",), collapse_blank_lines))
