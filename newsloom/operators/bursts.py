@@ -48,7 +48,7 @@ def failure_burst(
     )
 
 
-def _triggers(times: np.ndarray, held: int, width: int, need: int) -> np.ndarray:
+def burst_triggers(times: np.ndarray, held: int, width: int, need: int) -> np.ndarray:
     """Places in a run where the count reaches ``need`` and is set to zero again.
 
     ``times`` starts with the ``held`` failures carried in; places count from there.
@@ -65,7 +65,7 @@ def _triggers(times: np.ndarray, held: int, width: int, need: int) -> np.ndarray
 
 def _carry(times: np.ndarray, held: int, width: int, need: int) -> int:
     """How many of the last failures still count after the run."""
-    hits = _triggers(times, held, width, need)
+    hits = burst_triggers(times, held, width, need)
     since = len(times) - 1 - hits[-1] if len(hits) else len(times)
     return int(min(need - 1, since))
 
@@ -154,7 +154,7 @@ def failure_burst_reset(
                 before = ahead.ts_micros[ahead.key == name].to_numpy()
                 held = int(part.held.fillna(0).iloc[0])
                 lead = before[len(before) - held:] if held else lead
-            hits = _triggers(np.concatenate([lead, times]), len(lead), width, need) - len(lead)
+            hits = burst_triggers(np.concatenate([lead, times]), len(lead), width, need) - len(lead)
             found.append(pd.DataFrame({"key": name, "ts_micros": times[hits]}))
         return pd.concat(found) if found else pd.DataFrame(columns=["key", "ts_micros"])
 
