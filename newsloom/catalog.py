@@ -150,7 +150,7 @@ def archive_posts(spark, sf):
 @query
 def whitespace_normalize(spark, sf):
     """F9-F11, both forms, on text with injected blank lines and spaces."""
-    rough = F.replace("text", F.lit(". "), F.lit(".  \t\n \n \n\n "))
+    rough = F.replace("text", F.lit(". "), F.lit(".\u00a0 \t\n \n\n "))
     return table(spark, sf, "documents").select(
         "doc_id", normalize_archive_text(rough).alias("archive_text"), normalize_page_text(rough).alias("page_text")
     )
@@ -515,7 +515,7 @@ def malformed_lines(spark, sf):
     line = to_json_line(*schemas.ARTICLES_ARCHIVE.fieldNames())
     cut = F.when(F.length("text") < 100, F.substring(line, 1, 40)).otherwise(line)
     document_records(spark, sf).select(cut.alias("value")).write.option("compression", "gzip").text(path)
-    rows = sources.read_articles(spark, path)
+    rows = sources.land_articles(spark, path)
     good = sources.drop_malformed(rows).select("id", F.lit(0).alias("malformed"))
     bad = sources.malformed_lines(rows).select(F.lit(None).cast("long").alias("id"), F.lit(1).alias("malformed"))
     return good.unionByName(bad)

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.functions.tags import BLOCK_TAGS, SKIP_TAGS, VOID_TAGS
 
@@ -56,7 +57,7 @@ def _block_text(markup: str) -> str:
     return html.unescape("".join(reader.out))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def block_text(markup: pd.Series) -> pd.Series:
     """Text of a page before whitespace rules; null stays null."""
     return markup.map(_block_text, na_action="ignore")

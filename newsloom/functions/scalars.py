@@ -43,12 +43,13 @@ def parse_progress_ts(text: Column) -> Column:
 
 
 def format_elapsed(seconds: Column) -> Column:
-    """HH:MM:SS, hours may pass 99."""
+    """HH:MM:SS, hours may pass 99; null for null."""
     whole = seconds.cast("long")
-    return F.format_string(
+    text = F.format_string(
         "%02d:%02d:%02d",
         F.floor(whole / 3600).cast("long"), F.floor(whole % 3600 / 60).cast("long"), whole % 60,
     )
+    return F.when(whole.isNotNull(), text)
 
 
 def ceil_div(total: Column, size: int) -> Column:

@@ -67,13 +67,13 @@ def page_space(e: str) -> str:
 LANG = "regexp_extract(url, '^[^:]+://[^/]+/([^/?#]+)', 1)"
 
 LINKS = """
-SELECT page_id, url AS page_url, u AS link, min(i) AS at
+SELECT page_id, url AS page_url, u AS link, min(i) AS place
 FROM (SELECT page_id, url, unnest(l) AS u, generate_subscripts(l, 1) AS i
       FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS l FROM pages))
 GROUP BY page_id, url, u
 """
 LINK_ROWS = f"""
-SELECT page_id, page_url, link, row_number() OVER (PARTITION BY page_id ORDER BY at) - 1 AS pos
+SELECT page_id, page_url, link, row_number() OVER (PARTITION BY page_id ORDER BY place) - 1 AS pos
 FROM ({LINKS})
 """
 
@@ -142,7 +142,7 @@ def sql() -> dict[str, str]:
     title = f"trim({decode(f'regexp_extract(html, $q${heading}$q$, 1)')}, {_STRIP})"
     ad = page_space(decode("""regexp_extract(html, '(?s)<div class="ad">([^<]*)</div>', 1)"""))
     day = "lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')"
-    rough = "replace(text, '. ', '.  ' || chr(9) || chr(10) || ' ' || chr(10) || ' ' || chr(10) || chr(10) || ' ')"
+    rough = "replace(text, '. ', '.' || chr(160) || ' ' || chr(9) || chr(10) || ' ' || chr(10) || chr(10) || ' ')"
     request = (
         "'https://news.example.com/wp-json/wp/v2/posts?page=' || CAST(page AS VARCHAR) || "
         "'&per_page=100&orderby=id&order=asc&status=publish&_fields=id%2Cdate%2Cmodified%2Clink%2Cslug"

@@ -22,7 +22,7 @@ from newsloom.operators.report import validation_report
 from newsloom.profile import SiteProfile
 from newsloom.session import scratch
 from newsloom.sinks.files import SHARD_ROWS, write_article_shards, write_report, write_url_list
-from newsloom.sources.files import drop_malformed, read_archive_pages, read_articles, read_pages
+from newsloom.sources.files import drop_malformed, land_articles, read_archive_pages, read_articles, read_pages
 from newsloom.sources.sitemaps import read_sitemaps
 from newsloom.streaming.sinks import append_first_seen, ingest_stream
 from newsloom.streaming.sources import stream_files
@@ -100,15 +100,9 @@ def page_job(
 
 
 def merge_job(spark: SparkSession, shards: str, out: str, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Shards of several runs -> one deduplicated corpus; returns the report.
-
-    Gzip lines are read once and stored as columns with their position: the text files
-    cannot be split, and everything after reads only what it needs.
-    """
-    landed = scratch(spark, "landed")
-    read_articles(spark, shards).write.parquet(landed)
-    rows = spark.read.parquet(landed)
-    records = dedup_keep_first(drop_malformed(rows), "id", "ingest_pos").drop("ingest_pos")
+    """Shards of several runs -> one deduplicated corpus; returns the report."""
+    rows = drop_malformed(land_articles(spark, shards))
+    records = dedup_keep_first(rows, "id", "ingest_pos").drop("ingest_pos")
     write_article_shards(records, f"{out}/articles", shard_rows)
     return report_job(spark, f"{out}/articles", f"{out}/report", schemas.ARTICLES_ARCHIVE)
 

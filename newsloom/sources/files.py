@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom import schemas
+from newsloom.session import scratch
 
 
 def _json(spark: SparkSession, schema: T.StructType, **options: str):
@@ -39,13 +40,27 @@ def read_articles(
     return rows.withColumn("ingest_pos", file_position())
 
 
+def land_articles(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.ARTICLES_ARCHIVE
+) -> DataFrame:
+    """S2, once: parse the lines and store them as columns in the shared folder.
+
+    Gzip text cannot be split and is parsed whole for every query; what follows reads
+    only the columns it needs, and each row keeps the position it got here.
+    """
+    landed = scratch(spark, "landed")
+    rows = read_articles(spark, path, schema)
+    rows.write.parquet(landed)
+    return spark.read.schema(rows.schema).parquet(landed)
+
+
 def drop_malformed(rows: DataFrame) -> DataFrame:
     """P10: complete records only."""
     return rows.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT)
 
 
 def malformed_lines(rows: DataFrame) -> DataFrame:
-    """P10: the lines for quarantine."""
+    """P10: the lines for quarantine (of landed rows)."""
     return rows.where(F.col(schemas.CORRUPT).isNotNull()).select("ingest_pos", schemas.CORRUPT)
 
 
