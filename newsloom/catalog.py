@@ -21,12 +21,12 @@ from newsloom.functions.scalars import (
     backoff_seconds, ceil_div, classify_outcome, format_elapsed, page_backoff_seconds, percent, to_json_line,
 )
 from newsloom.functions.urls import (
-    archive_request_url, is_article_url, listing_links, listing_page_num, listing_page_url, url_host, url_path,
+    add_listing_links, archive_request_url, is_article_url, listing_page_num, listing_page_url, url_host, url_path,
     url_scheme, without_query,
 )
 from newsloom.operators import bursts, dedup, joins, ledger, listing, numbering, report
 from newsloom.profile import SiteProfile
-from newsloom.session import scratch
+from newsloom.session import scratch, spread
 from newsloom.sinks import files as sinks
 from newsloom.sources import files as sources
 from newsloom.sources.sitemaps import sitemap_entries
@@ -64,6 +64,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def site_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return sources.read_pages(spark, f"{sf}/pages.parquet")
+
+
 def long(column) -> F.Column:
     return (F.col(column) if isinstance(column, str) else column).cast("long")
 
@@ -73,7 +77,7 @@ def long(column) -> F.Column:
 @query
 def html_plain_text(spark, sf):
     """F1, F8-F11, S6."""
-    pages = sources.read_pages(spark, f"{sf}/pages.parquet")
+    pages = site_pages(spark, sf)
     text = add_html_text(pages, {"text": F.col("html")})
     return text.select("page_id", "text", long(F.length("text")).alias("char_count"))
 
@@ -81,14 +85,13 @@ def html_plain_text(spark, sf):
 @query
 def html_plain_text_parser(spark, sf):
     """The parser for every page."""
-    pages = table(spark, sf, "pages")
-    return pages.select("page_id", html_to_text_exact(F.col("html")).alias("text"))
+    return html_to_text_exact(site_pages(spark, sf), "html", "text").select("page_id", "text")
 
 
 @query
 def article_extract(spark, sf):
     """P4-P6, F2, F3, F5, F6, F9-F11."""
-    articles = extract_article(table(spark, sf, "pages"), PROFILE, keep=("page_id",))
+    articles = extract_article(site_pages(spark, sf), PROFILE, keep=("page_id",))
     return articles.select(
         "page_id", "url", "title", "category", "published_date", "body_text", long("char_count").alias("char_count")
     )
@@ -97,7 +100,7 @@ def article_extract(spark, sf):
 @query
 def article_extract_parser(spark, sf):
     """P4, F3, F4 by the parser: the container is a ``div``."""
-    articles = extract_article(table(spark, sf, "pages"), AD_PROFILE, keep=("page_id",))
+    articles = extract_article(site_pages(spark, sf), AD_PROFILE, keep=("page_id",))
     return articles.select("page_id", "title", "body_text", long("char_count").alias("char_count"))
 
 
@@ -106,7 +109,7 @@ def page_posts(spark, sf) -> DataFrame:
     html, path = F.col("html"), url_path(F.col("url"))
     rendered = lambda c: F.struct(c.alias("rendered"))
     day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
-    return table(spark, sf, "pages").select(
+    return site_pages(spark, sf).select(
         F.col("page_id").alias("id"),
         F.concat(F.lit("2024-01-"), day, F.lit("T08:00:00")).alias("date"),
         F.concat(F.lit("2024-02-"), day, F.lit("T08:00:00")).alias("modified"),
@@ -151,8 +154,10 @@ def archive_posts(spark, sf):
 def whitespace_normalize(spark, sf):
     """F9-F11, both forms, on text with injected blank lines and spaces."""
     rough = F.replace("text", F.lit(". "), F.lit(".\u00a0 \t\n \n\n "))
-    return table(spark, sf, "documents").select(
-        "doc_id", normalize_archive_text(rough).alias("archive_text"), normalize_page_text(rough).alias("page_text")
+    docs = table(spark, sf, "documents").select("doc_id", rough.alias("rough"))
+    return docs.select(
+        "doc_id", normalize_archive_text("rough").alias("archive_text"),
+        normalize_page_text(F.col("rough")).alias("page_text"),
     )
 
 
@@ -180,17 +185,19 @@ def distinct_sorted_urls(spark, sf):
 @query
 def listing_link_list(spark, sf):
     """F7, D3, S5."""
-    links = F.posexplode(listing_links(F.col("html"), PROFILE, absolute=False)).alias("pos", "link")
-    rows = table(spark, sf, "pages").select("page_id", listing_page_num(F.col("url")).alias("page_num"), links)
+    pages = add_listing_links(site_pages(spark, sf), PROFILE, absolute=False)
+    rows = pages.select(
+        "page_id", listing_page_num(F.col("url")).alias("page_num"), F.posexplode("links").alias("pos", "link")
+    )
     return rows.select("page_id", long("page_num").alias("page_num"), long("pos").alias("pos"), "link")
 
 
 def nav_links(spark, sf) -> DataFrame:
     """Links of the pages, as if each language were a category and each page a listing page."""
-    return table(spark, sf, "pages").select(
+    return add_listing_links(site_pages(spark, sf), PROFILE, absolute=False).select(
         F.regexp_extract("url", r"^[^:]+://[^/]+/([^/?#]+)", 1).alias("category_slug"),
         (F.col("page_id") + 1).cast("int").alias("page_num"),
-        F.posexplode(listing_links(F.col("html"), PROFILE, absolute=False)).alias("pos", "url"),
+        F.posexplode("links").alias("pos", "url"),
     )
 
 
@@ -264,13 +271,13 @@ def listing_requests(spark, sf):
 def sitemap_discovery(spark, sf):
     """One sitemap document per page, cut short where the page is."""
     loc = lambda u: F.concat(F.lit("<url><loc>https://news.example.com/en"), u, F.lit("</loc></url>"))
-    links = listing_links(F.col("html"), PROFILE, absolute=False)
     xml = F.concat(
         F.lit('<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
-        F.array_join(F.transform(links, loc), ""),
+        F.array_join(F.transform("links", loc), ""),
         F.when(F.col("html").contains("</html>"), F.lit("</urlset>")).otherwise(F.lit("<url><loc>")),
     )
-    files = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("file"), xml.alias("value"))
+    pages = add_listing_links(site_pages(spark, sf), PROFILE, absolute=False)
+    files = pages.select(F.col("page_id").cast("string").alias("file"), xml.alias("value"))
     entries = sitemap_entries(files)
     return dedup.distinct_urls(
         entries.where((F.col("kind") == "url") & is_article_url(F.col("loc"), PROFILE)).withColumnRenamed("loc", "url")
@@ -409,7 +416,7 @@ def validation_report(spark, sf):
 @query
 def validation_report_pages(spark, sf):
     """A1 over extracted page text."""
-    text = add_html_text(table(spark, sf, "pages"), {"text": F.col("html")})
+    text = add_html_text(site_pages(spark, sf), {"text": F.col("html")})
     return report.validation_report(text, key="page_id", title=None, published=None)
 
 
@@ -422,8 +429,9 @@ def count_by_category(spark, sf):
 @query
 def count_by_category_id(spark, sf):
     """A2, archive form: category ids are the lengths of a page's links."""
-    ids = F.transform(listing_links(F.col("html"), PROFILE, absolute=False), lambda u: F.length(u).cast("long"))
-    return report.count_by_category_id(table(spark, sf, "pages").select(ids.alias("categories")))
+    pages = add_listing_links(site_pages(spark, sf), PROFILE, absolute=False)
+    ids = F.transform("links", lambda u: F.length(u).cast("long"))
+    return report.count_by_category_id(pages.select(ids.alias("categories")))
 
 
 @query
@@ -488,7 +496,7 @@ def document_records(spark, sf) -> DataFrame:
     """Documents in the 12-field record shape."""
     none = F.lit(None).cast("string")
     ids = F.array().cast("array<bigint>")
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         F.col("doc_id").alias("id"), none.alias("url"), F.col("lang").alias("slug"),
         none.alias("published_at"), none.alias("modified_at"), F.col("source").alias("title"),
         "text", F.lit("").alias("excerpt"), F.array("n_chars").alias("categories"), ids.alias("tags"),

@@ -6,26 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.columns import bind, normalize_page_text, strip_unicode
-from newsloom.functions.htmltext import decode_entities
+from newsloom.functions.htmltext import add_decoded
 from newsloom.functions.parser import article_pieces
 from newsloom.functions.urls import attribute, class_has
 from newsloom.profile import SiteProfile
 
+_BREAK = "\x1e"
 _COMMENT_OR_RAW = (
     r"(?is)<(?:!--.*?-->|script(?:\s[^>]*)?>.*?</script\s*>|style(?:\s[^>]*)?>.*?</style\s*>)"
 )
 
 
-def _decoded(text: Column) -> Column:
-    return bind(text, lambda t: F.coalesce(decode_entities(t), t))
-
-
 def _first_text_node(inner: Column) -> Column:
     """Text up to the first tag that follows it."""
     return F.regexp_extract(inner, r"(?s)^(?:<[^>]*>)*([^<]+)", 1)
 
 
-def article_title(html: Column, profile: SiteProfile) -> Column:
+def title_node(html: Column, profile: SiteProfile) -> Column:
     """first text node of the title heading, else of a heading inside ``article``."""
     fallback = _first_text_node(
         F.regexp_extract(html, r"(?is)<article(?:\s[^>]*)?>.*?<h1(?:\s[^>]*)?>(.*?)</h1\s*>", 1)
@@ -40,7 +37,7 @@ def article_title(html: Column, profile: SiteProfile) -> Column:
             F.transform(titled, lambda h: F.regexp_extract(h, r"(?s)^<[^>]*>([^<]+)", 1)), lambda t: t != ""
         )
         raw = F.coalesce(F.try_element_at(nodes, F.lit(1)), fallback)
-    return strip_unicode(_decoded(raw))
+    return raw
 
 
 def article_published(html: Column, profile: SiteProfile) -> Column:
@@ -65,8 +62,8 @@ def choose_category(labels: Column, profile: SiteProfile) -> Column:
     return F.try_element_at(good, F.lit(1))
 
 
-def article_category(html: Column, profile: SiteProfile) -> Column:
-    """category named by the page's own category links, null if none qualifies."""
+def category_labels(html: Column) -> Column:
+    """text of the page's own category links, joined into one text."""
     links = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*>[^<]*"), 0)
     ours = F.filter(
         links,
@@ -75,15 +72,14 @@ def article_category(html: Column, profile: SiteProfile) -> Column:
             lambda href: href.contains("/category/") & ~href.contains("/page/"),
         ),
     )
-    labels = F.transform(ours, lambda a: _decoded(F.regexp_extract(a, r"(?s)^<[^>]*>(.*)$", 1)))
-    return choose_category(labels, profile)
+    return F.array_join(F.transform(ours, lambda a: F.regexp_extract(a, r"(?s)^<[^>]*>(.*)$", 1)), _BREAK)
 
 
 def container_text(html: Column, tag: str) -> Column:
     """F3 for a container that does not nest: its text content, null when absent."""
     inner = F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
     text = F.regexp_replace(F.regexp_replace(inner, _COMMENT_OR_RAW, ""), "<[^>]*>", "")
-    return F.when(html.rlike(rf"(?i)<{tag}[\s>]"), _decoded(text))
+    return F.when(html.rlike(rf"(?i)<{tag}[\s>]"), text)
 
 
 def keep_valid_article(articles: DataFrame, profile: SiteProfile) -> DataFrame:
@@ -117,12 +113,22 @@ def extract_article(
             choose_category(F.col("p.category_labels"), profile).alias("__named"),
         )
     else:
-        fields = pages.select(
-            *carried, default_category.alias("__default"),
-            article_title(html, profile).alias("title"),
-            normalize_page_text(container_text(html, profile.body_tag)).alias("body_text"),
-            article_published(html, profile).alias("published_date"),
-            article_category(html, profile).alias("__named"),
+        raw = add_decoded(
+            pages.select(
+                *carried, default_category.alias("__default"), "html",
+                article_published(html, profile).alias("published_date"),
+            ),
+            {
+                "__title": title_node(html, profile),
+                "__body": container_text(html, profile.body_tag),
+                "__labels": category_labels(html),
+            },
+        )
+        fields = raw.select(
+            *carried, "__default", "published_date",
+            strip_unicode(F.col("__title")).alias("title"),
+            normalize_page_text(F.col("__body")).alias("body_text"),
+            choose_category(F.split("__labels", _BREAK), profile).alias("__named"),
         )
     valid = keep_valid_article(fields, profile)
     return valid.select(

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # are whitespace for str.strip() and re in Python 3 but not for Java.
 UNICODE_SPACE = r"[\s\x1c-\x1f]"
 
+NL, NBSP = "\n", "\u00a0"
+
 # Every character str.strip() removes.
 STRIPPED = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -28,36 +30,43 @@ def strip_unicode(text: Column) -> Column:
     return F.btrim(text, F.lit(STRIPPED))
 
 
-def collapse_blank_lines(text: Column, page_form: bool = False) -> Column:
-    """archive form folds 3+ newlines, page form folds blank lines with spaces."""
-    pattern = rf"(?U)\n{UNICODE_SPACE}*\n+" if page_form else r"\n{3,}"
-    return F.regexp_replace(text, pattern, "\n\n")
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def bind_sql(value: str, name: str, body: str) -> str:
+    """``bind`` for SQL text: evaluate ``value`` once, as ``name`` inside ``body``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def collapse_spaces(text: Column, page_form: bool = False) -> Column:
-    """runs of horizontal whitespace become one space."""
-    return F.regexp_replace(text, r"[ \t]++" if page_form else r"[ \t\f\x0B]++", " ")
+def replace_sql(value: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({value}, {quoted(pattern)}, {quoted(by)})"
 
 
-def _fold(text: Column, signs: tuple[str, ...], fold: Callable[[Column], Column]) -> Column:
+def _fold_sql(value: str, signs: tuple[str, ...], pattern: str, by: str) -> str:
     """Run a regex only on text that holds something for it to do."""
-    def choose(t: Column) -> Column:
-        found = t.contains(signs[0])
-        for sign in signs[1:]:
-            found = found | t.contains(sign)
-        return F.when(found, fold(t)).otherwise(t)
+    found = " OR ".join(f"contains(t, {quoted(sign)})" for sign in signs)
+    return bind_sql(value, "t", f"CASE WHEN {found} THEN {replace_sql('t', pattern, by)} ELSE t END")
+
+
+def archive_text_sql(value: str) -> str:
+    """Whitespace rule of the archive form: F10 (NBSP included), spaces around newlines, F9, F11.
 
-    return bind(text, choose)
+    Long rules are written as SQL text: one call builds them, where a Column chain
+    takes a round trip to the JVM per function.
+    """
+    value = f"replace({value}, {quoted(NBSP)}, ' ')"
+    value = _fold_sql(value, ("  ", "\t", "\f", "\x0b"), r"[ \t\f\x0B]++", " ")
+    value = _fold_sql(value, (" \n", "\n "), " *+\n *+", "\n")
+    return f"btrim({_fold_sql(value, (NL * 3,), NL + '{3,}', NL * 2)}, {quoted(STRIPPED)})"
 
 
-def normalize_archive_text(text: Column) -> Column:
-    """Whitespace rule of the archive form: F10 (NBSP included), spaces around newlines, F9, F11."""
-    text = F.replace(text, F.lit("\u00a0"), F.lit(" "))
-    text = _fold(text, ("  ", "\t", "\f", "\x0b"), collapse_spaces)
-    text = _fold(text, (" \n", "\n "), lambda t: F.regexp_replace(t, " *+\n *+", "\n"))
-    return strip_unicode(_fold(text, ("\n\n\n",), collapse_blank_lines))
+def normalize_archive_text(column: str) -> Column:
+    return F.expr(archive_text_sql(f"`{column}`"))
 
 
 def normalize_page_text(text: Column) -> Column:
     """Whitespace rule of the page form: F11, then F9, then F10."""
-    return collapse_spaces(collapse_blank_lines(strip_unicode(text), page_form=True), page_form=True)
+    text = F.regexp_replace(strip_unicode(text), rf"(?U)\n{UNICODE_SPACE}*\n+", "\n\n")
+    return F.regexp_replace(text, r"[ \t]++", " ")

@@ -1,9 +1,9 @@
 """F1/F8: HTML to text, as Columns wherever regexes can read the page.
 
-``fast_block_text`` reads well-formed pages inside the JVM and answers null when it
-meets something only a parser reads right (nested or unclosed skipped elements, broken
-tags, rare character references). ``add_html_text`` sends just those pages to the
-parser, so the result is exact for all of them.
+``fast_block_text`` reads usual pages inside the JVM and answers null when it meets
+something only a parser reads right (nested or unclosed skipped elements, broken tags,
+unusual character references). ``add_html_text`` sends just those pages to the parser,
+so the result is exact for all of them.
 """
 
 from __future__ import annotations
@@ -11,20 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.columns import bind, normalize_archive_text
-from newsloom.functions.parser import block_text
+from newsloom.functions.columns import (
+    archive_text_sql, bind_sql, normalize_archive_text, quoted, replace_sql,
+)
+from newsloom.functions.parser import block_text, unescape
 from newsloom.functions.tags import BLOCK_TAGS, SKIP_TAGS
 
-# Named character references the Column path decodes. "loose" ones also
-# count without a semicolon, as HTML allows for the oldest names.
-LOOSE_ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy": "\u00a9",
-    "reg": "\u00ae", "middot": "\u00b7", "laquo": "\u00ab", "raquo": "\u00bb",
-}
-STRICT_ENTITIES = {
-    "apos": "'", "hellip": "\u2026", "ndash": "\u2013", "mdash": "\u2014",
-    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d",
-    "bull": "\u2022", "zwnj": "\u200c", "zwj": "\u200d", "trade": "\u2122", "euro": "\u20ac",
+# The character references news pages are full of, in order of decoding
+# ("&" is last, so that nothing is decoded twice in one round).
+USUAL_REFERENCES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&#039;": "'", "&apos;": "'",
+    "&nbsp;": "\u00a0", "&#160;": "\u00a0", "&copy;": "\u00a9", "&middot;": "\u00b7",
+    "&hellip;": "\u2026", "&#8230;": "\u2026", "&ndash;": "\u2013", "&#8211;": "\u2013",
+    "&mdash;": "\u2014", "&#8212;": "\u2014", "&lsquo;": "\u2018", "&#8216;": "\u2018",
+    "&rsquo;": "\u2019", "&#8217;": "\u2019", "&ldquo;": "\u201c", "&#8220;": "\u201c",
+    "&rdquo;": "\u201d", "&#8221;": "\u201d", "&#38;": "&", "&#038;": "&", "&amp;": "&",
 }
 
 # Every pattern starts with "<", so that the matcher leaves other characters at once,
@@ -55,90 +56,64 @@ _SELF_CLOSED = rf"""(?i)<(?:{_BLOCKS})(?:\s{_ATTRS}(?<=["'\s]/)|/)>"""
 _BLOCK = rf"(?i)<(?:/(?:{_BLOCKS})\s*+|(?:{_BLOCKS})(?:[\s/]{_ATTRS})?)>"
 _OTHER = rf"(?i)<(?!/?(?:{_HIDDEN})[\s/>])(?:[a-z][^\s/<>]*+(?:[\s/]{_ATTRS})?|/[a-z][^\s/<>]*+\s*+)>"
 
-_STRICT = "|".join(STRICT_ENTITIES)
-_LOOSE = "|".join(LOOSE_ENTITIES)
-# What may follow an ampersand: a number, a known name, or plain text. Any other name
-# followed by ";" may be one of the 2,000-odd rarer ones and is left to the parser.
-_REF = (
-    rf"^(?:#[0-9]{{1,7}};|#[xX][0-9a-fA-F]{{1,6}};|(?:{_STRICT});"
-    rf"|(?:{_LOOSE})(?:;|(?![A-Za-z0-9])))"
-)
-_PLAIN = r"^(?:$|[^#A-Za-z]|[A-Za-z][A-Za-z0-9]*+(?!;)|#(?![0-9xX]))"
-# Old names that count as a prefix of a longer word ("&notice" reads as a sign + "ice").
-_OLD_NAME = (
-    rf"^(?:{_LOOSE}|AMP|LT|GT|QUOT|COPY|REG|[Cc]cedil|[Nn]tilde|[Oo]slash|[Ee]th|ETH|THORN|thorn"
-    r"|[A-Za-z](?:grave|acute|circ|tilde|uml|ring)|szlig|AElig|aelig|iexcl|iquest|cent|pound"
-    r"|curren|yen|brvbar|sect|uml|ord[fm]|not|shy|macr|deg|plusmn|sup[123]|acute|micro|para"
-    r"|cedil|frac|times|divide)"
-)
+_TO_AMP = ("&amp;", "&#38;", "&#038;")
+_NAMES = "|".join(ref[1:] for ref in USUAL_REFERENCES if ref not in _TO_AMP)
+_AMPS = "|".join(ref[1:] for ref in _TO_AMP)
+# A reference the list does not have; for two rounds also one that the first round makes.
+_ODD_ONCE = rf"&(?!(?:{_NAMES}|{_AMPS}))[#A-Za-z]"
+_ODD_TWICE = rf"&(?!(?:{_NAMES}|(?:{_AMPS})(?![#A-Za-z])))[#A-Za-z]"
 
 
-def _reference_char(ref: Column) -> Column:
-    digits = F.regexp_replace(ref, "[#xX;]", "")
-    number = F.when(ref.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
-    # Numbers with a plain reading; the rest (controls, surrogates) go to the parser.
-    plain = (
-        number.between(0x20, 0x7E) | number.between(0xA0, 0xD7FF) | number.between(0xE000, 0xFDCF)
-        | number.between(0xFDF0, 0xFFFD) | number.between(0x10000, 0x1FFFD)
-    )
-    char = F.when(plain, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-    known = F.create_map(
-        *[F.lit(v) for pair in {**LOOSE_ENTITIES, **STRICT_ENTITIES}.items() for v in pair]
-    )
-    named = F.try_element_at(known, F.regexp_replace(ref, ";", ""))
-    return F.when(ref.startswith("#"), char).otherwise(named)
+def decode_usual_sql(value: str) -> str:
+    """Decode the usual references, one round."""
+    for reference, char in USUAL_REFERENCES.items():
+        value = f"replace({value}, {quoted(reference)}, {quoted(char)})"
+    return value
 
 
-def _decode_head(piece: Column) -> Column:
-    """Decode the reference at the head of text that followed an ampersand."""
-    return bind(
-        F.regexp_extract(piece, _REF, 0),
-        lambda ref: F.when(
-            ref != "", F.concat(_reference_char(ref), F.substring(piece, F.length(ref) + 1, F.length(piece)))
-        ).when(piece.rlike(_PLAIN) & ~piece.rlike(_OLD_NAME), F.concat(F.lit("&"), piece)),
-    )
+def add_decoded(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+    """F8, one round, exact: add one decoded column per entry of ``texts``.
 
+    Text with an unusual reference goes to Python, all other text stays in the JVM.
+    """
+    raw = df.withColumns({f"__raw_{name}": text for name, text in texts.items()})
+    out = raw.withColumns({
+        name: F.coalesce(
+            unescape(F.expr(f"CASE WHEN `__raw_{name}` RLIKE {quoted(_ODD_ONCE)} THEN `__raw_{name}` END")),
+            F.expr(decode_usual_sql(f"`__raw_{name}`")),
+        )
+        for name in texts
+    })
+    return out.drop(*[f"__raw_{name}" for name in texts])
 
-def decode_entities(text: Column) -> Column:
-    """F8, one round: null when a reference outside the lists is met."""
-    def from_pieces(pieces: Column) -> Column:
-        tail = F.transform(F.slice(pieces, 2, F.size(pieces)), _decode_head)
-        joined = F.concat(pieces[0], F.array_join(tail, ""))
-        return F.when(~F.exists(tail, lambda p: p.isNull()), joined)
 
-    return bind(
-        text,
-        lambda t: F.when(F.instr(t, "&") == 0, t).otherwise(bind(F.split(t, "&"), from_pieces)),
+def _block_text_sql(value: str) -> str:
+    # A hidden element around others becomes flat once those are gone.
+    seen = bind_sql(
+        replace_sql(f"coalesce({value}, '')", _UNSEEN, ""), "p",
+        f"CASE WHEN p RLIKE {quoted(rf'(?i)<(?:{_HIDDEN})[' + chr(92) + 's>]')}"
+        f" THEN {replace_sql('p', _UNSEEN, '')} ELSE p END",
     )
+    text = replace_sql(seen, _SELF_CLOSED, "\n\n")
+    text = replace_sql(replace_sql(text, _BLOCK, "\n"), _OTHER, "")
+    odd = quoted(rf"<[A-Za-z/!?]|{_ODD_TWICE}")
+    return bind_sql(text, "t", f"CASE WHEN NOT t RLIKE {odd} THEN {decode_usual_sql('t')} END")
 
 
-def fast_block_text(markup: Column) -> Column:
+def fast_block_text(column: str) -> Column:
     """Visible text with block edges as newlines, or null if a parser is needed."""
-    def drop_tags(page: Column) -> Column:
-        # A hidden element around others becomes flat once those are gone.
-        page = F.when(
-            page.rlike(rf"(?i)<(?:{_HIDDEN})[\s>]"), F.regexp_replace(page, _UNSEEN, "")
-        ).otherwise(page)
-        text = F.regexp_replace(page, _SELF_CLOSED, "\n\n")
-        text = F.regexp_replace(text, _BLOCK, "\n")
-        text = F.regexp_replace(text, _OTHER, "")
-        return bind(text, lambda t: F.when(~t.rlike(r"<[A-Za-z/!?]"), t))
-
-    seen = bind(F.regexp_replace(F.coalesce(markup, F.lit("")), _UNSEEN, ""), drop_tags)
-    return bind(
-        decode_entities(seen),
-        lambda t: F.when(~t.rlike("&[#A-Za-z]"), t).otherwise(decode_entities(t)),
-    )
+    return F.expr(_block_text_sql(f"`{column}`"))
 
 
-def html_to_text(markup: Column) -> Column:
+def html_to_text(column: str) -> Column:
     """F1 for markup known to be plain: null where the parser would be needed."""
-    return normalize_archive_text(fast_block_text(markup))
+    return F.expr(archive_text_sql(_block_text_sql(f"`{column}`")))
 
 
-def html_to_text_exact(markup: Column) -> Column:
-    """The parser for every row."""
-    return normalize_archive_text(block_text(F.coalesce(markup, F.lit(""))))
+def html_to_text_exact(df: DataFrame, column: str, to: str) -> DataFrame:
+    """F1 by the parser for every row."""
+    parsed = df.withColumn(to, block_text(F.coalesce(column, F.lit(""))))
+    return parsed.withColumn(to, normalize_archive_text(to))
 
 
 def add_html_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
@@ -147,15 +122,14 @@ def add_html_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
     The fallback input is null for pages the Column path could read, so the Python
     worker receives only the markup it is needed for.
     """
-    fast = df.withColumns({f"__fast_{name}": fast_block_text(m) for name, m in texts.items()})
-    hard = fast.withColumns({
-        f"__hard_{name}": F.when(F.col(f"__fast_{name}").isNull(), F.coalesce(m, F.lit("")))
-        for name, m in texts.items()
-    })
-    out = hard.withColumns({
-        name: normalize_archive_text(
-            F.coalesce(F.col(f"__fast_{name}"), block_text(F.col(f"__hard_{name}")))
+    raw = df.withColumns({f"__raw_{name}": markup for name, markup in texts.items()})
+    fast = raw.withColumns({f"__fast_{name}": fast_block_text(f"__raw_{name}") for name in texts})
+    shown = fast.withColumns({
+        f"__shown_{name}": F.coalesce(
+            F.col(f"__fast_{name}"),
+            block_text(F.when(F.col(f"__fast_{name}").isNull(), F.coalesce(f"__raw_{name}", F.lit("")))),
         )
         for name in texts
     })
-    return out.drop(*[f"__{kind}_{name}" for kind in ("fast", "hard") for name in texts])
+    out = shown.withColumns({name: normalize_archive_text(f"__shown_{name}") for name in texts})
+    return out.drop(*[f"__{kind}_{name}" for kind in ("raw", "fast", "shown") for name in texts])

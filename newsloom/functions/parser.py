@@ -58,11 +58,22 @@ def _block_text(markup: str) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def block_text(markup: pd.Series) -> pd.Series:
-    """Text of a page before whitespace rules; null stays null."""
+def _block_texts(markup: pd.Series) -> pd.Series:
     return markup.map(_block_text, na_action="ignore")
 
 
+@F.pandas_udf(T.StringType())
+def _unescaped(text: pd.Series) -> pd.Series:
+    return text.map(html.unescape, na_action="ignore")
+
+
+# Text of a page before whitespace rules, and one round of decoding; null stays null.
+# Marked as they are so that a filter on their result is not pushed below them, where
+# everything it rests on would be computed a second time.
+block_text = _block_texts.asNondeterministic()
+unescape = _unescaped.asNondeterministic()
+
+
 class _Article(HTMLParser):
     """Raw pieces of one article page: title nodes, container text, dates, categories."""
 
@@ -163,4 +174,4 @@ def article_pieces(markup: Column, profile) -> Column:
             columns=["title", "body", "published", "category_labels"],
         )
 
-    return pieces(markup)
+    return pieces.asNondeterministic()(markup)

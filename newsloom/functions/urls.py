@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.columns import bind
-from newsloom.functions.htmltext import decode_entities
+from newsloom.functions.htmltext import add_decoded
 from newsloom.profile import SiteProfile
 
 
@@ -64,11 +64,11 @@ def attribute(tag: Column, name: str) -> Column:
     return F.when(found != "", F.regexp_replace(found, "^[\"']|[\"']$", ""))
 
 
-def listing_links(html: Column, profile: SiteProfile, absolute: bool = True) -> Column:
-    """F7 + D3: the first link of every listing item, filtered, in order, once each.
+_BREAK = "\x1e"
 
-    ``absolute=False`` keeps links of any form (site-relative ones too).
-    """
+
+def _raw_links(html: Column, profile: SiteProfile) -> Column:
+    """Address of the first link of every listing item, joined into one text."""
     tag = profile.listing_tag
     items = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>"), 0)
     if profile.listing_class:
@@ -79,12 +79,20 @@ def listing_links(html: Column, profile: SiteProfile, absolute: bool = True) ->
         items,
         lambda i: attribute(F.regexp_extract(i, r"(?is)<a\s(?:[^>]*\s)?href\s*=[^>]*>", 0), "href"),
     )
-    links = F.transform(links, lambda u: F.coalesce(decode_entities(u), u))
-    if absolute:
-        keep = lambda u: u.isNotNull() & is_article_url(u, profile)
-    else:
-        keep = lambda u: u.isNotNull()
-    return F.array_distinct(F.filter(links, keep))
+    return F.array_join(links, _BREAK)
+
+
+def add_listing_links(
+    pages: DataFrame, profile: SiteProfile, to: str = "links", absolute: bool = True
+) -> DataFrame:
+    """F7 + D3: the article links of every listing page, in order, once each.
+
+    ``absolute=False`` keeps links of any form (site-relative ones too).
+    """
+    decoded = add_decoded(pages, {"__links": _raw_links(F.col("html"), profile)})
+    links = F.split("__links", _BREAK)
+    keep = (lambda u: is_article_url(u, profile)) if absolute else (lambda u: u != "")
+    return decoded.withColumn(to, F.array_distinct(F.filter(links, keep))).drop("__links")
 
 
 def listing_page_url(profile: SiteProfile, slug: Column, page_num: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.functions.archive import map_archive_record
 from newsloom.functions.article import extract_article
-from newsloom.functions.urls import is_article_url, listing_links
+from newsloom.functions.urls import add_listing_links, is_article_url
 from newsloom.operators.dedup import dedup_keep_first, distinct_urls
 from newsloom.operators.joins import (
     attach_discovered_category, category_names, discover_urls, only_post_sitemaps, page_range_from,
@@ -75,8 +75,8 @@ def post_sitemap_list(entries: DataFrame) -> DataFrame:
 
 def listing_urls(listings: DataFrame, profile: SiteProfile) -> DataFrame:
     """Links of numbered listing pages(category_slug, page_num, html) up to the stop rule."""
-    links = listings.select(
-        "category_slug", "page_num", F.posexplode(listing_links(F.col("html"), profile)).alias("pos", "url")
+    links = add_listing_links(listings, profile).select(
+        "category_slug", "page_num", F.posexplode("links").alias("pos", "url")
     )
     new = first_seen(links)
     walk = listing_stop_rule(page_walk(new, listings))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom import schemas
-from newsloom.session import scratch
+from newsloom.session import scratch, spread
 
 
 def _json(spark: SparkSession, schema: T.StructType, **options: str):
@@ -101,7 +101,7 @@ def quarantined_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages with something in them."""
-    return spark.read.parquet(path).where(F.col("html") != "")
+    return spread(spark.read.parquet(path)).where(F.col("html") != "")
 
 
 def read_listing_pages(pages: DataFrame) -> DataFrame:
