@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.scalars import ceil_div, mebibytes
@@ -105,11 +105,13 @@ def latest_shards(stats: DataFrame, n: int = 5) -> DataFrame:
 def preview(rows: DataFrame, shard: str, position: str, n: int = 3) -> DataFrame:
     """The first ``n`` records of the latest shard, cut for display.
 
-    One top-n over (latest shard, first position): no pass to find the shard before.
+    One top-n over (latest shard, first position) and a look at its ``n`` rows: no
+    pass to find the shard before.
     """
+    top = rows.orderBy(F.desc(shard), F.asc(position)).limit(n)
+    latest = F.max(shard).over(Window.partitionBy())
     return (
-        rows.orderBy(F.desc(shard), F.asc(position)).limit(n)
-        .withColumn("__latest", F.col(shard))
+        top.withColumn("__latest", latest).where(F.col(shard) == F.col("__latest"))
         .withColumn("title", F.substring("title", 1, 80))
         .withColumn("body_text", F.substring("body_text", 1, 150))
         .drop("__latest")
