@@ -338,12 +338,13 @@ def page_range_from(spark, sf):
 @query
 def attach_category(spark, sf):
     """J2."""
-    pages = table(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("url"))
+    articles = table(spark, sf, "documents").select(
+        "doc_id", F.col("doc_id").cast("string").alias("url"), F.lit(None).cast("string").alias("category")
+    )
     found = table(spark, sf, "labels").select(
         F.col("doc_id").cast("string").alias("url"), F.concat(F.lit("quality-"), F.col("quality")).alias("category_name")
     )
-    joined = joins.attach_discovered_category(pages, found)
-    return joined.select("doc_id", F.coalesce("found_category", F.lit("unknown")).alias("category"))
+    return joins.attach_discovered_category(articles, found).select("doc_id", "category")
 
 
 @query
@@ -571,9 +572,9 @@ def sized_parts(spark, sf):
     sinks.write_article_shards(records, shards)
     limit = 2_000_000
     sinks.write_sized_parts(records, parts, sources.read_articles(spark, shards), part_bytes=limit)
-    over = sinks.oversize_parts(spark, parts, limit).agg(F.count("*").alias("oversize"), F.lit(1).alias("one"))
-    read = sources.read_articles(spark, parts).agg(F.count("*").alias("records"), F.lit(1).alias("one"))
-    return over.join(read, "one").select("records", "oversize")
+    over = sinks.oversize_parts(spark, parts, limit).select(F.lit(0).alias("record"), F.lit(1).alias("over"))
+    read = sources.read_articles(spark, parts).select(F.lit(1).alias("record"), F.lit(0).alias("over"))
+    return read.unionByName(over).agg(F.sum("record").alias("records"), F.sum("over").alias("oversize"))
 
 
 @query

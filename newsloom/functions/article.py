@@ -90,23 +90,24 @@ def keep_valid_article(articles: DataFrame, profile: SiteProfile) -> DataFrame:
 
 
 def extract_article(
-    pages: DataFrame, profile: SiteProfile, default_category: Column | None = None, keep: tuple[str, ...] = ()
+    pages: DataFrame, profile: SiteProfile, default_category: str | None = "unknown",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """pages(url, html) -> the 7-field article records that pass P5.
 
-    ``keep`` names further page columns to carry along. Narrow: no shuffle.
+    ``default_category`` stands where the page names none (None leaves it null, for
+    ``attach_discovered_category``). ``keep`` names further page columns to carry
+    along. Narrow: no shuffle.
     """
-    if default_category is None:
-        default_category = F.lit("unknown")
     pages = pages.where(F.col("html") != "")
     html = F.col("html")
     carried = ["url", *keep]
     if profile.body_class:
         raw = pages.select(
-            *carried, default_category.alias("__default"), article_pieces(html, profile).alias("p")
+            *carried, article_pieces(html, profile).alias("p")
         )
         fields = raw.select(
-            *carried, "__default",
+            *carried,
             strip_unicode(F.col("p.title")).alias("title"),
             normalize_page_text(F.col("p.body")).alias("body_text"),
             F.col("p.published").alias("published_date"),
@@ -115,7 +116,7 @@ def extract_article(
     else:
         raw = add_decoded(
             pages.select(
-                *carried, default_category.alias("__default"), "html",
+                *carried, "html",
                 article_published(html, profile).alias("published_date"),
             ),
             {
@@ -125,7 +126,7 @@ def extract_article(
             },
         )
         fields = raw.select(
-            *carried, "__default", "published_date",
+            *carried, "published_date",
             strip_unicode(F.col("__title")).alias("title"),
             normalize_page_text(F.col("__body")).alias("body_text"),
             choose_category(F.split("__labels", _BREAK), profile).alias("__named"),
@@ -133,7 +134,7 @@ def extract_article(
     valid = keep_valid_article(fields, profile)
     return valid.select(
         "url", "title",
-        F.coalesce("__named", "__default", F.lit("unknown")).alias("category"),
+        F.coalesce("__named", F.lit(default_category)).alias("category"),
         "published_date", "body_text",
         F.length("body_text").alias("char_count"),
         scraped_at(),

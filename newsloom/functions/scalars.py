@@ -57,6 +57,11 @@ def ceil_div(total: Column, size: int) -> Column:
     return F.ceil(total / F.lit(size)).cast("long")
 
 
+def floor_div(value: Column, size: int) -> Column:
+    """Whole number of ``size`` below ``value``, exact for long and negative values."""
+    return ((value - F.pmod(value, F.lit(size))) / size).cast("long")
+
+
 def mebibytes(size: Column) -> Column:
     return size / F.lit(1048576.0)
 

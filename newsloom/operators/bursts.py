@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions.scalars import floor_div
 from newsloom.operators.ledger import micros_of
 from newsloom.operators.numbering import number_rows
 
@@ -37,7 +38,7 @@ def failure_burst(
     per_instant = failures.groupBy(key, micros_of(F.col(ts)).alias("ts_micros")).agg(
         F.count("*").alias("n")
     )
-    own = F.floor(at / length).cast("long")
+    own = floor_div(at, length)
     slices = F.when(at > (own + 1) * length - width, F.array(own, own + 1)).otherwise(F.array(own))
     sliced = per_instant.select("*", F.explode(slices).alias("__slice"))
     frame = Window.partitionBy(key, "__slice").orderBy("ts_micros").rangeBetween(-(width - 1), 0)
@@ -91,12 +92,12 @@ def failure_burst_reset(
         failures.where(F.col(key).isNotNull()).select(key, micros_of(F.col(ts)).alias("ts_micros"), order), key, "ts_micros", order
     )
     rn = F.col("rn") - 1
-    own = F.floor(rn / block_rows).cast("long")
+    own = floor_div(rn, block_rows)
     in_tail = rn % block_rows >= block_rows - (need - 1)
     blocks = rows.select(
         F.col(key).alias("key"), "ts_micros", F.col("rn"),
         F.explode(F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("block"),
-    ).withColumn("context", F.floor((F.col("rn") - 1) / block_rows) != F.col("block"))
+    ).withColumn("context", floor_div(F.col("rn") - 1, block_rows) != F.col("block"))
 
     def split(part: pd.DataFrame):
         part = part.sort_values("rn")

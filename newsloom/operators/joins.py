@@ -19,17 +19,19 @@ def pending_work(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return work.join(done.select(key).distinct(), key, "left_anti")
 
 
-def attach_discovered_category(pages: DataFrame, url_list: DataFrame) -> DataFrame:
-    """The category a URL was found under, as ``found_category``.
+def attach_discovered_category(articles: DataFrame, url_list: DataFrame) -> DataFrame:
+    """Where the page names no category, the one its URL was found under.
 
-    A URL listed under several categories takes the alphabetically first name, so that
-    a page stays one row.
+    Runs on extracted articles, so that raw pages are never shuffled. A URL listed
+    under several categories takes the alphabetically first name, so that an article
+    stays one row.
     """
     found = (
         url_list.where(F.col("category_name").isNotNull())
-        .groupBy("url").agg(F.min("category_name").alias("found_category"))
+        .groupBy("url").agg(F.min("category_name").alias("__found"))
     )
-    return pages.join(found, "url", "left")
+    named = F.coalesce("category", "__found", F.lit("unknown"))
+    return articles.join(found, "url", "left").withColumn("category", named).select(*articles.columns)
 
 
 def category_names(rows: DataFrame, profile: SiteProfile) -> DataFrame:

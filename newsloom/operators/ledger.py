@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.scalars import OUTCOMES, backoff_seconds, format_elapsed
+from newsloom.functions.scalars import OUTCOMES, backoff_seconds, floor_div, format_elapsed
+from newsloom.session import scratch
 
 TICK_SECONDS = 15  # Fixed value: seconds between two progress lines.
 
@@ -21,15 +22,20 @@ def micros_of(ts: Column) -> Column:
 def progress_rate(ledger: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFrame:
     """Running totals, rate and time left at every tick with an attempt.
 
-    Needs ``ts`` and ``outcome``. Attempts are reduced to ticks; ticks are summed
-    inside their day, and days (a few thousand rows in ten years) are summed after.
+    Needs ``ts`` and ``outcome``. Attempts are reduced to ticks, which are stored: their
+    number depends on the time a run takes, not on its size. Ticks are summed inside
+    their day, and days (a few thousand rows in ten years) are summed after.
     """
     ok = F.col("outcome") == "ok"
     us = micros_of(F.col("ts"))
     day_us = 86_400_000_000
-    ticks = ledger.groupBy(F.floor(us / (tick_seconds * 1_000_000)).cast("long").alias("tick")).agg(
+    tick_us = tick_seconds * 1_000_000
+    counted = ledger.groupBy(floor_div(us, tick_us).alias("tick")).agg(
         F.count_if(ok).alias("ok"), F.count("*").alias("n"), F.min(us).alias("lo"), F.max(us).alias("hi"),
-    ).withColumn("day", F.floor(F.col("tick") * (tick_seconds * 1_000_000) / day_us).cast("long"))
+    ).withColumn("day", floor_div(F.col("tick") * tick_us, day_us))
+    path = scratch(ledger.sparkSession, "ticks")
+    counted.write.parquet(path)
+    ticks = ledger.sparkSession.read.schema(counted.schema).parquet(path)
     days = ticks.groupBy("day").agg(F.sum("ok").alias("d_ok"), F.sum("n").alias("d_n"), F.min("lo").alias("d_lo"))
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
@@ -59,8 +65,8 @@ def progress_rate(ledger: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFr
     )
 
 
-def latest_status(ledger: DataFrame, key: str = "url") -> DataFrame:
-    """Outcome of the last attempt per key, with its time and number.
+def _key_status(ledger: DataFrame, key: str) -> DataFrame:
+    """Last attempt and time of the first attempt per key.
 
     Time, attempt and outcome are packed into one long whose maximum is the latest
     attempt: a hash aggregate that is combined before the shuffle. A later success
@@ -71,15 +77,24 @@ def latest_status(ledger: DataFrame, key: str = "url") -> DataFrame:
         F.shiftleft(micros_of(F.col("ts")), 10)
         + F.shiftleft(F.least(F.col("attempt").cast("long"), F.lit(127)), 3) + code
     )
-    last = ledger.groupBy(key).agg(F.max(packed).alias("__last"), F.max("attempt").alias("attempt"))
+    last = ledger.groupBy(key).agg(
+        F.max(packed).alias("__last"), F.max("attempt").alias("attempt"),
+        F.min(micros_of(F.col("ts"))).alias("first_micros"),
+    )
     names = F.array(*[F.lit(o) for o in OUTCOMES])
     return last.select(
         key, "attempt",
         F.timestamp_micros(F.shiftright("__last", 10)).alias("ts"),
         F.element_at(names, F.col("__last").bitwiseAND(F.lit(7)).cast("int") + 1).alias("outcome"),
+        "first_micros",
     )
 
 
+def latest_status(ledger: DataFrame, key: str = "url") -> DataFrame:
+    """Outcome of the last attempt per key, with its time and number."""
+    return _key_status(ledger, key).drop("first_micros")
+
+
 def retry_queue(status: DataFrame) -> DataFrame:
     """Keys whose last attempt failed, category reset, with the earliest next time."""
     wait = backoff_seconds(F.col("attempt"))
@@ -93,15 +108,12 @@ def retry_queue(status: DataFrame) -> DataFrame:
 
 def progress_summary(ledger: DataFrame, key: str = "url") -> DataFrame:
     """A4: keys saved, keys still failing, first and last attempt."""
-    status = latest_status(ledger, key)
-    saved = status.agg(
+    return _key_status(ledger, key).agg(
         F.count_if(F.col("outcome") == "ok").alias("saved"),
         F.count_if(F.col("outcome") != "ok").alias("failed"),
+        F.timestamp_micros(F.min("first_micros")).alias("start_time"),
         F.max("ts").alias("last_saved_at"),
-        F.lit(1).alias("__one"),
     )
-    first = ledger.agg(F.min(F.col("ts").cast("timestamp")).alias("start_time"), F.lit(1).alias("__one"))
-    return saved.join(first, "__one").select("saved", "failed", "start_time", "last_saved_at")
 
 
 def sorted_done_pages(done: DataFrame, page: str = "page") -> DataFrame:

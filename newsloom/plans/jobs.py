@@ -74,11 +74,17 @@ def post_sitemap_list(entries: DataFrame) -> DataFrame:
 
 
 def listing_urls(listings: DataFrame, profile: SiteProfile) -> DataFrame:
-    """Links of numbered listing pages(category_slug, page_num, html) up to the stop rule."""
+    """Links of numbered listing pages(category_slug, page_num, html) up to the stop rule.
+
+    The links are stored once: three steps read them, and the pages are read only here.
+    """
+    spark = listings.sparkSession
+    path = scratch(spark, "links")
     links = add_listing_links(listings, profile).select(
         "category_slug", "page_num", F.posexplode("links").alias("pos", "url")
     )
-    new = first_seen(links)
+    first_seen(links).write.parquet(path)
+    new = spark.read.parquet(path)
     walk = listing_stop_rule(page_walk(new, listings))
     kept = new.join(walk.select("category_slug", "page_num"), ["category_slug", "page_num"], "left_semi")
     return category_names(kept, profile).select("url", "category_slug", "category_name")
@@ -92,11 +98,10 @@ def page_job(
     pages = read_pages(spark, pages_path)
     if done is not None:
         pages = pending_work(pages, done, "url")
-    default = F.lit("unknown")
+    articles = extract_article(pages, profile, default_category=None if url_list is not None else "unknown")
     if url_list is not None:
-        pages = attach_discovered_category(pages, url_list)
-        default = F.coalesce("found_category", default)
-    write_article_shards(extract_article(pages, profile, default), f"{out}/articles", shard_rows)
+        articles = attach_discovered_category(articles, url_list)
+    write_article_shards(articles, f"{out}/articles", shard_rows)
 
 
 def merge_job(spark: SparkSession, shards: str, out: str, shard_rows: int = SHARD_ROWS) -> DataFrame:

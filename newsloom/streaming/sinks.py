@@ -54,6 +54,8 @@ def append_first_seen(
     twice in one batch only the rows of its lowest ``delivery`` stay.
     """
     def append(batch: DataFrame, batch_id: int) -> None:
+        # The batch is read twice; without this its pages would be parsed twice.
+        batch = batch.persist()
         spark = batch.sparkSession
         first = batch.groupBy(key).agg(F.min(delivery).alias(delivery))
         mine = (F.col("run") == _run_of(checkpoint)) & (F.col("batch_id") == batch_id)
@@ -62,6 +64,7 @@ def append_first_seen(
         batch.join(fresh, [key, delivery], "left_semi").select(*batch.columns).write.mode(
             "overwrite"
         ).parquet(_batch_folder(path, checkpoint, batch_id))
+        batch.unpersist()
 
     return _start(records.writeStream.foreachBatch(append), checkpoint, continuous)
 

@@ -104,7 +104,7 @@ def link(label, href="/category/sports-2/"):
 
 def test_category_choice(spark):
     extra = link("صفحہ اول") + link("x" * 30) + link("paged", "/category/a/page/2/") + link(" کھیل ") + link("تجارت")
-    row = articles(spark, page(LONG, extra=extra), page(LONG), default_category=F.lit("صحت"))
+    row = articles(spark, page(LONG, extra=extra), page(LONG), default_category="صحت")
     assert row["u0"].category == "کھیل" and row["u1"].category == "صحت"
 
 

@@ -124,11 +124,11 @@ def test_pending_and_done_make_all(spark):
     assert pending.unionByName(work.join(done.distinct(), "url", "left_semi")).distinct().count() == 100
 
 
-def test_found_category_keeps_one_row_per_page(spark):
-    pages = spark.createDataFrame([("u1",), ("u2",)], "url string")
-    urls = spark.createDataFrame([("u1", "b"), ("u1", "a"), ("u2", None)], "url string, category_name string")
+def test_found_category_keeps_one_row_per_article(spark):
+    pages = spark.createDataFrame([("u1", None), ("u2", None), ("u3", "own")], "url string, category string")
+    urls = spark.createDataFrame([("u1", "b"), ("u1", "a"), ("u2", None), ("u3", "c")], "url string, category_name string")
     rows = joins.attach_discovered_category(pages, urls).collect()
-    assert sorted((r.url, r.found_category) for r in rows) == [("u1", "a"), ("u2", None)]
+    assert sorted(map(tuple, rows)) == [("u1", "a"), ("u2", "unknown"), ("u3", "own")]
 
 
 def test_fallback_only_when_sitemaps_are_empty(spark):
