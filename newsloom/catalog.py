@@ -154,10 +154,10 @@ def archive_posts(spark, sf):
 def whitespace_normalize(spark, sf):
     """F9-F11, both forms, on text with injected blank lines and spaces."""
     rough = F.replace("text", F.lit(". "), F.lit(".\u00a0 \t\n \n\n "))
-    docs = table(spark, sf, "documents").select("doc_id", rough.alias("rough"))
+    docs = spread(table(spark, sf, "documents")).select("doc_id", rough.alias("rough"))
     return docs.select(
         "doc_id", normalize_archive_text("rough").alias("archive_text"),
-        normalize_page_text(F.col("rough")).alias("page_text"),
+        normalize_page_text("rough").alias("page_text"),
     )
 
 

@@ -66,7 +66,12 @@ def normalize_archive_text(column: str) -> Column:
     return F.expr(archive_text_sql(f"`{column}`"))
 
 
-def normalize_page_text(text: Column) -> Column:
+def page_text_sql(value: str) -> str:
     """Whitespace rule of the page form: F11, then F9, then F10."""
-    text = F.regexp_replace(strip_unicode(text), rf"(?U)\n{UNICODE_SPACE}*\n+", "\n\n")
-    return F.regexp_replace(text, r"[ \t]++", " ")
+    value = f"btrim({value}, {quoted(STRIPPED)})"
+    value = _fold_sql(value, (NL,), rf"(?U)\n{UNICODE_SPACE}*\n+", NL * 2)
+    return _fold_sql(value, ("  ", "\t"), r"[ \t]++", " ")
+
+
+def normalize_page_text(column: str) -> Column:
+    return F.expr(page_text_sql(column))

@@ -17,16 +17,22 @@ from newsloom.functions.columns import (
 from newsloom.functions.parser import block_text, unescape
 from newsloom.functions.tags import BLOCK_TAGS, SKIP_TAGS
 
-# The character references news pages are full of, in order of decoding
-# ("&" is last, so that nothing is decoded twice in one round).
-USUAL_REFERENCES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&#039;": "'", "&apos;": "'",
-    "&nbsp;": "\u00a0", "&#160;": "\u00a0", "&copy;": "\u00a9", "&middot;": "\u00b7",
-    "&hellip;": "\u2026", "&#8230;": "\u2026", "&ndash;": "\u2013", "&#8211;": "\u2013",
-    "&mdash;": "\u2014", "&#8212;": "\u2014", "&lsquo;": "\u2018", "&#8216;": "\u2018",
-    "&rsquo;": "\u2019", "&#8217;": "\u2019", "&ldquo;": "\u201c", "&#8220;": "\u201c",
-    "&rdquo;": "\u201d", "&#8221;": "\u201d", "&#38;": "&", "&#038;": "&", "&amp;": "&",
+# The character references news pages are full of. Those that stand for
+# "&" are decoded last, so that nothing is decoded twice in one round.
+MARKUP_REFERENCES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0",
+    "&copy;": "\u00a9", "&middot;": "\u00b7",
 }
+TYPOGRAPHIC_REFERENCES = {
+    "&hellip;": "\u2026", "&ndash;": "\u2013", "&mdash;": "\u2014",
+    "&lsquo;": "\u2018", "&rsquo;": "\u2019", "&ldquo;": "\u201c", "&rdquo;": "\u201d",
+}
+NUMERIC_REFERENCES = {
+    "&#34;": '"', "&#39;": "'", "&#039;": "'", "&#160;": "\u00a0",
+    "&#8211;": "\u2013", "&#8212;": "\u2014", "&#8216;": "\u2018", "&#8217;": "\u2019",
+    "&#8220;": "\u201c", "&#8221;": "\u201d", "&#8230;": "\u2026",
+}
+AMPERSANDS = ("&#38;", "&#038;", "&amp;")
 
 # Every pattern starts with "<", so that the matcher leaves other characters at once,
 # and loops are possessive, so that long pages cannot exhaust the stack.
@@ -56,21 +62,34 @@ _SELF_CLOSED = rf"""(?i)<(?:{_BLOCKS})(?:\s{_ATTRS}(?<=["'\s]/)|/)>"""
 _BLOCK = rf"(?i)<(?:/(?:{_BLOCKS})\s*+|(?:{_BLOCKS})(?:[\s/]{_ATTRS})?)>"
 _OTHER = rf"(?i)<(?!/?(?:{_HIDDEN})[\s/>])(?:[a-z][^\s/<>]*+(?:[\s/]{_ATTRS})?|/[a-z][^\s/<>]*+\s*+)>"
 
-_TO_AMP = ("&amp;", "&#38;", "&#038;")
-_NAMES = "|".join(ref[1:] for ref in USUAL_REFERENCES if ref not in _TO_AMP)
-_AMPS = "|".join(ref[1:] for ref in _TO_AMP)
+_NAMES = "|".join(
+    ref[1:] for group in (MARKUP_REFERENCES, TYPOGRAPHIC_REFERENCES, NUMERIC_REFERENCES) for ref in group
+)
+_AMPS = "|".join(ref[1:] for ref in AMPERSANDS)
 # A reference the list does not have; for two rounds also one that the first round makes.
 _ODD_ONCE = rf"&(?!(?:{_NAMES}|{_AMPS}))[#A-Za-z]"
 _ODD_TWICE = rf"&(?!(?:{_NAMES}|(?:{_AMPS})(?![#A-Za-z])))[#A-Za-z]"
 
 
-def decode_usual_sql(value: str) -> str:
-    """Decode the usual references, one round."""
-    for reference, char in USUAL_REFERENCES.items():
+def _replace_all_sql(value: str, chars: dict[str, str]) -> str:
+    for reference, char in chars.items():
         value = f"replace({value}, {quoted(reference)}, {quoted(char)})"
     return value
 
 
+def decode_usual_sql(value: str) -> str:
+    """Decode the usual references, one round. Groups a text has nothing of are passed over."""
+    def when(test: str, value: str, chars: dict[str, str]) -> str:
+        return bind_sql(value, "t", f"CASE WHEN {test} THEN {_replace_all_sql('t', chars)} ELSE t END")
+
+    signs = "|".join(ref[1:] for ref in TYPOGRAPHIC_REFERENCES)
+    more = when("t RLIKE '&(?!amp;)[a-z]'", "t", MARKUP_REFERENCES)
+    more = when(f"t RLIKE {quoted(f'&(?:{signs})')}", more, TYPOGRAPHIC_REFERENCES)
+    more = when("contains(t, '&#')", more, {**NUMERIC_REFERENCES, "&#38;": "&amp;", "&#038;": "&amp;"})
+    more = _replace_all_sql(more, {"&amp;": "&"})
+    return bind_sql(value, "t", f"CASE WHEN contains(t, '&') THEN {more} ELSE t END")
+
+
 def add_decoded(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
     """F8, one round, exact: add one decoded column per entry of ``texts``.
 

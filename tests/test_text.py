@@ -98,7 +98,7 @@ def test_decode_one_round(spark):
 def test_whitespace_rules(spark):
     rough = "  a  b \n  \n\n\n c\td\x0b　\n"
     df = spark.createDataFrame([(rough,)], "t string")
-    row = df.select(normalize_archive_text("t").alias("a"), normalize_page_text(F.col("t")).alias("p")).first()
+    row = df.select(normalize_archive_text("t").alias("a"), normalize_page_text("t").alias("p")).first()
     assert row.a == "a b\n\nc\td".replace("\t", " ")
     page = re.sub(r"[ \t]+", " ", re.sub(r"\n\s*\n+", "\n\n", rough.strip()))
     assert row.p == page
