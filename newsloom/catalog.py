@@ -21,8 +21,8 @@ from newsloom.functions.scalars import (
     backoff_seconds, ceil_div, classify_outcome, format_elapsed, page_backoff_seconds, percent, to_json_line,
 )
 from newsloom.functions.urls import (
-    add_listing_links, archive_request_url, is_article_url, listing_page_num, listing_page_url, url_host, url_path,
-    url_scheme, without_query,
+    add_listing_links, archive_request_url, is_article_url, listing_link_rows, listing_page_num, listing_page_url,
+    url_host, url_path, url_scheme, without_query,
 )
 from newsloom.operators import bursts, dedup, joins, ledger, listing, numbering, report
 from newsloom.profile import SiteProfile
@@ -185,20 +185,16 @@ def distinct_sorted_urls(spark, sf):
 @query
 def listing_link_list(spark, sf):
     """F7, D3, S5."""
-    pages = add_listing_links(site_pages(spark, sf), PROFILE, absolute=False)
-    rows = pages.select(
-        "page_id", listing_page_num(F.col("url")).alias("page_num"), F.posexplode("links").alias("pos", "link")
-    )
-    return rows.select("page_id", long("page_num").alias("page_num"), long("pos").alias("pos"), "link")
+    page_num = long(listing_page_num(F.col("url"))).alias("page_num")
+    rows = listing_link_rows(site_pages(spark, sf), PROFILE, "page_id", page_num, absolute=False)
+    return rows.select("page_id", "page_num", long("pos").alias("pos"), F.col("url").alias("link"))
 
 
 def nav_links(spark, sf) -> DataFrame:
     """Links of the pages, as if each language were a category and each page a listing page."""
-    return add_listing_links(site_pages(spark, sf), PROFILE, absolute=False).select(
-        F.regexp_extract("url", r"^[^:]+://[^/]+/([^/?#]+)", 1).alias("category_slug"),
-        (F.col("page_id") + 1).cast("int").alias("page_num"),
-        F.posexplode("links").alias("pos", "url"),
-    )
+    slug = F.regexp_extract("url", r"^[^:]+://[^/]+/([^/?#]+)", 1).alias("category_slug")
+    page_num = (F.col("page_id") + 1).cast("int").alias("page_num")
+    return listing_link_rows(site_pages(spark, sf), PROFILE, slug, page_num, absolute=False)
 
 
 @query

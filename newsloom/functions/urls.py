@@ -82,6 +82,15 @@ def _raw_links(html: Column, profile: SiteProfile) -> Column:
     return F.array_join(links, _BREAK)
 
 
+def _links(profile: SiteProfile, absolute: bool) -> Column:
+    keep = (lambda u: is_article_url(u, profile)) if absolute else (lambda u: u != "")
+    return F.array_distinct(F.filter(F.split("__links", _BREAK), keep))
+
+
+def _with_raw_links(pages: DataFrame, profile: SiteProfile) -> DataFrame:
+    return add_decoded(pages, {"__links": _raw_links(F.col("html"), profile)})
+
+
 def add_listing_links(
     pages: DataFrame, profile: SiteProfile, to: str = "links", absolute: bool = True
 ) -> DataFrame:
@@ -89,10 +98,15 @@ def add_listing_links(
 
     ``absolute=False`` keeps links of any form (site-relative ones too).
     """
-    decoded = add_decoded(pages, {"__links": _raw_links(F.col("html"), profile)})
-    links = F.split("__links", _BREAK)
-    keep = (lambda u: is_article_url(u, profile)) if absolute else (lambda u: u != "")
-    return decoded.withColumn(to, F.array_distinct(F.filter(links, keep))).drop("__links")
+    return _with_raw_links(pages, profile).withColumn(to, _links(profile, absolute)).drop("__links")
+
+
+def listing_link_rows(
+    pages: DataFrame, profile: SiteProfile, *keep: str | Column, absolute: bool = True
+) -> DataFrame:
+    """As ``add_listing_links``, one row (pos, url) per link beside the columns ``keep``."""
+    links = F.posexplode(_links(profile, absolute)).alias("pos", "url")
+    return _with_raw_links(pages, profile).select(*keep, links)
 
 
 def listing_page_url(profile: SiteProfile, slug: Column, page_num: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.functions.archive import map_archive_record
 from newsloom.functions.article import extract_article
-from newsloom.functions.urls import add_listing_links, is_article_url
+from newsloom.functions.urls import is_article_url, listing_link_rows
 from newsloom.operators.dedup import dedup_keep_first, distinct_urls
 from newsloom.operators.joins import (
     attach_discovered_category, category_names, discover_urls, only_post_sitemaps, page_range_from,
@@ -80,9 +80,7 @@ def listing_urls(listings: DataFrame, profile: SiteProfile) -> DataFrame:
     """
     spark = listings.sparkSession
     path = scratch(spark, "links")
-    links = add_listing_links(listings, profile).select(
-        "category_slug", "page_num", F.posexplode("links").alias("pos", "url")
-    )
+    links = listing_link_rows(listings, profile, "category_slug", "page_num")
     first_seen(links).write.parquet(path)
     new = spark.read.parquet(path)
     walk = listing_stop_rule(page_walk(new, listings))

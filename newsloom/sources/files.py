@@ -81,10 +81,10 @@ def read_archive_files(spark: SparkSession, path: str) -> DataFrame:
 
 def posts_of(pages: DataFrame) -> DataFrame:
     """Posts of the list pages, with page number and place inside the page."""
-    listed = pages.where("is_list").select(
-        "page", F.from_json("value", T.ArrayType(schemas.ARCHIVE_POST)).alias("posts")
-    )
-    return listed.select("page", F.posexplode("posts").alias("pos", "post")).select("page", "pos", "post.*")
+    # Expanded where it is parsed: a named array would be parsed again by the filter the
+    # optimizer derives for it.
+    posts = F.posexplode(F.from_json("value", T.ArrayType(schemas.ARCHIVE_POST))).alias("pos", "post")
+    return pages.where("is_list").select("page", posts).select("page", "pos", "post.*")
 
 
 def read_archive_pages(spark: SparkSession, path: str) -> DataFrame:
