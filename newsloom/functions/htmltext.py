@@ -45,18 +45,21 @@ def _raw_element(tag: str) -> str:
     return rf"{tag}(?:\s[^<>]*+)?(?<!/)>[^<]*+(?:<(?!/{tag}[\s/>])[^<]*+)*+</{tag}\s*+>"
 
 
-def _flat_element(tag: str) -> str:
-    inner = rf"[^<]*+(?:<(?!!|/?(?:{_HIDDEN})[\s/>])[^<]*+)*+"
+_RAW = "|".join([
+    r"!--(?!-?>)[^-]*+(?:-(?!-\s*+!?>)[^-]*+)*+-->",
+    *[_raw_element(tag) for tag in ("script", "style")],
+])
+
+
+def _hidden_element(tag: str) -> str:
+    inner = rf"[^<]*+(?:<(?:{_RAW}|(?!!|/?(?:{_HIDDEN})[\s/>]))[^<]*+)*+"
     return rf"{tag}(?:\s[^<>]*+)?(?<!/)>{inner}</{tag}\s*+>"
 
 
 # Comments, the doctype, elements whose content is raw text, and hidden elements that
-# hold no further hidden element. Anything odd does not match and is noticed later.
+# hold at most those. Anything odd does not match and is noticed later.
 _UNSEEN = "(?i)<(?:" + "|".join([
-    r"!--(?!-?>)[^-]*+(?:-(?!-\s*+!?>)[^-]*+)*+-->",
-    r"!doctype[^<>]*+>",
-    *[_raw_element(tag) for tag in ("script", "style")],
-    *[_flat_element(tag) for tag in ("noscript", "svg", "template")],
+    _RAW, r"!doctype[^<>]*+>", *[_hidden_element(tag) for tag in ("noscript", "svg", "template")],
 ]) + ")"
 _SELF_CLOSED = rf"""(?i)<(?:{_BLOCKS})(?:\s{_ATTRS}(?<=["'\s]/)|/)>"""
 _BLOCK = rf"(?i)<(?:/(?:{_BLOCKS})\s*+|(?:{_BLOCKS})(?:[\s/]{_ATTRS})?)>"
@@ -68,7 +71,8 @@ _NAMES = "|".join(
 _AMPS = "|".join(ref[1:] for ref in AMPERSANDS)
 # A reference the list does not have; for two rounds also one that the first round makes.
 _ODD_ONCE = rf"&(?!(?:{_NAMES}|{_AMPS}))[#A-Za-z]"
-_ODD_TWICE = rf"&(?!(?:{_NAMES}|(?:{_AMPS})(?![#A-Za-z])))[#A-Za-z]"
+_ODD_TWICE = rf"(?!(?:{_NAMES}|(?:{_AMPS})(?![#A-Za-z])))[#A-Za-z]"
+_ODD_PAGE = rf"[<&](?:(?<=<)[A-Za-z/!?]|(?<=&){_ODD_TWICE})"
 
 
 def _replace_all_sql(value: str, chars: dict[str, str]) -> str:
@@ -107,16 +111,10 @@ def add_decoded(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
 
 
 def _block_text_sql(value: str) -> str:
-    # A hidden element around others becomes flat once those are gone.
-    seen = bind_sql(
-        replace_sql(f"coalesce({value}, '')", _UNSEEN, ""), "p",
-        f"CASE WHEN p RLIKE {quoted(rf'(?i)<(?:{_HIDDEN})[' + chr(92) + 's>]')}"
-        f" THEN {replace_sql('p', _UNSEEN, '')} ELSE p END",
-    )
-    text = replace_sql(seen, _SELF_CLOSED, "\n\n")
-    text = replace_sql(replace_sql(text, _BLOCK, "\n"), _OTHER, "")
-    odd = quoted(rf"<[A-Za-z/!?]|{_ODD_TWICE}")
-    return bind_sql(text, "t", f"CASE WHEN NOT t RLIKE {odd} THEN {decode_usual_sql('t')} END")
+    text = replace_sql(f"coalesce({value}, '')", _UNSEEN, "")
+    text = replace_sql(replace_sql(text, _SELF_CLOSED, "\n\n"), _BLOCK, "\n")
+    text = replace_sql(text, _OTHER, "")
+    return bind_sql(text, "t", f"CASE WHEN NOT t RLIKE {quoted(_ODD_PAGE)} THEN {decode_usual_sql('t')} END")
 
 
 def fast_block_text(column: str) -> Column:
