@@ -41,7 +41,10 @@ def repeated_rows(df: DataFrame, key: Column, position: str) -> DataFrame:
 
 
 def dedup_keep_first(df: DataFrame, key: Column | str, position: str) -> DataFrame:
-    """Keep, per key, the row with the lowest ``position`` (unique per row).
+    """Keep, per key, the row with the lowest ``position``.
+
+    ``position`` is unique per row and comes from the data or from a stored table (see
+    ``land_articles``), because it is read twice.
 
     The repeats are stored in the shared folder first, so the planner knows their real
     size: few repeats are broadcast and the wide rows are not shuffled at all; many are

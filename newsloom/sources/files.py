@@ -21,9 +21,9 @@ def read_url_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_position() -> Column:
-    """Place of a line: file name, block, line in the block. Names sort like the files."""
+    """Place of a line: file path, block, line in the block. Paths sort like the files."""
     return F.struct(
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )

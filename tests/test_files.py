@@ -225,3 +225,20 @@ def test_option_bounds(spark):
     for per_page in (0, 101):
         with pytest.raises(ValueError):
             archive_request_manifest(spark, 1, SITE, per_page=per_page)
+
+
+def test_progress_record_is_stamped(spark, tmp_path):
+    summary = spark.createDataFrame([(3, 1)], "saved long, failed long")
+    sinks.write_progress(summary, f"{tmp_path}/p")
+    sinks.write_progress(summary, f"{tmp_path}/p")
+    rows = spark.read.schema("saved long, failed long, last_saved_at timestamp").json(f"{tmp_path}/p").collect()
+    assert len(rows) == 1 and rows[0].saved == 3 and rows[0].last_saved_at is not None
+
+
+def test_same_file_names_in_two_folders(spark, tmp_path):
+    for run, text in (("a", "first"), ("b", "second")):
+        (tmp_path / run).mkdir()
+        (tmp_path / run / "articles_0000.jsonl").write_bytes(lines(record(1, text), record(5 if run == "a" else 6)))
+    jobs.merge_job(spark, f"{tmp_path}/[ab]", f"{tmp_path}/out")
+    rows = {r.id: r.text for r in sources.read_articles(spark, f"{tmp_path}/out/articles").collect()}
+    assert rows == {1: "first", 5: "متن", 6: "متن"}
