@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +41,34 @@ def ascii_lower(text: Column) -> Column:
 def n_words(text: Column) -> Column:
     """Number of runs without space, tab, line feed, vertical tab, form feed, return; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS)), F.lit(0)).cast("long")
+
+
+class WordHashes(dict):
+    """64-bit hash of each word, kept for words seen lately."""
+
+    limit = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return value
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values over all bits."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return x ^ (x >> np.uint64(33))
+
+
+def rolling_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
+    """Hash of every run of ``size`` words; of the whole sequence if it is shorter."""
+    if not words:
+        return np.empty(0, np.uint64)
+    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    size = min(size, len(ids))
+    rolled = np.full(len(ids) - size + 1, size, np.uint64)
+    for k in range(size):
+        rolled = mix(rolled + ids[k:len(ids) - size + 1 + k])
+    return rolled

@@ -33,42 +33,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ship, stored
+from newsloom.llm.common import WordHashes, rolling_hashes, ship, stored
 
 ship(__name__)
 
 BANDS, ROWS, BATCH = 36, 5, 30
 STAR_ROUNDS = 6
-_CACHE = 400_000
-
-
-class _WordHashes(dict):
-    """64-bit hash of each word, kept for words seen lately."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
 
 
 def shingle_set(text: str | None, size: int, hashes: dict) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of one text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(size, len(ids))
-    rolled = np.full(len(ids) - size + 1, len(words) if len(words) < size else size, np.uint64)
-    for k in range(size):
-        rolled = _mix(rolled + ids[k:len(ids) - size + 1 + k])
-    return np.unique(rolled)
+    return np.unique(rolling_hashes(words, size, hashes))
 
 
 def _multipliers() -> np.ndarray:
@@ -89,7 +65,7 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
     ])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, multipliers = _WordHashes(), _multipliers()
+        hashes, multipliers = WordHashes(), _multipliers()
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), ([], [], [])
             for text in batch.column(1):
@@ -111,7 +87,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     ])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, multipliers = _WordHashes(), _multipliers()
+        hashes, multipliers = WordHashes(), _multipliers()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -280,3 +256,10 @@ def _crossing(opened: DataFrame, largest: DataFrame) -> DataFrame:
         *(F.col(c).alias(f"{c}2") for c in ("rep", "c", "n", "shared")),
     )
     return a.join(b, "key").where((F.col("c") != F.col("c2")) & (F.col("in_big") | (F.col("rep") < F.col("rep2"))))
+
+
+def one_per_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
+    """The rows of ``docs`` less those that another document of their group stands for."""
+    verdict = near_duplicates(docs, shingle_words, percent, miss)
+    gone = verdict.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

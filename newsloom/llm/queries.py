@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import line_dedup, near_dedup, quality_rules
+from newsloom.llm import decontaminate, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, toxicity, warc
+from newsloom.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +35,24 @@ def op2_line_dedup(spark, sf):
     )
 
 
+@query
+def op3_mixing(spark, sf):
+    return mixing.mix_sources(table(spark, sf, "documents")).taken()
+
+
+@query
+def op4_quality_model(spark, sf):
+    rows = quality_model.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return rows.select("doc_id", "text_score", "meta_score", "score", "kept")
+
+
+@query
+def op5_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    rows = toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+    return rows.select("doc_id", "held_out", "score", "predicted", "threshold", "flagged")
+
+
 @query
 def op6_quality_rules(spark, sf):
     rows = quality_rules.apply_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -43,6 +62,28 @@ def op6_quality_rules(spark, sf):
     )
 
 
+@query
+def op8_decontamination(spark, sf):
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op9_warc(spark, sf):
+    arc, out = scratch(spark, "arc"), scratch(spark, "warc")
+    warc.write_arc(table(spark, sf, "pages"), arc)
+    records = warc.read_arc(spark, arc)
+    warc.write_warc(warc.convert(records, key=warc.header("X-Key", F.col("head"))), out)
+    return warc.read_warc(spark, out).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
+        F.col("refers_to_key").alias("refers_to"),
+    )
+
+
+@query
+def op10_token_packing(spark, sf):
+    return packing.pack_tokens(table(spark, sf, "documents"))
+
+
 SQL["op2_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -63,3 +104,12 @@ SELECT doc_id, count(*) AS n_lines, CAST(coalesce(sum(CAST(dropped AS INT)), 0)
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+SQL["op9_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY h)
+SELECT page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes, sha256(p.h) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.h = f.h
+"""
