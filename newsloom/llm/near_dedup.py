@@ -169,9 +169,10 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) per document; links have similarity >= percent/100."""
     features = stored(_features(docs, shingle_words), "features")
     # the smallest document of every distinct set
-    classes = (
+    classes = stored(
         features.where("digest is not null and doc_id is not null")
-        .groupBy("digest").agg(F.min("doc_id").alias("rep"))
+        .groupBy("digest").agg(F.min("doc_id").alias("rep")),
+        "classes",
     )
     reps = features.join(classes, "digest").where("doc_id = rep").select("rep", "sig")
     keys = F.transform(
@@ -179,7 +180,7 @@ def near_duplicates(
     )
     bands = reps.select("rep", F.explode(keys).alias("key"))
     # a bucket with two different documents
-    shared = bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("key")
+    shared = stored(bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("key"), "keys")
     members = stored(bands.join(shared, "key"), "members")
     links = _links(docs, members, shingle_words, percent, miss)
     named = classes.join(components(links), F.col("rep") == F.col("node"), "left").select(
@@ -216,10 +217,10 @@ def _links(docs, members, shingle_words, percent, miss) -> DataFrame:
             named = live.join(component, F.col("rep") == F.col("node"), "left").select(
                 *live.columns, F.coalesce("component", "rep").alias("c")
             )
-        mixed = named.groupBy("key").agg(
+        mixed = stored(named.groupBy("key").agg(
             F.min("c").alias("lo"), F.max("c").alias("hi"),
             F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "rep", "c", "n", "shared")).alias("lead"),
-        ).where("lo <> hi").select("key", "lead")
+        ).where("lo <> hi").select("key", "lead"), "mixed")
         opened = stored(named.join(mixed, "key"), "open")
         parts = opened.groupBy("key", "c").agg(F.count("*").alias("k"))
         largest = stored(parts.groupBy("key").agg(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, toxicity, warc
+from newsloom.llm import decontaminate, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, substring_dedup, toxicity, warc
 from newsloom.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,13 @@ def op6_quality_rules(spark, sf):
     )
 
 
+@query
+def op7_substring_dedup(spark, sf):
+    return substring_dedup.dedup_passages(table(spark, sf, "documents")).select(
+        "doc_id", "n_passages", "repeated_bytes", "dropped_bytes", "shared_with", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op8_decontamination(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
