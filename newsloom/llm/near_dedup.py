@@ -39,6 +39,7 @@ ship(__name__)
 
 BANDS, ROWS, BATCH = 36, 5, 30
 STAR_ROUNDS = 6
+GROUPS = 32
 
 
 def shingle_set(text: str | None, size: int, hashes: dict) -> np.ndarray:
@@ -202,61 +203,99 @@ def _links(docs, members, shingle_words, percent, miss) -> DataFrame:
     alone = (
         raw.select("rep", F.explode("shingles").alias("s")).groupBy("s")
         .agg(F.count("*").alias("c"), F.min("rep").alias("rep")).where("c = 1")
-        .groupBy("rep").agg(F.count("*").alias("alone"))
+        .groupBy("rep").agg(F.collect_list("s").alias("alone"))
     )
-    near = raw.join(alone, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    near = _shared(raw.join(alone, "rep", "left"))
     near = stored(near.where(F.col("shared") * 100 >= F.lit(percent) * F.col("n")), "near")
     # members that can have a link at all, with what bounds their intersections
     size = near.select("rep", F.col("n").cast("int").alias("n"), F.col("shared").cast("int").alias("shared")).distinct()
     live = stored(members.join(size, "rep"), "live")
-    links, component = None, None
+    links, component, crossing_before = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         if component is None:
             named = live.withColumn("c", F.col("rep"))
         else:
             named = live.join(component, F.col("rep") == F.col("node"), "left").select(
-                *live.columns, F.coalesce("component", "rep").alias("c")
+                "key", "rep", "n", "shared", F.coalesce("component", "rep").alias("c")
             )
+        # the leader of a bucket is a member with few shingles of its own, another one in each round
+        rank = F.struct(F.floor((F.col("n") - F.col("shared")) * 50 / F.col("n")).alias("own"), F.xxhash64(F.lit(turn), "rep").alias("h"), "rep", "c", "n", "shared")
         mixed = stored(named.groupBy("key").agg(
-            F.min("c").alias("lo"), F.max("c").alias("hi"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "rep", "c", "n", "shared")).alias("lead"),
+            F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(rank).alias("lead"),
         ).where("lo <> hi").select("key", "lead"), "mixed")
         opened = stored(named.join(mixed, "key"), "open")
-        parts = opened.groupBy("key", "c").agg(F.count("*").alias("k"))
-        largest = stored(parts.groupBy("key").agg(
+        largest = stored(opened.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(
             F.max(F.struct("k", "c"))["c"].alias("big"), F.sum("k").alias("all"), F.max("k").alias("most")
         ), "largest")
         left, crossing = largest.agg(F.sum("all"), F.sum(F.expr("`all` * (`all` - most)"))).first()
         if not left:
             break
-        last = turn == STAR_ROUNDS or (turn > 0 and crossing <= 4 * left)
+        slow = crossing_before is not None and crossing > 0.7 * crossing_before
+        last = turn == STAR_ROUNDS or (turn > 0 and (slow or crossing <= 256 * left))
+        crossing_before = crossing if turn else None
         if last:
-            pairs = _crossing(opened.drop("lead"), largest.select("key", "big"))
+            pairs = _crossing(opened.drop("lead"), largest.select("key", "big"), near, percent)
         else:
-            pairs = opened.select(*live.columns, "c", *(F.col(f"lead.{c}").alias(f"{c}2") for c in ("rep", "c", "n", "shared")))
-        reachable = F.least("shared", "shared2") * (100 + percent) >= F.lit(percent) * (F.col("n") + F.col("n2"))
-        pairs = pairs.where(reachable & (F.col("c") != F.col("c2"))).select(
-            F.least("rep", "rep2").alias("x"), F.greatest("rep", "rep2").alias("y")
-        ).distinct()
+            pairs = opened.select("rep", "c", "n", "shared", *(F.col(f"lead.{c}").alias(f"{c}2") for c in ("rep", "c", "n", "shared")))
+            pairs = pairs.where(F.col("c") != F.col("c2")).where(_reachable(F.least("shared", "shared2"), percent))
+        pairs = pairs.select(F.least("rep", "rep2").alias("x"), F.greatest("rep", "rep2").alias("y")).distinct()
         found = stored(_confirmed(stored(pairs, "pairs"), near, percent, bounds), "links")
         links = found if links is None else links.union(found)
         if last:
             break
+        # a bucket whose members are in one component stays closed
+        live = opened.select("key", "rep", "n", "shared")
         component = stored(components(links), "component")
     if links is None:
         links = live.select(F.col("rep").alias("x"), F.col("rep").alias("y")).where("false")
     return links
 
 
-def _crossing(opened: DataFrame, largest: DataFrame) -> DataFrame:
+def _reachable(both: Column, percent: int) -> Column:
+    """Whether sets of n and n2 shingles can be similar enough with an intersection of at most ``both``."""
+    return both * (100 + percent) >= F.lit(percent) * (F.col("n") + F.col("n2"))
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """(rep, n, shared, sig, shingles, hist): shingles that another candidate has too, and their
+    number per group of hashes. Sum over groups of the smaller number bounds an intersection."""
+    schema = pa.schema([
+        ("rep", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("sig", pa.list_(pa.int32())),
+        ("shingles", pa.list_(pa.int64())), ("hist", pa.list_(pa.int32())),
+    ])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                kept = []
+                for has, alone in zip(part.column(2), part.column(3)):
+                    has = has.values.to_numpy()
+                    kept.append(has if not alone.is_valid else has[~np.isin(has, alone.values.to_numpy())])
+                hist = [np.bincount((k.view(np.uint64) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS) for k in kept]
+                yield pa.record_batch([
+                    part.column(0), part.column(1), pa.array([len(k) for k in kept], pa.int64()),
+                    *(pa.array(c, f.type) for c, f in zip((part.column(4).to_pylist(), kept, hist), list(schema)[3:])),
+                ], schema=schema)
+
+    return rows.select("rep", "n", "shingles", "alone", "sig").mapInArrow(
+        read, "rep long, n long, shared long, sig array<int>, shingles array<long>, hist array<int>"
+    )
+
+
+def _crossing(opened: DataFrame, largest: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket that lie in different components: members outside the bucket's
-    largest component, each with all of the others, every pair once."""
-    a = opened.join(largest, "key").where("c <> big").drop("big")
-    b = opened.join(largest, "key").select(
+    largest component, each with all of the others, every pair once. The bounds are part
+    of the join's condition, so pairs that cannot be links are never made into rows."""
+    rows = opened.join(largest, "key").join(near.select("rep", "hist"), "rep")
+    a = stored(rows.where("c <> big").drop("big"), "minority")
+    b = stored(rows.select(
         "key", (F.col("c") == F.col("big")).alias("in_big"),
-        *(F.col(c).alias(f"{c}2") for c in ("rep", "c", "n", "shared")),
-    )
-    return a.join(b, "key").where((F.col("c") != F.col("c2")) & (F.col("in_big") | (F.col("rep") < F.col("rep2"))))
+        *(F.col(c).alias(f"{c}2") for c in ("rep", "c", "n", "shared", "hist")),
+    ), "others")
+    both = F.aggregate(F.zip_with("hist", "hist2", lambda p, q: F.least(p, q)), F.lit(0), lambda s, x: s + x)
+    cheap = (F.col("c") != F.col("c2")) & (F.col("in_big") | (F.col("rep") < F.col("rep2"))) & _reachable(F.least("shared", "shared2"), percent)
+    return a.withColumnRenamed("key", "k").join(b, (F.col("k") == F.col("key")) & F.when(cheap, _reachable(both, percent)).otherwise(False))
 
 
 def one_per_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
