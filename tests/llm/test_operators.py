@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -239,8 +240,6 @@ def test_toxicity(spark):
     for r in got:
         assert r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1
         if r.doc_id in truth:
-            import zlib
-
             assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
             held += r.held_out
             right += r.held_out and r.predicted == truth[r.doc_id]
@@ -300,7 +299,11 @@ def test_rules(spark):
 def test_borders_move_only_near_an_insertion():
     rng, gear = random.Random(2), substring_dedup._gear()
     data = prose(rng, 2000).encode()
-    cut = lambda d: {d[a:b] for a, b in zip(s := substring_dedup.borders(np.frombuffer(d, np.uint8), gear).tolist(), [*s[1:], len(d)])}
+
+    def cut(d):
+        starts = substring_dedup.borders(np.frombuffer(d, np.uint8), gear).tolist()
+        return {d[a:b] for a, b in zip(starts, [*starts[1:], len(d)])}
+
     before, after = cut(data), cut(data[:5000] + b"inserted" + data[5000:])
     assert len(before - after) <= 2 and len(before) > 100
 
