@@ -37,6 +37,7 @@ from newsloom.llm.common import mix, n_words, ship, stored
 ship(__name__)
 
 GROUP_WORDS = 1 << 18                       # documents laid out by one task
+SLOTS_PER_TASK = 200_000
 
 
 def source_targets(
@@ -150,7 +151,9 @@ def _slots(spark, sources, block_words: int, cap: int, shard_slots: int, seed: i
     drawn = shards.mapInPandas(draw, "shard long, src int, n long")
     earlier = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = drawn.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    return numbered.mapInPandas(number, "shard long, src int, turn int, block long")
+    # as many tasks as their output needs; stored, so that the planner knows how large it is
+    numbered = numbered.repartition(max(1, total // SLOTS_PER_TASK), "src", "shard")
+    return stored(numbered.mapInPandas(number, "shard long, src int, turn int, block long"), "slots")
 
 
 def mix_sources(
