@@ -25,8 +25,9 @@ from newsloom.functions.urls import (
     url_host, url_path, url_scheme, without_query,
 )
 from newsloom.operators import bursts, dedup, joins, ledger, listing, numbering, report
+from newsloom.plans import jobs
 from newsloom.profile import SiteProfile
-from newsloom.session import scratch, spread
+from newsloom.session import scratch
 from newsloom.sinks import files as sinks
 from newsloom.sources import files as sources
 from newsloom.sources.sitemaps import sitemap_entries
@@ -154,7 +155,7 @@ def archive_posts(spark, sf):
 def whitespace_normalize(spark, sf):
     """F9-F11, both forms, on text with injected blank lines and spaces."""
     rough = F.replace("text", F.lit(". "), F.lit(".\u00a0 \t\n \n\n "))
-    docs = spread(table(spark, sf, "documents")).select("doc_id", rough.alias("rough"))
+    docs = table(spark, sf, "documents").select("doc_id", rough.alias("rough"))
     return docs.select(
         "doc_id", normalize_archive_text("rough").alias("archive_text"),
         normalize_page_text("rough").alias("page_text"),
@@ -385,7 +386,8 @@ def dedup_keep_first(spark, sf):
 @query
 def duplicates_report(spark, sf):
     """D5."""
-    return dedup.duplicates_report(table(spark, sf, "documents"), F.sha2("text", 256))
+    docs, key = table(spark, sf, "documents"), F.sha2("text", 256)
+    return dedup.duplicates_report(docs, key, dedup.dedup_keep_first(docs, key, "doc_id"))
 
 
 @query
@@ -410,6 +412,50 @@ def validation_report(spark, sf):
     return report.validation_report(docs.unionByName(again), corrupt="_corrupt_record")
 
 
+@query
+def validation_report_offsets(spark, sf):
+    """A1: equal local times under different offsets, some records without id."""
+    hours = F.col("doc_id") % 12
+    docs = table(spark, sf, "documents").select(
+        F.when(F.col("doc_id") % 7 > 0, F.col("doc_id")).alias("id"), "text",
+        F.concat(F.lit("2024-01-01T00:00:00+"), F.lpad(hours.cast("string"), 2, "0"), F.lit(":00")).alias("published_at"),
+    )
+    return report.validation_report(docs, title=None)
+
+
+@query
+def archive_job_runs(spark, sf):
+    """Two run folders of archive pages under the names Spark gives, the second repeating the first."""
+    base, out = scratch(spark, "landed"), scratch(spark, "job")
+    docs = table(spark, sf, "documents")
+    post = F.struct(
+        F.col("doc_id").alias("id"), F.lit("2024-01-01T00:00:00").alias("date"), F.col("lang").alias("slug"),
+        F.struct(F.col("source").alias("rendered")).alias("title"), F.struct(F.lit("<p>a</p>").alias("rendered")).alias("content"),
+    )
+    for run, rows in (("run1", docs.where("doc_id % 2 = 0")), ("run2", docs)):
+        pages = rows.groupBy(F.floor(F.col("doc_id") / 100)).agg(F.to_json(F.collect_list(post)).alias("value"))
+        pages.select("value").write.option("maxRecordsPerFile", 1).text(f"{base}/{run}")
+    jobs.archive_job(spark, base, out, PROFILE)
+    return sources.read_articles(spark, f"{out}/articles").select("id", "slug", "published_at")
+
+
+@query
+def merge_page_form(spark, sf):
+    """Two runs of page records merged by URL, with the counts of the input."""
+    base, out = scratch(spark, "runs"), scratch(spark, "merged")
+    docs = table(spark, sf, "documents").select(
+        F.concat(F.lit("https://news.example.com/"), F.col("doc_id").cast("string")).alias("url"),
+        F.col("text").alias("body_text"), F.col("n_chars").cast("int").alias("char_count"),
+    )
+    for run in ("run1", "run2"):
+        sinks.write_article_shards(docs, f"{base}/{run}")
+    seen = jobs.merge_job(spark, f"{base}/*", out, schema=schemas.ARTICLES_PAGE).first()
+    rows = sources.read_articles(spark, f"{out}/articles", schemas.ARTICLES_PAGE)
+    return rows.select(
+        "url", long("char_count").alias("n_chars"), F.lit(seen.input_records).alias("input_records"), F.lit(seen.removed).alias("removed")
+    )
+
+
 @query
 def validation_report_pages(spark, sf):
     """A1 over extracted page text."""
@@ -493,7 +539,7 @@ def document_records(spark, sf) -> DataFrame:
     """Documents in the 12-field record shape."""
     none = F.lit(None).cast("string")
     ids = F.array().cast("array<bigint>")
-    return spread(table(spark, sf, "documents")).select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), none.alias("url"), F.col("lang").alias("slug"),
         none.alias("published_at"), none.alias("modified_at"), F.col("source").alias("title"),
         "text", F.lit("").alias("excerpt"), F.array("n_chars").alias("categories"), ids.alias("tags"),
@@ -528,12 +574,13 @@ def malformed_lines(spark, sf):
 
 @query
 def shard_stats(spark, sf):
-    """Numbered shards, then records per shard folder."""
+    """Numbered shards, whose files have equal names, then records per shard."""
     path = scratch(spark, "shards")
     sinks.write_numbered_shards(document_records(spark, sf), path, "id")
-    rows = spark.read.schema("id long, text string, shard long").json(path)
-    return rows.groupBy("shard").agg(
-        F.count("*").alias("records"), F.sum(long(F.length("text"))).alias("chars"), F.min("id").alias("first_id")
+    stats = report.shard_stats(sources.read_articles(spark, path))
+    shard = long(F.regexp_extract("file_path", r"shard=(\d+)", 1))
+    return stats.groupBy(shard.alias("shard")).agg(
+        F.sum("records").alias("records"), F.count_if(F.col("bytes") == 0).cast("long").alias("empty_files")
     )
 
 

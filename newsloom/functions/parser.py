@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import sys
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -25,36 +26,34 @@ _BLOCK, _SKIP, _VOID = set(BLOCK_TAGS), set(SKIP_TAGS), set(VOID_TAGS)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class _BlockText(HTMLParser):
-    """Visible text with a newline at each edge of a block element."""
+class _Tape(HTMLParser):
+    """What a page consists of, in order: (1, tag) opens, (-1, tag) closes, (0, text)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.out, self.hidden = [], 0
-
-    def _edge(self, tag):
-        if tag in _BLOCK and not self.hidden:
-            self.out.append("\n")
+        self.parts: list[tuple[int, str]] = []
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in _SKIP
-        self._edge(tag)
+        self.parts.append((1, tag))
 
     def handle_endtag(self, tag):
-        self._edge(tag)
-        if tag in _SKIP and self.hidden:
-            self.hidden -= 1
+        self.parts.append((-1, tag))
 
     def handle_data(self, data):
-        if not self.hidden:
-            self.out.append(data)
+        self.parts.append((0, data))
 
 
 def _block_text(markup: str) -> str:
-    reader = _BlockText()
-    reader.feed(markup)
-    reader.close()
-    return html.unescape("".join(reader.out))
+    """Text outside skipped elements, a newline wherever a block element begins or ends."""
+    tape = _Tape()
+    tape.feed(markup)
+    tape.close()
+    steps = (way if way and name in _SKIP else 0 for way, name in tape.parts)
+    depths = accumulate(steps, lambda depth, step: max(0, depth + step))
+    shown = ((way, name) for (way, name), depth in zip(tape.parts, depths) if depth == 0)
+    return html.unescape("".join(
+        "\n" if way and name in _BLOCK else "" if way else name for way, name in shown
+    ))
 
 
 @F.pandas_udf(T.StringType())

@@ -26,16 +26,16 @@ def repeated_rows(df: DataFrame, key: Column, position: str) -> DataFrame:
     Only key and position are read. The counts are combined before the shuffle, so a
     key holding a third of all rows is one record per task; the join back has one row
     per repeated key on its right, which adaptive execution broadcasts when it is
-    small and otherwise joins with the hot key split.
+    small and otherwise joins with the hot key split. A row without a key repeats nothing.
     """
-    narrow = df.select(key.alias("__key"), F.col(position).alias("__pos"))
+    narrow = df.select(key.alias("__key"), F.col(position).alias("__pos")).where("__key is not null")
     first = (
         narrow.groupBy("__key")
         .agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
         .where("__n > 1")
         .select(F.col("__key").alias("__k"), "__first")
     )
-    return narrow.join(first, F.col("__key").eqNullSafe(F.col("__k"))).where(
+    return narrow.join(first, F.col("__key") == F.col("__k")).where(
         F.col("__pos") > F.col("__first")
     ).select(F.col("__pos").alias(position))
 
@@ -69,13 +69,20 @@ def cross_chunk_merge(parts: list[DataFrame], key: str, position: str) -> DataFr
     return dedup_keep_first(merged, key, "__at").drop("__part", "__at")
 
 
-def duplicates_report(df: DataFrame, key: Column | str) -> DataFrame:
-    """Rows in, rows kept, rows removed, duplicates remaining after D1."""
+def duplicates_report(df: DataFrame, key: Column | str, kept: DataFrame | None = None) -> DataFrame:
+    """Rows in, rows that D1 keeps and removes (rows without a key are kept), and the duplicates
+    that remain in ``kept``, the rows D1 gave."""
     key = F.col(key) if isinstance(key, str) else key
-    per_key = df.groupBy(key.alias("__key")).agg(F.count("*").alias("n"))
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in"),
-        F.count("*").alias("rows_kept"),
-    ).select(
-        "rows_in", "rows_kept", (F.col("rows_in") - F.col("rows_kept")).alias("rows_removed")
-    )
+
+    def counted(rows: DataFrame) -> DataFrame:
+        per_key = rows.groupBy(key.alias("__key")).agg(F.count("*").alias("n"))
+        unique = F.when(F.col("__key").isNull(), F.col("n")).otherwise(1)
+        return per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in"), F.coalesce(F.sum(unique), F.lit(0)).alias("rows_kept")
+        )
+
+    report = counted(df).select("rows_in", "rows_kept", (F.col("rows_in") - F.col("rows_kept")).alias("rows_removed"))
+    if kept is None:
+        return report
+    left = counted(kept).first()
+    return report.withColumn("remaining", F.lit(left.rows_in - left.rows_kept).cast("long"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.profile import SiteProfile, category_dim
+from newsloom.session import scratch
 
 
 def pending_work(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -52,10 +53,15 @@ def only_post_sitemaps(entries: DataFrame, mark: str = "post-sitemap") -> DataFr
 
 
 def discover_urls(sitemap_urls: DataFrame, listing_urls: DataFrame) -> DataFrame:
-    """The sitemap result, or the listing result when the sitemap gave nothing."""
-    return listing_urls if sitemap_urls.isEmpty() else sitemap_urls
+    """The sitemap result, or the listing result when the sitemap gave nothing. The sitemap
+    result is stored once, so that looking whether it is empty does not parse it again."""
+    spark = sitemap_urls.sparkSession
+    path = scratch(spark, "sitemap-urls")
+    sitemap_urls.write.parquet(path)
+    stored = spark.read.schema(sitemap_urls.schema).parquet(path)
+    return listing_urls if stored.isEmpty() else stored
 
 
 def page_range_from(pages: DataFrame, start_page: int) -> DataFrame:
-    """Pages from ``start_page`` on."""
-    return pages.where(F.col("page") >= start_page)
+    """Pages from ``start_page`` on; a page without a number is never left out."""
+    return pages.where(F.col("page").isNull() | (F.col("page") >= start_page))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.scalars import OUTCOMES, backoff_seconds, floor_div, format_elapsed
+from newsloom.functions.scalars import backoff_seconds, floor_div, format_elapsed
 from newsloom.session import scratch
 
 TICK_SECONDS = 15  # Fixed value: seconds between two progress lines.
@@ -19,15 +19,21 @@ def micros_of(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def progress_rate(ledger: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFrame:
+def progress_rate(
+    ledger: DataFrame, tick_seconds: int = TICK_SECONDS, work: DataFrame | None = None
+) -> DataFrame:
     """Running totals, rate and time left at every tick with an attempt.
 
+    What remains is counted against ``work``, the list of what was to be done; without
+    one, against the attempts of the ledger, so that nothing remains at its end.
+
     Needs ``ts`` and ``outcome``. Attempts are reduced to ticks, which are stored: their
     number depends on the time a run takes, not on its size. Ticks are summed inside
     their day, and days (a few thousand rows in ten years) are summed after.
     """
     ok = F.col("outcome") == "ok"
     us = micros_of(F.col("ts"))
+    total = None if work is None else work.count()
     day_us = 86_400_000_000
     tick_us = tick_seconds * 1_000_000
     counted = ledger.groupBy(floor_div(us, tick_us).alias("tick")).agg(
@@ -55,7 +61,7 @@ def progress_rate(ledger: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFr
     done = F.col("n_before") + F.col("n")
     run = run.select(
         "tick", elapsed.alias("elapsed_s"), saved.alias("saved"), (done - saved).alias("failed"),
-        (F.col("pending") - done).alias("remaining"),
+        F.greatest((F.col("pending") if total is None else F.lit(total)) - done, F.lit(0)).alias("remaining"),
         (saved / F.greatest(elapsed, F.lit(1))).alias("rate"),
     )
     eta = F.when(F.col("rate") > 0.1, F.floor(F.col("remaining") / F.col("rate")).cast("long"))
@@ -68,25 +74,16 @@ def progress_rate(ledger: DataFrame, tick_seconds: int = TICK_SECONDS) -> DataFr
 def _key_status(ledger: DataFrame, key: str) -> DataFrame:
     """Last attempt and time of the first attempt per key.
 
-    Time, attempt and outcome are packed into one long whose maximum is the latest
-    attempt: a hash aggregate that is combined before the shuffle. A later success
-    takes a URL off the failed list.
+    The last attempt is the maximum of (time, attempt, outcome): the latest time, then the
+    highest attempt number, one without a number first. It is combined before the shuffle.
+    A later success takes a URL off the failed list.
     """
-    code = F.array_position(F.array(*[F.lit(o) for o in OUTCOMES]), F.col("outcome")).cast("long") - 1
-    packed = (
-        F.shiftleft(micros_of(F.col("ts")), 10)
-        + F.shiftleft(F.least(F.col("attempt").cast("long"), F.lit(127)), 3) + code
-    )
-    last = ledger.groupBy(key).agg(
-        F.max(packed).alias("__last"), F.max("attempt").alias("attempt"),
-        F.min(micros_of(F.col("ts"))).alias("first_micros"),
-    )
-    names = F.array(*[F.lit(o) for o in OUTCOMES])
+    us = micros_of(F.col("ts"))
+    latest = F.max(F.struct(us.alias("us"), F.col("attempt").cast("long").alias("attempt"), "outcome"))
+    last = ledger.groupBy(key).agg(latest.alias("__last"), F.min(us).alias("first_micros"))
     return last.select(
-        key, "attempt",
-        F.timestamp_micros(F.shiftright("__last", 10)).alias("ts"),
-        F.element_at(names, F.col("__last").bitwiseAND(F.lit(7)).cast("int") + 1).alias("outcome"),
-        "first_micros",
+        key, F.col("__last.attempt").cast(ledger.schema["attempt"].dataType).alias("attempt"),
+        F.timestamp_micros("__last.us").alias("ts"), F.col("__last.outcome").alias("outcome"), "first_micros",
     )
 
 

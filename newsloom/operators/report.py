@@ -26,8 +26,8 @@ def validation_report(
     """One row of counts over a corpus.
 
     Everything is combined on the map side; the only rows that move are the distinct
-    keys. Published times are compared as instants of their fixed-width form, so the
-    aggregate stays a hash aggregate (a string minimum would sort the whole input).
+    keys. Published times are compared as instants: an offset counts, a time without one
+    is taken as UTC. A record without a key is no id; it is counted as ``null_ids``.
     """
     good = F.col(corrupt).isNull() if corrupt else F.lit(True)
     length = F.length(text).cast("long")
@@ -40,12 +40,14 @@ def validation_report(
         *([F.min(_instant(published)).alias("lo"), F.max(_instant(published)).alias("hi")] if published else []),
     )
     n, is_good = F.col("n"), F.col("good")
-    kept = F.count_if(is_good)
+    has_key = is_good & F.col("key").isNotNull()
+    kept = F.count_if(has_key)
     report = per_key.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("total_records"),
         kept.alias("unique_ids"),
         F.coalesce(F.sum(F.when(~is_good, n)), F.lit(0)).alias("malformed"),
-        (F.coalesce(F.sum(F.when(is_good, n)), F.lit(0)) - kept).alias("duplicates"),
+        (F.coalesce(F.sum(F.when(has_key, n)), F.lit(0)) - kept).alias("duplicates"),
+        F.coalesce(F.sum(F.when(is_good & F.col("key").isNull(), n)), F.lit(0)).alias("null_ids"),
         F.coalesce(F.sum(F.when(is_good, F.col("empty"))), F.lit(0)).alias("empty_text"),
         F.coalesce(F.sum(F.when(is_good, F.col("chars"))), F.lit(0)).alias("chars_total"),
         F.min("key").alias("min_id"),
@@ -59,7 +61,7 @@ def validation_report(
 
 
 def _instant(column: str) -> Column:
-    return F.try_to_timestamp(F.substring(column, 1, 19), F.lit(_ISO))
+    return F.col(column).try_cast("timestamp")
 
 
 def count_by_category(articles: DataFrame, *columns: str) -> DataFrame:
@@ -83,8 +85,10 @@ def length_profile(records: DataFrame, text: str, *by: str) -> DataFrame:
 
 
 def shard_stats(shards: DataFrame) -> DataFrame:
-    """A3: records and size of every file read by ``shards`` (a file-based DataFrame)."""
-    return shards.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
+    """A3: records and size of every file read by ``shards`` (a file-based DataFrame). Files are
+    told apart by their path: folders of one output repeat the names of their files."""
+    return shards.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+        F.first("_metadata.file_name").alias("file_name"),
         F.count("*").alias("records"), F.max("_metadata.file_size").alias("bytes"),
     ).withColumn("mb", F.round(mebibytes(F.col("bytes")), 2))
 
@@ -99,7 +103,7 @@ def shard_totals(stats: DataFrame) -> DataFrame:
 
 def latest_shards(stats: DataFrame, n: int = 5) -> DataFrame:
     """O3: the last shards by name."""
-    return stats.orderBy(F.desc("file_name")).limit(n)
+    return stats.orderBy(F.desc("file_path" if "file_path" in stats.columns else "file_name")).limit(n)
 
 
 def preview(rows: DataFrame, shard: str, position: str, n: int = 3) -> DataFrame:
@@ -130,18 +134,20 @@ def record_checksum(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 
-def checksum_number(digest: Column) -> Column:
-    """First 60 bits of a hex digest, as a number that can be summed in any order."""
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
+def checksum_parts(digest: Column) -> list[Column]:
+    """A hex digest as five numbers of 13 digits (the last of 12), all 64 of them, that can be summed in any order."""
+    return [F.conv(F.substring(digest, at, 13), 16, 10).cast("decimal(20,0)") for at in range(1, 65, 13)]
 
 
 def dataset_checksum(records: DataFrame, digest: Column | None = None) -> DataFrame:
-    """Row count and a sum of record digests; independent of order and layout."""
+    """Row count and the sums of all parts of the record digests; independent of order and layout."""
     if digest is None:
         digest = record_checksum(*records.columns)
     return records.agg(
         F.count("*").alias("records"),
-        F.coalesce(F.sum(checksum_number(digest)), F.lit(0)).cast("decimal(38,0)").alias("checksum"),
+        F.concat_ws("-", *(
+            F.coalesce(F.sum(part), F.lit(0)).cast("decimal(38,0)").cast("string") for part in checksum_parts(digest)
+        )).alias("checksum"),
     )
 
 

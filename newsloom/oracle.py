@@ -86,8 +86,8 @@ FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) % 7 AS attempt,
              WHEN event_type = 'error' THEN 503 ELSE 500 END AS status FROM events)
 """
 STATUS = f"""
-SELECT url, max(attempt) AS attempt, max(us) AS ts_micros,
-  arg_max(outcome, us * 16 + attempt) AS outcome
+SELECT url, arg_max(attempt, (us, attempt, outcome)) AS attempt, max(us) AS ts_micros,
+  arg_max(outcome, (us, attempt, outcome)) AS outcome
 FROM ({ATTEMPTS}) GROUP BY url
 """
 
@@ -224,13 +224,26 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, count(*) OVER ()
         "dedup_keep_first": """
 SELECT doc_id, lang, source, text FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k = 1""",
         "duplicates_report": """
-SELECT count(*) AS rows_in, count(DISTINCT text) AS rows_kept, count(*) - count(DISTINCT text) AS rows_removed FROM documents""",
+SELECT count(*) AS rows_in, count(DISTINCT text) AS rows_kept, count(*) - count(DISTINCT text) AS rows_removed,
+  CAST(0 AS BIGINT) AS remaining FROM documents""",
+        "archive_job_runs": "SELECT doc_id AS id, lang AS slug, CAST(published AS VARCHAR) AS published_at FROM (SELECT *, '2024-01-01T00:00:00' AS published FROM documents)",
+        "merge_page_form": """
+SELECT 'https://news.example.com/' || doc_id AS url, n_chars, CAST(2 * count(*) OVER () AS BIGINT) AS input_records,
+  count(*) OVER () AS removed FROM documents""",
+        "validation_report_offsets": """
+SELECT count(*) AS total_records, count(DISTINCT i) AS unique_ids, CAST(0 AS BIGINT) AS malformed, count(i) - count(DISTINCT i) AS duplicates,
+  count(*) - count(i) AS null_ids, count(*) FILTER (text = '') AS empty_text, CAST(sum(length(text)) AS BIGINT) AS chars_total,
+  min(i) AS min_id, max(i) AS max_id,
+  strftime(min(TIMESTAMP '2024-01-01 00:00:00' - to_hours(CAST(doc_id % 12 AS BIGINT))), '%Y-%m-%dT%H:%M:%S') AS first_published,
+  strftime(max(TIMESTAMP '2024-01-01 00:00:00' - to_hours(CAST(doc_id % 12 AS BIGINT))), '%Y-%m-%dT%H:%M:%S') AS last_published
+FROM (SELECT *, CASE WHEN doc_id % 7 > 0 THEN doc_id END AS i FROM documents)""",
         "cross_chunk_merge": """
 SELECT doc_id, source, n_chars, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'first' ELSE 'second' END AS run FROM documents""",
         "validation_report": f"""
 SELECT count(*) AS total_records, count(DISTINCT CASE WHEN NOT bad THEN id END) AS unique_ids,
   count(*) FILTER (bad) AS malformed,
-  count(*) FILTER (NOT bad) - count(DISTINCT CASE WHEN NOT bad THEN id END) AS duplicates,
+  count(id) FILTER (NOT bad) - count(DISTINCT CASE WHEN NOT bad THEN id END) AS duplicates,
+  count(*) FILTER (NOT bad AND id IS NULL) AS null_ids,
   count(*) FILTER (NOT bad AND text = '') AS empty_text,
   CAST(sum(length(text) + length(title)) FILTER (NOT bad) AS BIGINT) AS chars_total,
   min(id) FILTER (NOT bad) AS min_id, max(id) FILTER (NOT bad) AS max_id,
@@ -239,7 +252,7 @@ SELECT count(*) AS total_records, count(DISTINCT CASE WHEN NOT bad THEN id END)
 FROM ({checked})""",
         "validation_report_pages": f"""
 SELECT count(*) AS total_records, count(DISTINCT page_id) AS unique_ids, CAST(0 AS BIGINT) AS malformed,
-  count(*) - count(DISTINCT page_id) AS duplicates, count(*) FILTER (t = '') AS empty_text,
+  count(*) - count(DISTINCT page_id) AS duplicates, CAST(0 AS BIGINT) AS null_ids, count(*) FILTER (t = '') AS empty_text,
   CAST(sum(length(t)) AS BIGINT) AS chars_total, min(page_id) AS min_id, max(page_id) AS max_id
 FROM (SELECT page_id, {html_text('html')} AS t FROM pages)""",
         "count_by_category": "SELECT source, lang, count(*) AS articles FROM documents GROUP BY 1, 2",
@@ -260,17 +273,17 @@ SELECT source AS file_name, count(*) AS records, CAST(sum(n_chars) AS BIGINT) AS
 SELECT doc_id, line, sha256(substr(line, 1, length(line) - 1) || ',"n_chars":' || CAST(n_chars AS VARCHAR) || '}') AS digest,
   sha256(text) AS text_digest
 FROM (SELECT *, '{"doc_id":' || CAST(doc_id AS VARCHAR) || ',"lang":"' || lang || '","source":"' || source || '"}' AS line FROM documents)""",
-        "dataset_checksum": """
-SELECT count(*) AS records,
-  CAST(sum(CAST(('0x' || substr(sha256(concat_ws('|', doc_id, lang, source, text)), 1, 15)) AS BIGINT)) AS VARCHAR) AS checksum FROM documents""",
+        "dataset_checksum": f"""
+SELECT count(*) AS records, concat_ws('-', {', '.join(f"CAST(sum(CAST(('0x' || substr(h, {i}, 13)) AS BIGINT)) AS VARCHAR)" for i in range(1, 65, 13))}) AS checksum
+FROM (SELECT sha256(concat_ws('|', doc_id, lang, source, text)) AS h FROM documents)""",
         "jsonl_round_trip": """
 SELECT doc_id AS id, CAST(NULL AS VARCHAR) AS url, lang AS slug, CAST(NULL AS VARCHAR) AS published_at, source AS title, text,
   '' AS excerpt, n_chars AS category, CAST(0 AS BIGINT) AS n_tags, CAST(NULL AS BIGINT) AS author_id, 'Example News' AS source FROM documents""",
         "malformed_lines": """
 SELECT CASE WHEN length(text) >= 100 THEN doc_id END AS id, CAST(length(text) < 100 AS INTEGER) AS malformed FROM documents""",
         "shard_stats": """
-SELECT shard, count(*) AS records, CAST(sum(length(text)) AS BIGINT) AS chars, min(doc_id) AS first_id
-FROM (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 500 AS shard FROM documents) GROUP BY shard""",
+SELECT shard, count(*) AS records, CAST(0 AS BIGINT) AS empty_files
+FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 500 AS shard FROM documents) GROUP BY shard""",
         "shard_totals": "SELECT count(*) AS records, CAST(0 AS BIGINT) AS too_long, CAST(0 AS BIGINT) AS empty_files FROM documents",
         "single_archive": "SELECT count(*) AS records, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents",
         "sized_parts": "SELECT count(*) AS records, CAST(0 AS BIGINT) AS oversize FROM documents",
@@ -280,7 +293,7 @@ FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS rn, count(*) O
         "gzip_test": "SELECT count(*) AS lines, CAST(0 AS BIGINT) AS bad_files, CAST(0 AS BIGINT) AS unhashed_files FROM documents",
         "report_sink": """
 SELECT count(*) AS total_records, count(DISTINCT doc_id) AS unique_ids, CAST(0 AS BIGINT) AS malformed,
-  count(*) - count(DISTINCT doc_id) AS duplicates, count(*) FILTER (text = '') AS empty_text,
+  count(*) - count(DISTINCT doc_id) AS duplicates, CAST(0 AS BIGINT) AS null_ids, count(*) FILTER (text = '') AS empty_text,
   CAST(sum(length(text) + length(source)) AS BIGINT) AS chars_total, min(doc_id) AS min_id, max(doc_id) AS max_id FROM documents""",
         "outcome_classes": f"""
 SELECT event_id, outcome, {backoff('attempt')} AS backoff_s,

@@ -12,7 +12,7 @@ from newsloom import schemas
 from newsloom.functions.archive import map_archive_record
 from newsloom.functions.article import extract_article
 from newsloom.functions.urls import is_article_url, listing_link_rows
-from newsloom.operators.dedup import dedup_keep_first, distinct_urls
+from newsloom.operators.dedup import dedup_keep_first, distinct_urls, duplicates_report
 from newsloom.operators.joins import (
     attach_discovered_category, category_names, discover_urls, only_post_sitemaps, page_range_from,
     pending_work,
@@ -20,9 +20,12 @@ from newsloom.operators.joins import (
 from newsloom.operators.listing import first_seen, listing_stop_rule, page_walk
 from newsloom.operators.report import validation_report
 from newsloom.profile import SiteProfile
-from newsloom.session import scratch
-from newsloom.sinks.files import SHARD_ROWS, write_article_shards, write_report, write_url_list
-from newsloom.sources.files import drop_malformed, land_articles, read_archive_pages, read_articles, read_pages
+from newsloom.session import drop_scratch, scratch
+from newsloom.sinks.files import SHARD_ROWS, append_ledger, write_article_shards, write_report, write_url_list
+from newsloom.sources.files import (
+    broken_pages, drop_malformed, land_articles, malformed_lines, posts_of, read_archive_files, read_articles,
+    read_ledger, read_pages,
+)
 from newsloom.sources.sitemaps import read_sitemaps
 from newsloom.streaming.sinks import append_first_seen, ingest_stream
 from newsloom.streaming.sources import stream_files
@@ -34,18 +37,23 @@ def archive_job(
 ) -> DataFrame:
     """Landed archive pages -> deduplicated 12-field shards; returns the report.
 
-    The mapped records are stored once, because both the search for repeats and the
-    final write read them; the first copy in (page, place) order is kept.
+    Pages may lie in several folders and have any names; of repeated records the first by
+    (page, file path, place) stays, and records without an id all stay. Broken pages go to
+    ``out/quarantine``. The report counts the input: what was malformed, repeated, kept.
     """
-    posts = page_range_from(read_archive_pages(spark, pages_path), start_page)
+    files = read_archive_files(spark, pages_path)
+    landed, broken = scratch(spark, "records"), f"{out}/quarantine"
+    broken_pages(files).write.json(broken)
+    posts = page_range_from(posts_of(files), start_page)
     if done is not None:
         posts = pending_work(posts, done, "page")
-    place = F.shiftleft("page", 32) + F.col("pos")
-    landed = scratch(spark, "records")
+    place = F.struct(F.coalesce("page", F.lit(2**62)).alias("page"), "path", "pos")
     map_archive_record(posts.withColumn("__place", place), profile, keep=("__place",)).write.parquet(landed)
-    records = dedup_keep_first(spark.read.parquet(landed), "id", "__place").drop("__place")
-    write_article_shards(records, f"{out}/articles", shard_rows)
-    return report_job(spark, f"{out}/articles", f"{out}/report", schemas.ARTICLES_ARCHIVE)
+    rows = spark.read.parquet(landed)
+    records = dedup_keep_first(rows, "id", "__place")
+    write_article_shards(records.drop("__place"), f"{out}/articles", shard_rows)
+    bad = spark.read.schema("file string").json(broken).count()
+    return input_report(rows, f"{out}/articles", f"{out}/report", schemas.ARTICLES_ARCHIVE, bad, landed)
 
 
 def discover_job(
@@ -91,23 +99,71 @@ def listing_urls(listings: DataFrame, profile: SiteProfile) -> DataFrame:
 def page_job(
     spark: SparkSession, pages_path: str, out: str, profile: SiteProfile,
     url_list: DataFrame | None = None, done: DataFrame | None = None, shard_rows: int = SHARD_ROWS,
+    ledger: str | None = None,
 ) -> None:
-    """Landed pages -> 7-field shards, leaving out what is done."""
+    """Landed pages -> 7-field shards, leaving out what is done.
+
+    Articles are extracted before what is done is left out, so raw pages are not shuffled.
+    With ``ledger`` every page becomes an attempt there: ``ok``, or ``rejected`` when it
+    holds no valid article; a next run takes its ``done`` from it.
+    """
     pages = read_pages(spark, pages_path)
-    if done is not None:
-        pages = pending_work(pages, done, "url")
     articles = extract_article(pages, profile, default_category=None if url_list is not None else "unknown")
+    if done is not None:
+        articles = pending_work(articles, done, "url")
     if url_list is not None:
         articles = attach_discovered_category(articles, url_list)
     write_article_shards(articles, f"{out}/articles", shard_rows)
+    if ledger is not None:
+        saved = spark.read.schema("url string").json(f"{out}/articles").distinct()
+        tried = pages.select("url").distinct()
+        if done is not None:
+            tried = pending_work(tried, done, "url")
+        before = read_ledger(spark, ledger).groupBy("url").agg(F.max("attempt").alias("__n"))
+        attempts = tried.join(saved.withColumn("__ok", F.lit(True)), "url", "left").join(before, "url", "left").select(
+            "url", (F.coalesce("__n", F.lit(-1)) + 1).cast("int").alias("attempt"),
+            F.current_timestamp().alias("ts"), F.lit(200).alias("status"),
+            F.when(F.col("__ok"), "ok").otherwise("rejected").alias("outcome"),
+        )
+        landed = scratch(spark, "attempts")
+        attempts.write.parquet(landed)
+        append_ledger(spark.read.schema(attempts.schema).parquet(landed), ledger)
+        drop_scratch(spark, landed)
+
+
+def merge_job(
+    spark: SparkSession, shards: str, out: str, shard_rows: int = SHARD_ROWS,
+    schema=schemas.ARTICLES_ARCHIVE,
+) -> DataFrame:
+    """Shards of several runs -> one deduplicated corpus; returns the report.
 
-
-def merge_job(spark: SparkSession, shards: str, out: str, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Shards of several runs -> one deduplicated corpus; returns the report."""
-    rows = drop_malformed(land_articles(spark, shards))
-    records = dedup_keep_first(rows, "id", "ingest_pos").drop("ingest_pos")
+    ``schema`` is the record form of the shards: archive records are told apart by ``id``,
+    page records (``schemas.ARTICLES_PAGE``) by ``url``. Records without a key all stay;
+    malformed lines go to ``out/quarantine``.
+    """
+    key = "url" if "body_text" in schema.fieldNames() else "id"
+    landed = land_articles(spark, shards, schema)
+    malformed_lines(landed).write.json(f"{out}/quarantine")
+    rows = drop_malformed(landed)
+    records = dedup_keep_first(rows, key, "ingest_pos").drop("ingest_pos")
     write_article_shards(records, f"{out}/articles", shard_rows)
-    return report_job(spark, f"{out}/articles", f"{out}/report", schemas.ARTICLES_ARCHIVE)
+    bad = landed.where(F.col(schemas.CORRUPT).isNotNull()).count()
+    return input_report(rows, f"{out}/articles", f"{out}/report", schema, bad)
+
+
+def input_report(rows: DataFrame, shards: str, out: str, schema, malformed: int, *scratch_paths: str) -> DataFrame:
+    """The report over written shards, with what the input had: records, malformed, duplicates removed."""
+    spark = rows.sparkSession
+    key = "url" if "body_text" in schema.fieldNames() else "id"
+    seen = duplicates_report(rows, key).first()
+    report = report_job(spark, shards, out, schema).withColumns({
+        "input_records": F.lit(seen.rows_in).cast("long"), "input_malformed": F.lit(malformed).cast("long"),
+        "removed": F.lit(seen.rows_removed).cast("long"),
+    })
+    made = spark.createDataFrame(report.collect(), report.schema)
+    write_report(made, out)
+    drop_scratch(spark, *scratch_paths)
+    return spark.read.schema(report.schema).json(out)
 
 
 def report_job(spark: SparkSession, shards: str, out: str, schema) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the jobs rely on. Anything about cluster size stays with spark-submit.
 JOB_CONF = {
@@ -47,16 +47,9 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/newsloom/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input too small to have a split for each.
-
-    The size is the planner's own estimate from the file listing. An input with at
-    least one full split per core comes back as it is, so big tables are not shuffled.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
-    ))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split_bytes else df
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate tables of a job that has written its output."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        at = hadoop(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

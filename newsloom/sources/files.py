@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom import schemas
-from newsloom.session import scratch, spread
+from newsloom.session import scratch
 
 
 def _json(spark: SparkSession, schema: T.StructType, **options: str):
@@ -65,26 +65,28 @@ def malformed_lines(rows: DataFrame) -> DataFrame:
 
 
 def read_archive_files(spark: SparkSession, path: str) -> DataFrame:
-    """S3: whole landed archive pages: (file, page, value, is_list).
+    """S3: whole landed archive pages: (file, path, page, value, is_list).
 
-    A page file has at most 100 posts, so one row per file is small.
+    A page file has at most 100 posts, so one row per file is small. The page number is
+    read from names like ``page_12.json``; any other name is a page without a number.
     """
-    pages = spark.read.text(path, wholetext=True)
+    pages = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     file = F.col("_metadata.file_name")
     return pages.select(
-        file.alias("file"),
-        F.regexp_extract(file, r"(\d+)\D*$", 1).try_cast("long").alias("page"),
+        file.alias("file"), F.col("_metadata.file_path").alias("path"),
+        F.regexp_extract(file, r"(?i)^[a-z_-]*?0*(\d+)\.json(?:\.gz)?$", 1).try_cast("long").alias("page"),
         "value",
         F.ltrim("value").startswith("[").alias("is_list"),
     )
 
 
 def posts_of(pages: DataFrame) -> DataFrame:
-    """Posts of the list pages, with page number and place inside the page."""
+    """Posts of the list pages, with file path, page number and place inside the page."""
     # Expanded where it is parsed: a named array would be parsed again by the filter the
     # optimizer derives for it.
     posts = F.posexplode(F.from_json("value", T.ArrayType(schemas.ARCHIVE_POST))).alias("pos", "post")
-    return pages.where("is_list").select("page", posts).select("page", "pos", "post.*")
+    named = [c for c in ("path", "page") if c in pages.columns]
+    return pages.where("is_list").select(*named, posts).select(*named, "pos", "post.*")
 
 
 def read_archive_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -92,16 +94,20 @@ def read_archive_pages(spark: SparkSession, path: str) -> DataFrame:
     return posts_of(read_archive_files(spark, path))
 
 
-def quarantined_pages(spark: SparkSession, path: str) -> DataFrame:
-    """S3: page files that hold something other than a list, or a broken one."""
-    pages = read_archive_files(spark, path)
+def broken_pages(pages: DataFrame) -> DataFrame:
+    """S3: of ``read_archive_files``, those that hold something other than a list, or a broken one."""
     broken = F.from_json("value", T.ArrayType(schemas.ARCHIVE_POST)).isNull()
-    return pages.where(~F.col("is_list") | broken).select("file", "page", "value")
+    return pages.where(~F.col("is_list") | broken).select("file", "path", "page", "value")
+
+
+def quarantined_pages(spark: SparkSession, path: str) -> DataFrame:
+    """S3: page files for quarantine."""
+    return broken_pages(read_archive_files(spark, path))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages with something in them."""
-    return spread(spark.read.parquet(path)).where(F.col("html") != "")
+    return spark.read.parquet(path).where(F.col("html") != "")
 
 
 def read_listing_pages(pages: DataFrame) -> DataFrame:

@@ -60,13 +60,15 @@ def burst_with_reset(
     failures: DataFrame, key: str, ts: str = "ts", window_seconds: int = 60, threshold: int = 5
 ) -> DataFrame:
     """T5: W5 in a stream. State is the last failures that still count, fewer than the
-    threshold; a batch is read in time order."""
+    threshold; a batch is read in time order. A failure earlier than the newest one that is
+    held is late and does not count."""
     width, need = window_seconds * 1_000_000, threshold
     kind = failures.schema[key].dataType.simpleString()
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = np.array(state.get[0] if state.exists else [], dtype=np.int64)
         new = np.sort(np.concatenate([b.ts_micros.to_numpy() for b in batches]))
+        new = new[new >= held[-1]] if len(held) else new
         times = np.concatenate([held, new])
         hits = burst_triggers(times, len(held), width, need)
         since = len(times) - 1 - hits[-1] if len(hits) else len(times)

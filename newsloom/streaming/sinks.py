@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ def ingest_stream(
 
 
 def _run_of(checkpoint: str) -> str:
-    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    return hashlib.sha256(checkpoint.encode()).hexdigest()
 
 
 def _batch_folder(path: str, checkpoint: str, batch_id: int) -> str:
@@ -51,7 +52,8 @@ def append_first_seen(
     A batch writes its own folder ``run=R/batch_id=N`` (R stands for the checkpoint), so
     a batch that runs again after a crash overwrites itself. Keys already stored by other batches are dropped by an
     anti-join (a page re-delivered after it is done is ignored), and of a key delivered
-    twice in one batch only the rows of its lowest ``delivery`` stay.
+    twice in one batch one row of its lowest ``delivery`` stays. Rows without a key are
+    no repeats of each other; all are stored.
     """
     def append(batch: DataFrame, batch_id: int) -> None:
         # The batch is read twice; without this its pages would be parsed twice.
@@ -61,7 +63,8 @@ def append_first_seen(
         mine = (F.col("run") == _run_of(checkpoint)) & (F.col("batch_id") == batch_id)
         stored = read_batches(spark, path, batch.schema).where(~mine)
         fresh = first.join(stored.select(key).distinct(), key, "left_anti")
-        batch.join(fresh, [key, delivery], "left_semi").select(*batch.columns).write.mode(
+        once = batch.join(fresh, [key, delivery], "left_semi").dropDuplicates([key]).select(*batch.columns)
+        once.unionByName(batch.where(F.col(key).isNull())).write.mode(
             "overwrite"
         ).parquet(_batch_folder(path, checkpoint, batch_id))
         batch.unpersist()
@@ -82,15 +85,17 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def write_updates(updates: DataFrame, path: str, checkpoint: str, continuous: bool = False) -> StreamingQuery:
-    """Store every batch of an updating aggregate in its own folder."""
+    """Store every batch of an updating aggregate in its own folder, with the time of storing."""
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_folder(path, checkpoint, batch_id))
+        batch.withColumn("stored_ns", F.lit(time.time_ns())).write.mode("overwrite").parquet(_batch_folder(path, checkpoint, batch_id))
 
     return _start(updates.writeStream.outputMode("update").foreachBatch(store), checkpoint, continuous)
 
 
 def latest_updates(spark: SparkSession, path: str, schema: T.StructType, *key: str) -> DataFrame:
-    """The newest stored value of every group."""
-    rows = read_batches(spark, path, schema)
-    newest = rows.groupBy(*key).agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, [*key, "batch_id"], "left_semi").drop("run", "batch_id")
+    """The value of every group that was stored last, over batches and over runs (checkpoints)."""
+    full = T.StructType([*schema.fields, T.StructField("stored_ns", T.LongType())])
+    rows = read_batches(spark, path, full)
+    stamp = ["stored_ns", "run", "batch_id"]
+    newest = rows.groupBy(*key).agg(F.max(F.struct(*stamp)).alias("__n")).select(*key, *(F.col(f"__n.{c}").alias(c) for c in stamp))
+    return rows.join(newest, [*key, *stamp], "left_semi").drop(*stamp)
