@@ -64,7 +64,9 @@ class Logistic:
     def fit(cls, x: np.ndarray, y: np.ndarray, importance: np.ndarray, steps: int = 250, decay: float = 1e-3) -> Logistic:
         """Adam on all rows at once; the last weight is the intercept."""
         shift, scale = x.mean(axis=0), 1 / (x.std(axis=0) + 1e-3)
-        z = np.hstack(((x - shift) * scale, np.ones((len(x), 1), x.dtype))).astype(np.float32)
+        z = np.ones((len(x), x.shape[1] + 1), np.float32)
+        np.subtract(x, shift, out=z[:, :-1])
+        z[:, :-1] *= scale
         w = np.zeros(z.shape[1], np.float32)
         m, v, part = w.copy(), w.copy(), (importance / importance.sum()).astype(np.float32)
         for t in range(1, steps + 1):
@@ -192,16 +194,29 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool:
     )
     wanted = stored(chosen.union(pool), "chosen")
     both = docs.join(F.broadcast(wanted), F.col("doc_id").cast("long") == F.col("__id"))
-    rows = sorted({r.id: r for r in sorted(_vectors(both).collect(), key=lambda r: (r.id, r.y))}.values(), key=lambda r: zlib.crc32(str(r.id).encode()))
-    def matrix(part, name, dim):
-        return np.frombuffer(b"".join(bytes(r[name]) for r in part), np.float32).reshape(len(part), dim)
-    known, free = [r for r in rows if r.y >= 0], [r for r in rows if r.y < 0]
-    if not known:
+    rows = _vectors(both).toArrow()
+    if not rows.num_rows:
         return None
-    return co_train(
-        matrix(known, "text", TEXT_DIM), matrix(known, "meta", META_DIM), np.array([r.y for r in known], float),
-        matrix(free, "text", TEXT_DIM), matrix(free, "meta", META_DIM),
-    )
+    ids, ys = rows["id"].to_numpy(), rows["y"].to_numpy()
+    # of a document that is labelled and in the pool the label counts; the order is fixed and random
+    order = np.lexsort((ys, ids))
+    once = order[np.append(ids[order][1:] != ids[order][:-1], True)]
+    once = np.array(sorted(once, key=lambda i: zlib.crc32(str(ids[i]).encode())))
+    known, free = once[ys[once] >= 0], once[ys[once] < 0]
+    if not len(known):
+        return None
+
+    def matrix(part, name, dim):
+        out = np.empty((len(part), dim), np.float32)
+        for at, i in enumerate(part):
+            out[at] = np.frombuffer(rows[name][i].as_buffer(), np.float32)
+        return out
+
+    text, meta = matrix(known, "text", TEXT_DIM), matrix(known, "meta", META_DIM)
+    pool_text, pool_meta = matrix(free, "text", TEXT_DIM), matrix(free, "meta", META_DIM)
+    del rows
+    pa.default_memory_pool().release_unused()
+    return co_train(text, meta, ys[known].astype(float), pool_text, pool_meta)
 
 
 def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
