@@ -18,7 +18,8 @@ from newsloom.functions.article import extract_article
 from newsloom.functions.columns import normalize_archive_text, normalize_page_text
 from newsloom.functions.htmltext import add_html_text, html_to_text_exact
 from newsloom.functions.scalars import (
-    backoff_seconds, ceil_div, classify_outcome, format_elapsed, page_backoff_seconds, percent, to_json_line,
+    backoff_seconds, ceil_div, classify_outcome, format_elapsed, page_backoff_seconds, parse_progress_ts, percent,
+    to_json_line,
 )
 from newsloom.functions.urls import (
     add_listing_links, archive_request_url, is_article_url, listing_link_rows, listing_page_num, listing_page_url,
@@ -727,6 +728,51 @@ def ledger_round_trip(spark, sf):
     )
 
 
+def progress_documents(spark, sf) -> str:
+    """Folder with a progress document for every run of 1,000 documents; labelled ones are done."""
+    path = scratch(spark, "progress")
+    done = table(spark, sf, "labels").select("doc_id").distinct().withColumn("done", F.lit(True))
+    run, url = F.floor(F.col("doc_id") / 1000), F.concat(F.lit("https://news.example.com/"), F.col("doc_id").cast("string"))
+    rows = table(spark, sf, "documents").join(done, "doc_id", "left").select(run.alias("run"), url.alias("url"), "done")
+    zone = F.when(F.col("run") % 2 == 0, "+05:00").otherwise("Z")
+    rows.groupBy("run").agg(
+        F.collect_list(F.when(F.col("done"), F.col("url"))).alias("completed_urls"),
+        F.collect_list(F.when(F.col("done").isNull(), F.col("url"))).alias("failed_urls"),
+        F.count("done").alias("total_saved"),
+    ).withColumn(
+        "start_time", F.concat(F.format_string("2024-01-%02dT00:00:00", F.col("run") % 28 + 1), zone)
+    ).drop("run").write.option("maxRecordsPerFile", 1).json(path)
+    return path
+
+
+@query
+def progress_lists(spark, sf):
+    """Finished and failed URLs of progress documents."""
+    path = progress_documents(spark, sf)
+    done = sources.read_progress(spark, path).withColumn("list", F.lit("completed"))
+    return done.unionByName(sources.read_progress(spark, path, "failed_urls").withColumn("list", F.lit("failed")))
+
+
+@query
+def progress_counters(spark, sf):
+    """Counters of progress documents by the instant they started."""
+    rows = sources.read_progress_counters(spark, progress_documents(spark, sf))
+    return rows.groupBy(F.unix_micros(parse_progress_ts(F.col("start_time"))).alias("start_micros")).agg(
+        F.count("*").alias("runs"), F.sum("total_saved").alias("total_saved"), F.sum("current_shard_idx").alias("shard_idx"),
+    )
+
+
+@query
+def listing_page_numbers(spark, sf):
+    """Category and page number out of listing addresses, numbered and not."""
+    slug = F.element_at(F.array(*(F.lit(c) for c in ("en", "de", "fr", "es"))), (F.col("page_id") % 4 + 1).cast("int"))
+    address = listing_page_url(PROFILE, slug, F.floor(F.col("page_id") / 4) % 7 + 1)
+    landed = sources.read_listing_pages(site_pages(spark, sf).select(address.alias("url"), "html"))
+    return landed.groupBy("category_slug", "page_num").agg(
+        F.count("*").alias("pages"), F.sum(long(F.length("html"))).alias("chars")
+    )
+
+
 @query
 def sorted_done_pages(spark, sf):
     """O5."""

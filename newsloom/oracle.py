@@ -319,6 +319,17 @@ SELECT saved, failed, start_micros, last_micros, {hms('(last_micros - start_micr
 FROM (SELECT count(*) FILTER (outcome = 'ok') AS saved, count(*) FILTER (outcome <> 'ok') AS failed, max(ts_micros) AS last_micros
       FROM ({STATUS})), (SELECT min(us) AS start_micros FROM ({ATTEMPTS}))""",
         "ledger_round_trip": f"SELECT outcome, count(*) AS attempts, count(DISTINCT url) AS urls FROM ({ATTEMPTS}) GROUP BY outcome",
+        "progress_lists": """
+SELECT DISTINCT 'https://news.example.com/' || doc_id AS url,
+       CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'completed' ELSE 'failed' END AS list FROM documents""",
+        "progress_counters": """
+SELECT epoch_us(make_timestamp(2024, 1, run % 28 + 1, 0, 0, 0)) - CASE WHEN run % 2 = 0 THEN 18000000000 ELSE 0 END AS start_micros,
+       count(DISTINCT run) AS runs, CAST(count(*) FILTER (WHERE done) AS BIGINT) AS total_saved, CAST(0 AS BIGINT) AS shard_idx
+FROM (SELECT doc_id // 1000 AS run, doc_id IN (SELECT doc_id FROM labels) AS done FROM documents) GROUP BY 1""",
+        "listing_page_numbers": """
+SELECT ['en', 'de', 'fr', 'es'][page_id % 4 + 1] AS category_slug, CAST(page_id // 4 % 7 + 1 AS INT) AS page_num,
+       count(*) AS pages, CAST(sum(length(html)) AS BIGINT) AS chars
+FROM pages WHERE html <> '' GROUP BY 1, 2""",
         "sorted_done_pages": "SELECT DISTINCT doc_id // 100 AS page FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) ORDER BY page",
         "failure_burst": """
 SELECT DISTINCT event_type, us AS ts_micros, failures FROM (
