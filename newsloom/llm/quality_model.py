@@ -3,7 +3,8 @@
 The text view sees hashed byte pairs and the shape of the text; the metadata view sees
 language, source and length. Both are logistic models. In every round each view is
 calibrated on held-out labels, scores a pool of unlabelled documents, and hands the ones
-it is sure of, with its label, to the other view, which then trains on them as well.
+it is sure of, with its label, to the other view, which then trains on them as well. Rounds end
+early when neither view is sure of a document that the other one has not been given.
 At the end the calibrated views are combined by a logistic model of their log-odds,
 fitted on the held-out labels, and every document is scored.
 
@@ -149,6 +150,8 @@ def co_train(
             good = good[np.argsort(-p[good], kind="stable")][:int(per_round * share)]
             bad = bad[np.argsort(p[bad], kind="stable")][:max(1, int(per_round * (1 - share)))]
             new[other] = np.concatenate((good, bad)), np.concatenate((np.ones(len(good)), np.zeros(len(bad))))
+        if not any(len(rows) for rows, _ in new.values()):
+            break                           # nothing new to learn from: a further round would fit the same models
         for name, (rows, labels) in new.items():
             given[name] = np.concatenate((given[name][0], rows)), np.concatenate((given[name][1], labels))
         exchanged.append((len(new["text"][0]), len(new["meta"][0])))
