@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import zlib
 from collections.abc import Iterator
@@ -159,15 +160,23 @@ def file_checksums(files: DataFrame) -> DataFrame:
     )
 
 
-_GZIP_STATUS = "file_name string, ok boolean, members int, lines long"
+_GZIP_STATUS = "path string, file_name string, ok boolean, members int, lines long, bytes long, md5 string, sha256 string"
 
 
 def gzip_test(files: DataFrame) -> DataFrame:
-    """Does every gzip file of a binary scan decompress to its end?
+    """Does every gzip file of a binary scan decompress to its end?"""
+    return gzip_report(files).select("file_name", "ok", "members", "lines")
 
-    One bad file is reported and does not end the job. Files are inflated in steps, so
-    memory holds the compressed bytes and one step.
+
+def gzip_report(files: DataFrame) -> DataFrame:
+    """A9, with A7: does every gzip file of a binary scan decompress to its end? And its size and digests.
+
+    One bad file is reported and does not end the job. The bytes are read once for test and
+    digests. Files are inflated in steps, so memory holds the compressed bytes of a batch
+    (``spark.sql.execution.arrow.maxRecordsPerBatch`` files) and one step.
     """
+    names = [field.split()[0] for field in _GZIP_STATUS.split(", ")]
+
     def inflate(content: bytes):
         rest, members, lines = content, 0, 0
         try:
@@ -185,7 +194,11 @@ def gzip_test(files: DataFrame) -> DataFrame:
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(path.rsplit("/", 1)[-1], *inflate(data)) for path, data in zip(batch.path, batch.content)]
-            yield pd.DataFrame(found, columns=["file_name", "ok", "members", "lines"])
+            found = [
+                (path, path.rsplit("/", 1)[-1], *inflate(data), len(data),
+                 hashlib.md5(data).hexdigest(), hashlib.sha256(data).hexdigest())
+                for path, data in zip(batch.path, batch.content)
+            ]
+            yield pd.DataFrame(found, columns=names)
 
     return files.select("path", "content").mapInPandas(check, _GZIP_STATUS)

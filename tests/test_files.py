@@ -86,6 +86,19 @@ def test_file_checksums(spark, tmp_path):
     assert (row.bytes, row.md5, row.sha256) == (len(data), hashlib.md5(data).hexdigest(), hashlib.sha256(data).hexdigest())
 
 
+def test_gzip_report_tells_equal_names_apart(spark, tmp_path):
+    data = gzip.compress(b"abc\n")
+    for folder, content in (("a", data), ("b", data[:-3])):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "part.gz").write_bytes(content)
+    rows = report.gzip_report(sources.read_file_bytes(spark, str(tmp_path))).collect()
+    found = {r.path.split("/")[-2]: (r.file_name, r.ok, r.bytes, r.md5, r.sha256) for r in rows}
+    assert found == {
+        folder: ("part.gz", ok, len(c), hashlib.md5(c).hexdigest(), hashlib.sha256(c).hexdigest())
+        for folder, ok, c in (("a", True, data), ("b", False, data[:-3]))
+    }
+
+
 def test_shard_files(spark, tmp_path):
     df = spark.createDataFrame([record(i) for i in range(1203)], schemas.ARTICLES_ARCHIVE).coalesce(1)
     sinks.write_article_shards(df, f"{tmp_path}/s")
