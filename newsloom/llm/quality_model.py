@@ -9,8 +9,9 @@ At the end the calibrated views are combined by a logistic model of their log-od
 fitted on the held-out labels, and every document is scored.
 
 Only fitting is bounded: ``max_labelled`` labelled documents and a pool of ``max_pool``
-documents, those of lowest hash. Their features come to the driver as fixed-size
-vectors; the models are a few kilobytes. Scores cover all rows, without a shuffle.
+documents, those of lowest hash. Their features are stored as fixed-size vectors (at most
+46 MB), one task fits the models on them, and only the models, a few kilobytes, come to the
+driver. Scores cover all rows, without a shuffle.
 
 Defined cases: null or empty text has zero features and is scored from them; null
 metadata are values of their own; null labels teach nothing; without labels of both
@@ -19,9 +20,10 @@ kinds every score is 0.5 and nothing is rejected. Other columns pass through.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
@@ -197,14 +199,28 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool:
     )
     wanted = stored(chosen.union(pool), "chosen")
     both = docs.join(F.broadcast(wanted), F.col("doc_id").cast("long") == F.col("__id"))
-    rows = _vectors(both).toArrow()
-    if not rows.num_rows:
+    vectors = stored(_vectors(both), "vectors")
+    made = vectors.coalesce(1).mapInArrow(_fit_rows, "model binary").head()
+    if made is None:
         return None
+    text, meta, mixed, exchanged = pickle.loads(made["model"])
+    return CoTrained(Logistic(*text), Logistic(*meta), mixed, exchanged)
+
+
+def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all vectors, as a pickled tuple; no row if there is nothing to learn."""
+    rows = pa.Table.from_batches(batches, schema=_VECTORS)
+    model = _fit_table(rows)
+    if model is not None:
+        yield pa.record_batch([pa.array([pickle.dumps(astuple(model))], pa.binary())], names=["model"])
+
+
+def _fit_table(rows: pa.Table) -> CoTrained | None:
     ids, ys = rows["id"].to_numpy(), rows["y"].to_numpy()
     # of a document that is labelled and in the pool the label counts; the order is fixed and random
     order = np.lexsort((ys, ids))
-    once = order[np.append(ids[order][1:] != ids[order][:-1], True)]
-    once = np.array(sorted(once, key=lambda i: zlib.crc32(str(ids[i]).encode())))
+    once = order[np.append(ids[order][1:] != ids[order][:-1], True)] if len(ids) else order
+    once = np.array(sorted(once, key=lambda i: zlib.crc32(str(ids[i]).encode())), int)
     known, free = once[ys[once] >= 0], once[ys[once] < 0]
     if not len(known):
         return None
@@ -217,8 +233,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool:
 
     text, meta = matrix(known, "text", TEXT_DIM), matrix(known, "meta", META_DIM)
     pool_text, pool_meta = matrix(free, "text", TEXT_DIM), matrix(free, "meta", META_DIM)
-    del rows
-    pa.default_memory_pool().release_unused()
     return co_train(text, meta, ys[known].astype(float), pool_text, pool_meta)
 
 
