@@ -19,7 +19,8 @@ size, one pass each, so what is sent to the tasks never grows with it.
 
 Defined cases: null or empty texts and items match nothing; an item shorter than a
 shingle is its whole sequence; a document shorter than an item is one window; repeated
-items are reported under each of their ids; rows without an id take part with a null id.
+items are reported under each of their ids; rows without an id take part with a null id,
+and ``decontaminated`` drops them too when they hold a passage.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,15 +163,8 @@ _ARROW = pa.schema([
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One row per document and benchmark item found in it."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    passes = max(1, -(-chars // BLOCK_CHARS))
     texts, found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), None
-    for block in range(passes):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == block)
-        shared = spark.sparkContext.broadcast([tuple(r) for r in rows.collect()])
-
+    for shared in _blocks(benchmark):
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, hashes = Index(shared.value, threshold), WordHashes()
             for batch in batches:
@@ -185,7 +180,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8)
     return found
 
 
+def _blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The items, in blocks of bounded size."""
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    passes = max(1, -(-chars // BLOCK_CHARS))
+    for block in range(passes):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == block)
+        yield benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in rows.collect()])
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Rows of documents in which no item was found; rows without ``doc_id`` stay."""
-    bad = contaminated(docs, benchmark, threshold).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__bad"), "left_anti")
+    """Rows in whose text no item was found. Every row is judged by its own text, whether its
+    ``doc_id`` is null, repeated or neither."""
+    out, left = docs.schema, docs
+    at = [i for i, f in enumerate(out) if f.name == "text"][0]
+    for shared in _blocks(benchmark):
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index, hashes = Index(shared.value, threshold), WordHashes()
+            for batch in batches:
+                texts = batch.column(at).cast(pa.string())
+                yield batch.filter(pa.array([not index.search(passage_words(t.as_py()), hashes) for t in texts], pa.bool_()))
+
+        left = left.mapInArrow(clean, out)
+    return left

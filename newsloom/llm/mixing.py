@@ -16,8 +16,9 @@ What comes to the driver is one row per source (``weights`` are given per source
 sources are configuration; more than ``max_sources`` is refused, not cut).
 
 Defined cases: null or blank text has size 0 and is taken 0 times; a null source is a
-source, last in order; a row without ``doc_id`` is mixed like any other; repeated rows
-are separate rows of the same source. An empty table gives an empty result.
+source, last in order; a row without ``doc_id`` is mixed like any other; rows that repeat
+a ``doc_id``, with equal or other texts, are separate rows of the same source (texts are cut
+by a written row number, never by ``doc_id``). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ ship(__name__)
 
 GROUP_WORDS = 1 << 18                       # documents laid out by one task
 SLOTS_PER_TASK = 200_000
+ROW = "__row"
 
 
 def source_targets(
@@ -79,16 +81,16 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 @dataclass
 class Mix:
     sources: list[tuple[str | None, int, float]]
-    rows: DataFrame                         # doc_id, src, size, start, place
+    rows: DataFrame                         # row, doc_id, src, size, start, place
     slots: DataFrame                        # shard, src, block, turn
     block_words: int
 
-    def pieces(self) -> DataFrame:
-        """Every document cut at block borders: rows with block, from_word, to_word."""
+    def pieces(self, rows: DataFrame | None = None) -> DataFrame:
+        """Every row cut at block borders: block, from_word, to_word."""
         n, start, end = self.block_words, F.col("start"), F.col("start") + F.col("size")
         blocks = F.sequence((start / n).cast("long"), ((end - 1) / n).cast("long"))
-        return self.rows.where("size > 0").withColumn("block", F.explode(blocks)).select(
-            "doc_id", "src", "size", "start", "place", "block",
+        return (self.rows if rows is None else rows).where("size > 0").withColumn("block", F.explode(blocks)).select(
+            "row", "doc_id", "src", "size", "start", "place", "block",
             (F.greatest(F.col("block") * n, start) - start).alias("from_word"),
             (F.least((F.col("block") + 1) * n, end) - start).alias("to_word"),
         )
@@ -161,21 +163,32 @@ def mix_sources(
     block_words: int = 128, shard_slots: int = 4096, seed: int = 17, max_sources: int = 100_000,
 ) -> Mix:
     spark = docs.sparkSession
-    sized = stored(docs.select(
-        F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(F.col("text").cast("string")).alias("size")
-    ), "sized")
+    sized = _sized(docs.withColumn(ROW, F.monotonically_increasing_id()))
     totals = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(max_sources + 1).collect()
     if len(totals) > max_sources:
         raise ValueError(f"more than {max_sources} sources: give weights to fewer, larger ones")
     sources = source_targets([(r.source, r.n) for r in totals], weights, percent, cap)
-    named = spark.createDataFrame(
+    return Mix(sources, _laid(sized, sources), _slots(spark, sources, block_words, cap, shard_slots, seed), block_words)
+
+
+def _sized(numbered: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return stored(numbered.select(
+        F.col(ROW).alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words(text).alias("size"),
+        F.xxhash64(F.col("doc_id").cast("long"), text).alias("h"),
+    ), "sized")
+
+
+def _laid(sized: DataFrame, sources: list[tuple[str | None, int, float]]) -> DataFrame:
+    """The rows of every source end to end. The order is by content, so that it is the same however
+    rows are numbered; only rows equal in id and text are told apart by their number."""
+    named = sized.sparkSession.createDataFrame(
         [(s, i, -(-n // GROUP_WORDS) or 1) for i, (s, n, _) in enumerate(sources)], "name string, src int, groups long"
     )
     keyed = sized.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "size", "src", F.xxhash64("doc_id", "size").alias("h"),
-        F.pmod(F.xxhash64(F.lit(1), "doc_id", "size"), F.col("groups")).alias("part"),
+        "row", "doc_id", "size", "src", "h", F.pmod(F.xxhash64(F.lit(1), "h"), F.col("groups")).alias("part"),
     )
-    order = Window.partitionBy("src", "part").orderBy("h", F.col("doc_id"), "size")
+    order = Window.partitionBy("src", "part").orderBy("h", F.col("doc_id"), "size", "row")
     laid = keyed.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
         "place", F.row_number().over(order)
     )
@@ -184,22 +197,24 @@ def mix_sources(
         F.sum("n").over(Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )).drop("n")
     rows = laid.join(base, ["src", "part"]).select(
-        "doc_id", "src", "size", (F.col("base") + F.col("end") - F.col("size")).alias("start"),
+        "row", "doc_id", "src", "size", (F.col("base") + F.col("end") - F.col("size")).alias("start"),
         (F.col("part") * (1 << 32) + F.col("place")).alias("place"),
     )
-    return Mix(sources, stored(rows, "laid"), _slots(spark, sources, block_words, cap, shard_slots, seed), block_words)
+    return stored(rows, "laid")
 
 
 def mixed_documents(docs: DataFrame, made: Mix) -> DataFrame:
-    """The mix as documents: per pass one row for each document of which it takes words,
-    with the taken text (runs of words keep their own spacing; gaps become line breaks).
-    ``doc_id`` must be unique here; other columns pass through."""
+    """The mix as documents: per pass one row for each row of which it takes words, with the
+    taken text (runs of words keep their own spacing; gaps become line breaks). ``docs`` are
+    those of ``made``; they are written once with a row number, by which texts are cut, so
+    null and repeated ``doc_id`` are rows like any other. Other columns pass through."""
+    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
     spans = (
-        made.pieces().where("doc_id is not null").join(made.slots, ["src", "block"])
-        .groupBy(F.col("doc_id").alias("__id"), "turn")
+        made.pieces(_laid(_sized(numbered), made.sources)).join(made.slots, ["src", "block"])
+        .groupBy(F.col("row").alias("__id"), "turn")
         .agg(F.array_sort(F.collect_list(F.struct("from_word", "to_word"))).alias("__spans"), F.max("size").alias("__size"))
     )
-    joined = docs.join(spans.drop("turn"), F.col("doc_id").cast("long") == F.col("__id")).drop("__id")
+    joined = numbered.join(spans.drop("turn"), F.col(ROW) == F.col("__id")).drop("__id", ROW)
     out = docs.schema
     at = [i for i, f in enumerate(out) if f.name == "text"][0]
 

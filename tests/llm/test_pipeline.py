@@ -78,3 +78,18 @@ def test_odd_rows(spark):
         for name, stage in pipeline.STAGES:
             now = stored(stage(spark, now, SF), name)
         assert now.count() >= 0
+
+
+def test_rows_without_id_stay_to_the_mix(spark):
+    """Kept when clean, dropped when they hold a benchmark passage, mixed in full measure."""
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(r.text.split()) > 20)
+    rows = [(None, " ".join(f"n{k}w{j}" for j in range(900 + k)), "en", "s", 1) for k in range(30)]
+    rows += [(i, " ".join(f"d{i}w{j}" for j in range(900)), "en", "s", 1) for i in range(30)]
+    rows += [(None, f"a b c {item} d e f", "en", "s", 1), (77, f"a b c {item} d e f", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    clean = stored(pipeline.benchmark_decontamination(spark, docs, SF), "clean")
+    assert sorted(r.text for r in clean.collect()) == sorted(r[1] for r in rows[:60])
+    taken = mixing.mix_sources(clean, block_words=512).taken().where("doc_id is null").agg({"taken": "sum"}).first()[0]
+    got = [r for r in pipeline.source_mixing(spark, clean, SF).collect() if r.doc_id is None]
+    assert sum(len(r.text.split()) for r in got) == taken > 30 * 900
+    assert all(part in "\n".join(r[1] for r in rows[:30]) for r in got for part in r.text.split("\n"))
