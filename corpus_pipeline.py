@@ -23,8 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: the one with the smallest ``doc_id``."""
-    return near_dedup.one_per_group(docs).select(*COLUMNS)
+    """One document of every group of near copies: the one with the smallest ``doc_id``, one row of it per text."""
+    return near_dedup.one_per_group(near_dedup.one_of_equal_rows(docs)).select(*COLUMNS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

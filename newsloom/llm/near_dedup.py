@@ -17,8 +17,9 @@ no intersection, so ``shared`` (set size less such shingles) bounds every inters
 
 Defined cases: null or blank text has an empty set and is linked with nothing; fewer
 words than a shingle form one shingle; rows that repeat a ``doc_id`` are one document
-(they end up in one component, each keeps its own row); a row without ``doc_id`` takes
-no part and is kept, with a null component. Other columns are ignored.
+(they end up in one component, each keeps its own row; ``one_of_equal_rows`` removes equal
+ones); a row without ``doc_id`` takes no part and is kept, with a null component. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -303,3 +304,17 @@ def one_per_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80, mi
     verdict = near_duplicates(docs, shingle_words, percent, miss)
     gone = verdict.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+
+
+def one_of_equal_rows(docs: DataFrame) -> DataFrame:
+    """One of the rows that are equal in ``doc_id`` and text (the smallest by its columns); rows
+    without ``doc_id`` all stay. Only rows whose (doc_id, hash of the text) repeats are grouped
+    by their texts, with a combine before the shuffle; all others pass as they are."""
+    text = F.xxhash64(F.col("text").cast("string"))
+    keyed = docs.where("doc_id is not null").select(F.col("doc_id").alias("__id"), text.alias("__hash"))
+    often = stored(keyed.groupBy("__id", "__hash").count().where("count > 1").drop("count"), "repeated")
+    if often.isEmpty():
+        return docs
+    same = (docs["doc_id"] == F.col("__id")) & (text == F.col("__hash"))
+    once = docs.join(often, same, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("r"))
+    return docs.join(often, same, "left_anti").unionByName(stored(once.select("r.*"), "once"))

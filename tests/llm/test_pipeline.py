@@ -93,3 +93,26 @@ def test_rows_without_id_stay_to_the_mix(spark):
     got = [r for r in pipeline.source_mixing(spark, clean, SF).collect() if r.doc_id is None]
     assert sum(len(r.text.split()) for r in got) == taken > 30 * 900
     assert all(part in "\n".join(r[1] for r in rows[:30]) for r in got for part in r.text.split("\n"))
+
+
+def test_repeated_ids(spark):
+    """Equal rows under one id: one stays. Other texts under one id: each cut by its own words."""
+    def text(tag, n):
+        return " ".join(f"{tag}w{j}" for j in range(n))
+
+    rows = [(5, text("e", 700), "en", "s", 1)] * 3 + [(6, text("long", 3000), "en", "s", 1), (6, text("short", 40), "de", "t", 1)]
+    rows += [(7, text("g", 900), "en", "t", 1), (7, text("h", 1300), "en", "t", 1), (None, text("z", 600), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = stored(pipeline.minhash_near_dedup(spark, docs, SF), "kept")
+    assert sorted(r.text for r in kept.collect()) == sorted({r[1] for r in rows})
+    for start in (docs, kept):
+        made = mixing.mix_sources(start, block_words=64)
+        want, got = {}, {}
+        for r in made.taken().collect():
+            want.setdefault((r.doc_id, r["size"]), []).append(r.taken)
+        for r in mixing.mixed_documents(start, made).collect():
+            whole = next(t for i, t, *_ in rows if i == r.doc_id and t.split()[0][:2] == r.text.split()[0][:2])
+            assert all(part in whole for part in r.text.split("\n"))
+            key = (r.doc_id, len(whole.split()))
+            got[key] = got.get(key, 0) + len(r.text.split())
+        assert got == {k: sum(v) for k, v in want.items() if sum(v)}
