@@ -1,25 +1,29 @@
-"""Operator 7: passages repeated across documents, by content-defined chunking.
+"""Operator 7: passages repeated across documents, by winnowed windows.
 
-A gear rolling hash runs over the bytes of a text; a border lies wherever the hash of
-the last ``WINDOW`` bytes falls below a bound, so borders depend on nearby content alone
-and an insertion moves no border but those next to it. Chunks (about ``MEAN`` bytes) are
-deduplicated by digest: the chunk with the smallest (doc_id, place) is the first, others
-are copies of it. Chunks shared with other places that follow each other form a passage;
-only passages of at least ``min_bytes`` count, so a short common phrase marks nothing.
-Text is cut on borders of characters.
+Every run of ``min_bytes`` bytes of a text is a window with a rolling hash. Of any ``SPAN``
+windows that begin at neighbouring bytes the one with the smallest hash is an anchor, and
+so are a text's first and last window. Which of them that is depends on these bytes alone:
+two texts that share ``min_bytes + SPAN - 1`` bytes share an anchor for certain, wherever the
+passage stands in them; shorter passages down to ``min_bytes`` are found when an anchor of
+both falls into them. A shared anchor is a run of ``min_bytes`` equal bytes, so short common
+phrases mark nothing. Anchors are at most ``SPAN`` bytes apart and overlap; a passage is a
+chain of shared ones, and less than ``SPAN`` bytes of it stay outside at either end.
+
+The anchor with the smallest (doc_id, start) is the first, others are copies of it. What a
+copy covers is dropped, cut on borders of characters. Every dropped byte has an equal one at
+a smaller (doc_id, place), so one of each stays.
 
 Digests are counted with a combine before the shuffle; the join back to the places has
 one row per shared digest, and a hot digest is split by adaptive execution. Passages are
-found per document from its own shared chunks.
+found per document from its own shared anchors.
 
-Defined cases: null or empty text has no chunks and stays as it is; rows that repeat a
-``doc_id`` are one document, their chunks count once per place; a row without
-``doc_id`` takes no part. Other columns pass through ``dedup_passages``.
+Defined cases: a null text and one of less than ``min_bytes`` bytes have no window and stay
+as they are; rows that repeat a ``doc_id`` are one document, their anchors count once per
+place; a row without ``doc_id`` takes no part. Other columns pass through ``dedup_passages``.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ship, stored
+from newsloom.llm.common import mix, ship, stored
 
 ship(__name__)
 
-WINDOW, MEAN = 16, 40
+WINDOW, MEAN = 16, 40                       # of ``borders``
+SPAN = 64                                   # starts of windows among which one is an anchor
 _STRETCH = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
 
 
 def _gear() -> np.ndarray:
@@ -41,7 +47,7 @@ def _gear() -> np.ndarray:
 
 
 def borders(raw: np.ndarray, gear: np.ndarray) -> np.ndarray:
-    """Starts of the chunks of a text, 0 first. The hash of a place sums gear values of the
+    """Starts of content-defined chunks of a text, 0 first; anchors do not use them. The hash of a place sums gear values of the
     last bytes, each shifted by its distance; doubling the span takes log2(WINDOW) steps."""
     found, bound = [np.zeros(1, np.int64)], np.uint32(2**32 // MEAN)
     for at in range(0, len(raw), _STRETCH):
@@ -59,93 +65,130 @@ def borders(raw: np.ndarray, gear: np.ndarray) -> np.ndarray:
     return cuts[(raw[cuts] & 0xC0) != 0x80] if len(raw) else cuts[:0]
 
 
-def chunk_digests(data: bytes, starts: np.ndarray) -> list[int]:
-    ends = np.append(starts[1:], len(data)).tolist()
-    digest = hashlib.blake2b
-    return [
-        int.from_bytes(digest(data[a:b], digest_size=8).digest(), "little", signed=True)
-        for a, b in zip(starts.tolist(), ends)
-    ]
+def window_hashes(raw: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of every run of ``size`` bytes: a polynomial over spread byte values, put
+    together from runs of doubled length."""
+    def power(n):
+        return np.uint64(pow(_BASE, n, 1 << 64))
+
+    h, span = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[raw], 1
+    made, length = None, 0
+    while True:
+        if size & span:                     # what is made so far, then a run of ``span`` bytes
+            n = len(raw) - length - span + 1
+            made = h if made is None else made[:n] * power(span) + h[length:length + n]
+            length += span
+        if length == size:
+            return mix(made)
+        h, span = h[:-span] * power(span) + h[span:], 2 * span
+
+
+def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) of every run of ``size`` values; ``size`` is a power of two."""
+    span = 1
+    while span < size:
+        values, span = pick(values[:-span], values[span:]), 2 * span
+    return values
+
+
+def anchors(raw: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the anchors of one text."""
+    if len(raw) < size:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    starts, hashes, step = [], [], _STRETCH
+    n = len(raw) - size + 1                 # windows
+    for at in range(0, n, step):
+        lo, hi = max(0, at - SPAN + 1), min(n, at + step + SPAN - 1)
+        h = window_hashes(raw[lo:hi + size - 1], size)
+        chosen = np.zeros(len(h), bool)
+        if len(h) >= SPAN:
+            least = _sliding(h, SPAN, np.minimum)
+            edge = np.zeros(SPAN - 1, np.uint64)
+            chosen = _sliding(np.concatenate((edge, least, edge)), SPAN, np.maximum) == h
+        if lo == 0:
+            chosen[0] = True
+        if hi == n:
+            chosen[-1] = True
+        mine = np.flatnonzero(chosen)
+        mine = mine[(mine + lo >= at) & (mine + lo < at + step)]
+        starts.append(mine + lo)
+        hashes.append(h[mine])
+    return np.concatenate(starts), np.concatenate(hashes)
 
 
 def _encoded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, start, size, digest) of every chunk; digest of the content, 64 bits, to be
-    confirmed together with the size."""
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("place", pa.int32()), ("start", pa.int32()), ("size", pa.int32()), ("digest", pa.int64()),
-    ])
+def anchored(docs: DataFrame, min_bytes: int) -> DataFrame:
+    """(doc_id, start, digest) of every anchor."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("digest", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gear = _gear()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 columns = [[] for _ in schema]
-                for doc_id, text in zip(batch.column(0)[at:at + 512].to_pylist(), batch.column(1)[at:at + 512].to_pylist()):
-                    data = _encoded(text)
-                    starts = borders(np.frombuffer(data, np.uint8), gear)
+                for doc_id, text in zip(batch.column(0)[at:at + 512].to_pylist(), batch.column(1)[at:at + 512]):
+                    starts, hashes = anchors(np.frombuffer(_encoded(text.as_py()), np.uint8), min_bytes)
                     if len(starts):
                         columns[0].append(np.full(len(starts), doc_id, np.int64))
-                        columns[1].append(np.arange(len(starts), dtype=np.int32))
-                        columns[2].append(starts.astype(np.int32))
-                        columns[3].append(np.diff(np.append(starts, len(data))).astype(np.int32))
-                        columns[4].append(np.array(chunk_digests(data, starts), np.int64))
+                        columns[1].append(starts.astype(np.int32))
+                        columns[2].append(hashes.view(np.int64))
                 if columns[0]:
                     yield pa.record_batch([pa.array(np.concatenate(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        cut, "doc_id long, place int, start int, size int, digest long"
+        cut, "doc_id long, start int, digest long"
     )
 
 
-def shared_chunks(docs: DataFrame) -> DataFrame:
-    """Per document its chunks that occur elsewhere too: array of (place, start, size, first, other)."""
-    made = stored(chunks(docs), "chunks")
-    spot = F.struct("doc_id", "place")
+def shared_anchors(docs: DataFrame, min_bytes: int) -> DataFrame:
+    """Per document its anchors that occur elsewhere too: array of (start, first, other)."""
+    made = stored(anchored(docs, min_bytes), "anchors")
+    spot = F.struct("doc_id", "start")
     often = stored(                         # a table of its own, so that a hot digest can be split in the join
-        made.groupBy("digest", "size").agg(F.min(spot).alias("low"), F.max(spot).alias("high"))
-        .where("low <> high").select("digest", "size", "low", F.col("high.doc_id").alias("last")),
+        made.groupBy("digest").agg(F.min(spot).alias("low"), F.max(spot).alias("high"))
+        .where("low <> high").select("digest", "low", F.col("high.doc_id").alias("last")),
         "often",
     )
-    found = made.join(often, ["digest", "size"]).select(
+    found = made.join(often, "digest").select(
         "doc_id", F.struct(
-            "place", "start", "size", (F.struct("doc_id", "place") == F.col("low")).alias("first"),
+            "start", (F.struct("doc_id", "start") == F.col("low")).alias("first"),
             F.when(F.col("low.doc_id") == F.col("doc_id"), F.col("last")).otherwise(F.col("low.doc_id")).alias("other"),
         ).alias("c"),
     )
     return found.groupBy("doc_id").agg(F.array_sort(F.collect_set("c")).alias("found"))
 
 
-def passages(found: list[dict], min_bytes: int) -> list[tuple[int, int, list[dict]]]:
-    """Runs of shared chunks: (start, end, chunks) of at least ``min_bytes``."""
-    out, run = [], []
-    for c in [*found, None]:
-        if run and (c is None or c["start"] > run[-1]["start"] + run[-1]["size"]):
-            start, end = run[0]["start"], run[-1]["start"] + run[-1]["size"]
-            if end - start >= min_bytes:
-                out.append((start, end, run))
-            run = []
-        if c is not None:
-            run.append(c)
+def joined_runs(starts: list[int], size: int) -> list[tuple[int, int]]:
+    """(start, end) of the stretches that windows of ``size`` bytes cover; sorted starts."""
+    out: list[tuple[int, int]] = []
+    for a in starts:
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], a + size
+        else:
+            out.append((a, a + size))
     return out
 
 
 def without_copies(text: str | None, found: list[dict] | None, min_bytes: int) -> tuple:
     """(kept text, repeated bytes, dropped bytes, passages, first document that shares one)."""
-    runs = passages(found or [], min_bytes)
-    if not runs:
+    if not found:
         return text, 0, 0, 0, None
+    runs = joined_runs([c["start"] for c in found], min_bytes)
     data, out, at, dropped = _encoded(text), [], 0, 0
-    for c in (c for _, _, run in runs for c in run if not c["first"]):
-        out.append(data[at:c["start"]])
-        at = c["start"] + c["size"]
-        dropped += c["size"]
+    for a, b in joined_runs([c["start"] for c in found if not c["first"]], min_bytes):
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        out.append(data[at:a])
+        at, dropped = b, dropped + b - a
     out.append(data[at:])
-    others = [c["other"] for _, _, run in runs for c in run]
-    return b"".join(out).decode("utf-8", "surrogatepass"), sum(b - a for a, b, _ in runs), dropped, len(runs), min(others)
+    return (
+        b"".join(out).decode("utf-8", "surrogatepass"), sum(b - a for a, b in runs), dropped, len(runs),
+        min(c["other"] for c in found),
+    )
 
 
 MADE = "kept_text string, repeated_bytes long, dropped_bytes long, n_passages int, shared_with long"
@@ -154,9 +197,7 @@ MADE = "kept_text string, repeated_bytes long, dropped_bytes long, n_passages in
 def dedup_passages(docs: DataFrame, min_bytes: int = 100) -> DataFrame:
     """The rows with ``kept_text`` (copies dropped, first occurrences stay), bytes in repeated
     passages, bytes dropped, number of passages and a document that shares one."""
-    found = shared_chunks(docs).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
-    # only documents with enough shared bytes can hold a passage
-    found = found.where(F.aggregate("__found", F.lit(0).cast("long"), lambda s, c: s + c["size"]) >= min_bytes)
+    found = shared_anchors(docs, min_bytes).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
     joined = docs.join(found, F.col("doc_id").cast("long") == F.col("__id"), "left")
 
     @F.pandas_udf(MADE)

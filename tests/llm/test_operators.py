@@ -332,6 +332,38 @@ def test_repeated_passages(spark):
     assert got[201].kept_text is None and got[202].kept_text == "" and substring_dedup.dedup_passages(docs.limit(0)).count() == 0
 
 
+def test_recall_of_passages_just_over_fifty_words(spark):
+    rng = random.Random(31)
+    shared = [prose(rng, 51) for _ in range(400)]
+    rows = [(k * 400 + i, f"{prose(rng, rng.randint(5, 60))} {t} {prose(rng, rng.randint(5, 60))}", None)
+            for k in range(2) for i, t in enumerate(shared)]
+    docs = docs_of(spark, rows + [(1000 + i, prose(rng, 170), None) for i in range(50)])
+    got = {r.doc_id: r for r in substring_dedup.dedup_passages(docs).collect()}
+    assert all(got[i].shared_with == 400 + i and got[400 + i].shared_with == i for i in range(400))
+    assert all(got[i].n_passages == 0 for i in range(1000, 1050))
+    assert all(got[i].dropped_bytes == 0 for i in range(400))
+    edge = substring_dedup.SPAN             # what may stay at either end, with a few bytes that agree by chance
+    assert all(len(t) - 2 * edge <= got[400 + i].dropped_bytes <= len(t) + 2 * 16 for i, t in enumerate(shared))
+
+
+def test_anchors(monkeypatch):
+    """Every stretch of SPAN windows has one, chosen by its content; long texts are read in stretches."""
+    rng, size, span = random.Random(5), 100, substring_dedup.SPAN
+    data = (prose(rng, 500) + "é" * 300 + prose(rng, 300)).encode()
+    starts, hashes = substring_dedup.anchors(np.frombuffer(data, np.uint8), size)
+    assert starts[0] == 0 and starts[-1] == len(data) - size and np.diff(starts).max() <= span
+    by_content = {}
+    for a, h in zip(starts.tolist(), hashes.tolist()):
+        assert by_content.setdefault(h, data[a:a + size]) == data[a:a + size]
+    part = data[700:700 + size + span - 1]
+    other = substring_dedup.anchors(np.frombuffer(b"x" * 130 + part + b"y" * 130, np.uint8), size)[1]
+    assert set(other.tolist()) & set(hashes.tolist())
+    monkeypatch.setattr(substring_dedup, "_STRETCH", 97)
+    again = substring_dedup.anchors(np.frombuffer(data, np.uint8), size)
+    assert again[0].tolist() == starts.tolist() and again[1].tolist() == hashes.tolist()
+    assert all(len(x) == 0 for x in substring_dedup.anchors(np.frombuffer(data[:99], np.uint8), size))
+
+
 # ---------------------------------------------------------------- 8
 
 def test_decontamination(spark):
