@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import sys
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,3 +74,17 @@ def rolling_hashes(words: list[bytes], size: int, hashes: WordHashes) -> np.ndar
     for k in range(size):
         rolled = mix(rolled + ids[k:len(ids) - size + 1 + k])
     return rolled
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Slices of rows that agree in the first ``keys`` integer columns; a run over several batches is several slices."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for column in columns:
+            change |= column[1:] != column[:-1]
+        starts = np.concatenate(([0], np.flatnonzero(change) + 1, [batch.num_rows]))
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            yield tuple(int(column[a]) for column in columns), batch.slice(a, b - a)
