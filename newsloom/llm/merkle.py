@@ -430,12 +430,11 @@ def proofs(docs: DataFrame, found: dict[str, Column] | None = None, group: str =
     most = groups.agg(F.max("n").alias("most"), F.count("*").alias("groups")).first()
     tiers, tops = tree(slots(rows), groups.select("g", "n"), most.most or 0)
     tops = stored(tops, "tops")
-    upper = tops.select(
+    upper = stored(tops.select(
         F.lit(0).cast("long").alias("g"), (F.col("g") - 1).alias("slot"), F.col("g").alias("doc_id"), F.col("node").alias("leaf"),
         F.lit(None).cast("binary").alias("found"),
-    )
-    counted = groups.agg(F.count("*").alias("n")).select(F.lit(0).cast("long").alias("g"), "n")
-    roots, root = tree(upper, counted, most.groups)
+    ), "subroots")
+    roots, root = tree(upper, upper.groupBy("g").agg(F.count("*").alias("n")), most.groups)
     summit = root.first()
     if summit is None:
         return spark.createDataFrame([], _PROOF)
