@@ -247,6 +247,25 @@ def test_toxicity(spark):
     assert not next(r for r in got if r.doc_id is None).held_out
 
 
+WORDLESS = [None, "", "  ", "!!!", "\n\t", "x", "two words", "\u2603 ..."]
+
+
+def test_toxicity_of_texts_without_words(spark):
+    """Scored and learned from: null, empty, blank, punctuation, one word, two words."""
+    rows, labels = _labelled(200)
+    odd = [(5000 + i, t, None) for i, t in enumerate(WORDLESS * 6)]
+    known = spark.createDataFrame(labels + [(i, 1, i % 2) for i, _, _ in odd], "doc_id long, quality int, toxic int")
+    docs = docs_of(spark, rows + odd + odd[:3]).withColumns({c: F.lit("x") for c in ("score", "i", "y", "t", "g", "n", "threshold", "__id", "__y")})
+    net = toxicity.fit(docs, known)
+    got = toxicity.score(docs, net).select("doc_id", "score", "predicted", "held_out").collect()
+    assert len(got) == len(rows) + len(odd) + 3
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    blank = {r.score for r in got if r.doc_id >= 5000 and WORDLESS[(r.doc_id - 5000) % 8] in (None, "", "  ", "!!!", "\n\t")}
+    assert len(blank) == 1
+    few = toxicity.fit(docs, known, max_bytes=2000)
+    assert toxicity.score(docs.limit(0), few).count() == 0
+
+
 def test_toxicity_learns_nothing_from_held_out_rows(spark):
     rows, labels = _labelled(100)
     docs, known = docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
@@ -290,7 +309,7 @@ def test_rules(spark):
     got = out.select("doc_id", "kept").collect()
     assert len(got) == len(rows) + len(ODD) + 1
     assert sum(r.kept != truth[r.doc_id] for r in got if r.doc_id in truth) <= 2
-    assert quality_rules.apply_rules(docs, known.limit(0)).where("kept <> not base_failed").count() == 0
+    assert quality_rules.apply_rules(docs, known.limit(0)).where("kept <> (not base_failed)").count() == 0
     assert quality_rules.apply_rules(docs.limit(0), known).count() == 0
 
 
@@ -394,7 +413,7 @@ def test_decontamination(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench).collect()}
     assert {k: r.similarity for k, r in got.items()} == want
-    assert len(want) > 25 and got[61, 3].n_spans == 2
+    assert len(want) >= 25 and got[61, 3].n_spans == 2
     left = {r.doc_id for r in decontaminate.decontaminated(docs, bench).collect()}
     assert left == {d for d, _, _ in rows} - {d for d, _ in want}
 
