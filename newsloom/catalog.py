@@ -8,13 +8,14 @@ are ``<li>``. Events stand in for the attempt ledger.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom import schemas
 from newsloom.functions.archive import flag_empty_text, map_archive_record
-from newsloom.functions.article import extract_article
+from newsloom.functions.article import extract_article, extract_articles_by_site
 from newsloom.functions.columns import normalize_archive_text, normalize_page_text
 from newsloom.functions.htmltext import add_html_text, html_to_text_exact
 from newsloom.functions.scalars import (
@@ -106,6 +107,68 @@ def article_extract_parser(spark, sf):
     return articles.select("page_id", "title", "body_text", long("char_count").alias("char_count"))
 
 
+THEME = SiteProfile(source="Theme News", home_labels=("Home",))
+
+
+def themed_pages(spark, sf, **more) -> DataFrame:
+    """Test pages in the markup of a news theme: commented-out container, menu, title, date, nested container, junk."""
+    n = F.col("page_id").cast("string")
+    inner = F.regexp_extract("html", r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>", 1)
+    label = F.element_at(F.array(*map(F.lit, ("Sport", "Trade &amp; money", "Culture"))), (F.col("page_id") % 3 + 1).cast("int"))
+    html = F.concat(
+        F.lit('<html><body><!-- <article><h1>old</h1><div class="td-post-content">stale</div></article> -->'),
+        F.lit('<nav><a href="/category/home/">Home</a><a href="/category/x/page/2/">next</a><a href="/category/x/"><span>icon</span> '), label,
+        F.lit(' </a></nav><h1 class="big tdb-title-text">Story '), n, F.lit(' &amp; more<b>!</b></h1><time datetime="1999"></time>'),
+        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<time class="entry-date updated" datetime="2024-01-'), F.lpad(F.col("page_id") % 28 + 1, 2, "0"), F.lit('"></time>')))
+        .otherwise(""),
+        F.lit('<div class="a td-post-content"><div class="tdb-block-inner">'), inner,
+        F.lit('</div><div class="my-share-bar">share <div>deep</div> on</div>tail '), n,
+        F.lit("<p>end</p><script>if (a < b) '</div>'</script><style>p > b {}</style></div><p>after</p></body></html>"),
+    )
+    return site_pages(spark, sf).select(
+        "page_id", "url", html.alias("html"), F.col("html").alias("plain"), *(c.alias(name) for name, c in more.items())
+    )
+
+
+def article_rows(articles: DataFrame, *more: str) -> DataFrame:
+    return articles.select(
+        "page_id", "title", "category", "published_date", "body_text", long("char_count").alias("char_count"), *more
+    )
+
+
+@query
+def article_extract_injected(spark, sf):
+    """F2-F6, P4-P6 on theme pages: own title, entry date, category link, nested container, junk blocks."""
+    return article_rows(extract_article(themed_pages(spark, sf), THEME, keep=("page_id",)))
+
+
+@query
+def article_extract_tree_form(spark, sf):
+    """As ``article_extract_injected``, text after a junk block dropped with it, as tree removal does."""
+    return article_rows(extract_article(themed_pages(spark, sf), replace(THEME, keep_junk_tail=False), keep=("page_id",)))
+
+
+@query
+def article_extract_sites(spark, sf):
+    """Pages of three sites with containers of their own, and of one that is unknown, in one pass."""
+    section = F.concat(
+        F.lit("<article><h1>Section story</h1></article><section class='x entry'>"),
+        F.regexp_extract("html", r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>", 1),
+        F.lit("<section>inner</section></section><section class='entry'>other</section>"),
+    )
+    kind = F.col("page_id") % 4
+    pages = themed_pages(spark, sf, section=section).select(
+        "page_id", F.concat(F.lit("https://site"), kind.cast("string"), F.lit(".example.com/story/"), F.col("page_id").cast("string")).alias("url"),
+        F.when(kind == 0, F.col("html")).when(kind == 1, F.col("section")).otherwise(F.col("plain")).alias("html"),
+    )
+    sites = {
+        "site0.example.com": THEME,
+        "site1.example.com": replace(THEME, source="Section News", title_class=None, body_tag="section", body_class="entry"),
+        "site2.example.com": replace(PROFILE, min_body_chars=1500),
+    }
+    return article_rows(extract_articles_by_site(pages, sites, keep=("page_id",)), "source")
+
+
 def page_posts(spark, sf) -> DataFrame:
     """Pages in the shape of archive posts."""
     html, path = F.col("html"), url_path(F.col("url"))

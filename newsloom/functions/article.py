@@ -5,94 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.columns import bind, normalize_page_text, strip_unicode
+from newsloom.functions.columns import normalize_page_text, strip_unicode
 from newsloom.functions.htmltext import add_decoded
+from newsloom.functions.pagefields import LABEL_BREAK, Selectors, page_fields, site_table
 from newsloom.functions.parser import article_pieces
-from newsloom.functions.urls import attribute, class_has
+from newsloom.functions.urls import url_host
 from newsloom.profile import SiteProfile
 
-_BREAK = "\x1e"
-_COMMENT_OR_RAW = (
-    r"(?is)<(?:!--.*?-->|script(?:\s[^>]*)?>.*?</script\s*>|style(?:\s[^>]*)?>.*?</style\s*>)"
-)
 
-
-def _first_text_node(inner: Column) -> Column:
-    """Text up to the first tag that follows it."""
-    return F.regexp_extract(inner, r"(?s)^(?:<[^>]*>)*([^<]+)", 1)
-
-
-def title_node(html: Column, profile: SiteProfile) -> Column:
-    """first text node of the title heading, else of a heading inside ``article``."""
-    fallback = _first_text_node(
-        F.regexp_extract(html, r"(?is)<article(?:\s[^>]*)?>.*?<h1(?:\s[^>]*)?>(.*?)</h1\s*>", 1)
-    )
-    raw = fallback
-    if profile.title_class:
-        heads = F.regexp_extract_all(html, F.lit(r"(?is)<h1(?:\s[^>]*)?>.*?</h1\s*>"), 0)
-        titled = F.filter(
-            heads, lambda h: class_has(F.regexp_extract(h, "^<[^>]*>", 0), profile.title_class, token=False)
-        )
-        nodes = F.filter(
-            F.transform(titled, lambda h: F.regexp_extract(h, r"(?s)^<[^>]*>([^<]+)", 1)), lambda t: t != ""
-        )
-        raw = F.coalesce(F.try_element_at(nodes, F.lit(1)), fallback)
-    return raw
-
-
-def article_published(html: Column, profile: SiteProfile) -> Column:
-    """date of the entry-date ``time``, else of the first dated ``time``, else null."""
-    def pick(tags: Column) -> Column:
-        dated = F.filter(tags, lambda t: attribute(t, "datetime").isNotNull())
-        entry = F.filter(dated, lambda t: class_has(t, profile.time_class, token=False))
-        first = F.coalesce(F.try_element_at(entry, F.lit(1)), F.try_element_at(dated, F.lit(1)))
-        return attribute(first, "datetime")
-
-    return bind(F.regexp_extract_all(html, F.lit(r"(?is)<time\s[^>]*>"), 0), pick)
-
-
-def choose_category(labels: Column, profile: SiteProfile) -> Column:
+def choose_category(labels: Column, sel: Selectors) -> Column:
     """F6, choice: first label that is short, not blank and not a home link; else null."""
     clean = F.transform(labels, strip_unicode)
     good = F.filter(
         clean,
-        lambda c: (c != "") & (F.length(c) < profile.max_category_chars)
-        & ~c.isin(*profile.home_labels),
+        lambda c: (c != "") & (F.length(c) < F.expr(sel.max_category_chars)) & ~F.array_contains(F.expr(sel.home_labels), c),
     )
     return F.try_element_at(good, F.lit(1))
 
 
-def category_labels(html: Column) -> Column:
-    """text of the page's own category links, joined into one text."""
-    links = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*>[^<]*"), 0)
-    ours = F.filter(
-        links,
-        lambda a: bind(
-            F.coalesce(attribute(F.regexp_extract(a, "^<[^>]*>", 0), "href"), F.lit("")),
-            lambda href: href.contains("/category/") & ~href.contains("/page/"),
-        ),
-    )
-    return F.array_join(F.transform(ours, lambda a: F.regexp_extract(a, r"(?s)^<[^>]*>(.*)$", 1)), _BREAK)
-
-
-def container_text(html: Column, tag: str) -> Column:
-    """F3 for a container that does not nest: its text content, null when absent."""
-    inner = F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
-    text = F.regexp_replace(F.regexp_replace(inner, _COMMENT_OR_RAW, ""), "<[^>]*>", "")
-    return F.when(html.rlike(rf"(?i)<{tag}[\s>]"), text)
-
-
-def keep_valid_article(articles: DataFrame, profile: SiteProfile) -> DataFrame:
+def keep_valid_article(articles: DataFrame, sel: Selectors) -> DataFrame:
     """P5: drop pages without a title or with too little text.
 
     Written as the expansion of a filtered array: a plain filter would be pushed below
     the columns it tests, and their regexes would run twice for every page.
     """
-    kept = F.filter(
-        F.array(F.struct(*articles.columns)),
-        lambda a: (a["title"] != "") & (F.length(a["body_text"]) >= profile.min_body_chars),
-    )
-    return articles.select(F.inline(kept))
+    return articles.select(F.inline(F.expr(
+        f"filter(array(struct(*)), a -> a.title <> '' AND length(a.body_text) >= {sel.min_body_chars.replace('`__site`', 'a.`__site`')})"
+    )))
 
 
 def extract_article(
@@ -105,39 +44,48 @@ def extract_article(
     ``attach_discovered_category``). ``keep`` names further page columns to carry
     along. Narrow: no shuffle.
     """
-    pages = pages.where(F.col("html") != "")
-    html = F.col("html")
-    carried = ["url", *keep]
-    if profile.body_class:
-        raw = pages.select(
-            *carried, article_pieces(html, profile).alias("p")
-        )
-        fields = raw.select(
-            *carried,
-            strip_unicode(F.col("p.title")).alias("title"),
-            normalize_page_text("p.body").alias("body_text"),
-            F.col("p.published").alias("published_date"),
-            choose_category(F.col("p.category_labels"), profile).alias("__named"),
-        )
-    else:
-        raw = add_decoded(
-            pages.select(
-                *carried, "html",
-                article_published(html, profile).alias("published_date"),
-            ),
-            {
-                "__title": title_node(html, profile),
-                "__body": container_text(html, profile.body_tag),
-                "__labels": category_labels(html),
-            },
-        )
-        fields = raw.select(
-            *carried, "published_date",
-            strip_unicode(F.col("__title")).alias("title"),
-            normalize_page_text("__body").alias("body_text"),
-            choose_category(F.split("__labels", _BREAK), profile).alias("__named"),
-        )
-    valid = keep_valid_article(fields, profile)
+    return _extract(pages.select("url", "html", *keep), Selectors.of(profile), default_category, keep)
+
+
+def extract_articles_by_site(
+    pages: DataFrame, profiles: dict[str, SiteProfile], default_category: str | None = "unknown",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """U1, P4 for many sites: the profile of each page's host, all hosts in one pass.
+
+    ``profiles``: by host, as it stands in the URL. Pages of other hosts are left out. The records
+    carry ``source`` last, the site's name.
+    """
+    sites = site_table(pages.sparkSession, profiles).withColumnsRenamed({"host": "__host", "site": "__site"})
+    known = pages.select("url", "html", *keep).join(sites, url_host(F.col("url")) == F.col("__host")).drop("__host")
+    return _extract(known, Selectors.of_columns("__site"), default_category, (*keep, "source"), "__site")
+
+
+def _extract(pages: DataFrame, sel: Selectors, default_category: str | None, keep: tuple[str, ...], *site: str) -> DataFrame:
+    carried = [c for c in pages.columns if c != "html"]
+    read = page_fields(pages.where(F.col("html") != ""), sel)
+    unread = F.expr(
+        f"CASE WHEN `__odd` THEN struct(html, {sel.title_class} AS title_class, {sel.body_tag} AS body_tag, {sel.body_class} AS body_class, "
+        f"{sel.time_class} AS time_class, {sel.junk_classes} AS junk, {sel.junk_exact_token} AS exact, {sel.keep_junk_tail} AS tail) END"
+    )
+    usual = lambda name: F.when(~F.col("__odd"), F.col(name))
+    raw = add_decoded(
+        read, {f"__d{name}": usual(f"__{name}") for name in ("title", "body", "labels")}, {"__parsed": article_pieces(unread)}
+    )
+    labels = F.coalesce(F.col("__parsed.category_labels"), F.split("__dlabels", LABEL_BREAK))
+    fields = raw.select(
+        *carried,
+        strip_unicode(F.coalesce("__parsed.title", "__dtitle")).alias("title"),
+        F.coalesce("__parsed.body", "__dbody").alias("__text"),
+        F.coalesce("__parsed.published", usual("__published")).alias("published_date"),
+        choose_category(labels, sel).alias("__named"),
+    )
+    fields = fields.select(
+        *carried, "title", normalize_page_text("__text").alias("body_text"), "published_date", "__named"
+    )
+    valid = keep_valid_article(fields, sel)
+    if site:
+        valid = valid.withColumn("source", F.col("__site.source"))
     return valid.select(
         "url", "title",
         F.coalesce("__named", F.lit(default_category)).alias("category"),

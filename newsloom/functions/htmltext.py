@@ -94,10 +94,11 @@ def decode_usual_sql(value: str) -> str:
     return bind_sql(value, "t", f"CASE WHEN contains(t, '&') THEN {more} ELSE t END")
 
 
-def add_decoded(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+def add_decoded(df: DataFrame, texts: dict[str, Column], also: dict[str, Column] | None = None) -> DataFrame:
     """F8, one round, exact: add one decoded column per entry of ``texts``.
 
-    Text with an unusual reference goes to Python, all other text stays in the JVM.
+    Text with an unusual reference goes to Python, all other text stays in the JVM. Columns of ``also``
+    are added in the same step, so that those which need Python share its batches.
     """
     raw = df.withColumns({f"__raw_{name}": text for name, text in texts.items()})
     out = raw.withColumns({
@@ -106,7 +107,7 @@ def add_decoded(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
             F.expr(decode_usual_sql(f"`__raw_{name}`")),
         )
         for name in texts
-    })
+    } | (also or {}))
     return out.drop(*[f"__raw_{name}" for name in texts])
 
 

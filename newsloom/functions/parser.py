@@ -1,8 +1,8 @@
 """Arrow-batched HTML helpers for markup that no regex can read.
 
-Only nesting needs a parser: skipped elements inside each other, unclosed or broken
-tags, and an article container built of nested ``div``s. Whitespace rules, filters
-and choices between candidates stay outside, as Columns.
+Only pages that Columns cannot read exactly come here: skipped elements inside each
+other, unclosed, overlapping or broken tags. Whitespace rules, filters and choices
+between candidates stay outside, as Columns.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 
 from newsloom.functions.tags import BLOCK_TAGS, SKIP_TAGS, VOID_TAGS
 
+# Elements that can be an article's container, or hold one; others are never cut at.
+CONTAINERS = ("div", "article", "section", "main")
+
 _BLOCK, _SKIP, _VOID = set(BLOCK_TAGS), set(SKIP_TAGS), set(VOID_TAGS)
 
 # Executors need not have this package installed.
@@ -76,9 +79,9 @@ unescape = _unescaped.asNondeterministic()
 class _Article(HTMLParser):
     """Raw pieces of one article page: title nodes, container text, dates, categories."""
 
-    def __init__(self, title_class, body_class, time_class, junk, exact, keep_tail):
+    def __init__(self, title_class, body_tag, body_class, time_class, junk, exact, keep_tail):
         super().__init__(convert_charrefs=True)
-        self.title_class, self.body_class, self.time_class = title_class, body_class, time_class
+        self.title_class, self.body_tag, self.body_class, self.time_class = title_class, body_tag, body_class, time_class
         self.junk, self.exact, self.keep_tail = junk, exact, keep_tail
         self.stack = []                     # open elements, innermost last
         self.main_title = self.any_title = self.body = None
@@ -112,9 +115,12 @@ class _Article(HTMLParser):
         if self.body_depth:
             if not self.junk_depth and self._is_junk(tag, classes):
                 self.junk_depth = len(self.stack)
-        elif self.body is None and tag == "div" and self.body_class in classes:
+        elif self.body is None and tag == self.body_tag and (self.body_class is None or self.body_class in classes):
             self.body, self.body_depth = [], len(self.stack)
 
+    def handle_comment(self, data):
+        self.after_junk = False
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)    # "/>" closes nothing but void elements in HTML
 
@@ -129,8 +135,8 @@ class _Article(HTMLParser):
                 if self.body_depth >= at:
                     self.body_depth = 0
                 return
-            if name == "div" and tag not in ("body", "html", "article"):
-                return                      # an inline end tag never closes a div
+            if name in CONTAINERS and tag not in ("body", "html", "article", *(CONTAINERS if name != "div" else ())):
+                return                      # an inline end tag never closes a container, only few close a div
 
     def handle_data(self, data):
         tag, mark = self.stack[-1] if self.stack else ("", "")
@@ -151,26 +157,24 @@ ARTICLE_PIECES = (
 )
 
 
-def article_pieces(markup: Column, profile) -> Column:
-    """F2-F6 in one parse per page: raw title, container text, date and category labels."""
-    options = (
-        profile.title_class, profile.body_class, profile.time_class,
-        profile.junk_classes, profile.junk_exact_token, profile.keep_junk_tail,
-    )
+def article_pieces(page: Column) -> Column:
+    """F2-F6 in one parse per page: raw title, container text, date and category labels.
 
-    def read(page):
-        reader = _Article(*options)
-        reader.feed(page)
+    ``page``: struct of the markup and the selectors, null where nothing is to be parsed.
+    """
+    def read(html, *selectors):
+        reader = _Article(*selectors)
+        reader.feed(html)
         reader.close()
         title = reader.main_title if reader.main_title is not None else reader.any_title
         date = reader.entry_date if reader.entry_date is not None else reader.any_date
         return (title, None if reader.body is None else "".join(reader.body), date, reader.labels)
 
     @F.pandas_udf(ARTICLE_PIECES)
-    def pieces(pages: pd.Series) -> pd.DataFrame:
+    def pieces(pages: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(
-            [read(page or "") for page in pages],
+            [(None, None, None, None) if page[0] is None else read(*page) for page in pages.itertuples(index=False, name=None)],
             columns=["title", "body", "published", "category_labels"],
         )
 
-    return pieces.asNondeterministic()(markup)
+    return pieces.asNondeterministic()(page)

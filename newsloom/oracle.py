@@ -140,6 +140,18 @@ def sql() -> dict[str, str]:
     heading = r"(?is)<article(?:\s[^>]*)?>.*?<h1(?:\s[^>]*)?>(?:<[^>]*>)*([^<]+)"
     body = page_space(decode(rf"regexp_replace(regexp_replace(regexp_extract(html, '{article}', 1), '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g')"))
     title = f"trim({decode(f'regexp_extract(html, $q${heading}$q$, 1)')}, {_STRIP})"
+    inside = f"regexp_extract(html, '{article}', 1)"
+
+    def bare(e: str) -> str:
+        return decode(f"regexp_replace(regexp_replace({e}, '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g')")
+
+    def themed(tail: str) -> str:
+        return f"""
+SELECT page_id, 'Story ' || page_id || ' & more' AS title, [{"'Sport', 'Trade & money', 'Culture'"}][page_id % 3 + 1] AS category,
+  CASE WHEN page_id % 2 = 0 THEN '2024-01-' || {day} ELSE '1999' END AS published_date, b AS body_text, length(b) AS char_count
+FROM (SELECT page_id, {page_space(bare(inside) + tail)} AS b FROM pages WHERE html <> '') WHERE length(b) >= 100"""
+
+    day = "lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')"
     ad = page_space(decode("""regexp_extract(html, '(?s)<div class="ad">([^<]*)</div>', 1)"""))
     day = "lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')"
     rough = "replace(text, '. ', '.' || chr(160) || ' ' || chr(9) || chr(10) || ' ' || chr(10) || chr(10) || ' ')"
@@ -160,6 +172,14 @@ SELECT page_id, t AS text, length(t) AS char_count FROM (SELECT page_id, {html_t
         "article_extract": f"""
 SELECT page_id, url, title, 'unknown' AS category, CAST(NULL AS VARCHAR) AS published_date, b AS body_text, length(b) AS char_count
 FROM (SELECT page_id, url, {title} AS title, {body} AS b FROM pages) WHERE title <> '' AND length(b) >= 100""",
+        "article_extract_injected": themed(" || 'tail ' || page_id || 'end'"),
+        "article_extract_tree_form": themed(" || 'end'"),
+        "article_extract_sites": f"""
+SELECT *, 'Theme News' AS source FROM ({themed(" || 'tail ' || page_id || 'end'")}) WHERE page_id % 4 = 0
+UNION ALL SELECT page_id, 'Section story', 'unknown', NULL, b, length(b), 'Section News'
+FROM (SELECT page_id, {page_space(bare(inside) + " || 'inner'")} AS b FROM pages WHERE page_id % 4 = 1) WHERE length(b) >= 100
+UNION ALL SELECT page_id, title, 'unknown', NULL, b, length(b), 'Example News'
+FROM (SELECT page_id, {title} AS title, {body} AS b FROM pages WHERE page_id % 4 = 2) WHERE title <> '' AND length(b) >= 1500""",
         "article_extract_parser": f"""
 SELECT page_id, title, b AS body_text, length(b) AS char_count
 FROM (SELECT page_id, {title} AS title, {ad} AS b FROM pages) WHERE title <> '' AND length(b) >= 1""",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.functions.archive import flag_empty_text, map_archive_record
 from newsloom.functions.article import choose_category, extract_article
+from newsloom.functions.pagefields import Selectors
 from newsloom.functions.scalars import (
     backoff_seconds, ceil_div, classify_outcome, format_elapsed, page_backoff_seconds, parse_progress_ts, to_json_line,
 )
@@ -110,7 +111,7 @@ def test_category_choice(spark):
 
 def test_choose_category_without_candidates(spark):
     df = spark.createDataFrame([([" ", "ہوم"],)], "l array<string>")
-    assert df.select(choose_category(F.col("l"), SITE)).first()[0] is None
+    assert df.select(choose_category(F.col("l"), Selectors.of(SITE))).first()[0] is None
 
 
 def test_tag_container_profile_agrees_with_parser(spark):
