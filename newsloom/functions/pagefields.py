@@ -30,7 +30,7 @@ _MARKED = (
     r"(?i)<(?:!--(?:>|->|(?!-?>)[^-]*+(?:-(?!-\s*+!?>)[^-]*+)*+--\s*+!?>)|!doctype[^<>]*+>"
     rf"|(s){_raw_element('script')[1:]}|(s){_raw_element('style')[1:]})"
 )
-_TAG = rf"(?i)<(?:[a-z][^\s/<>]*+(?:[\s/]{_ATTRS})?|/[a-z][^\s/<>]*+\s*+|!s?)>"
+_NO_TAG = rf"<(?!(?:[A-Za-z][^\s/<>]*+(?:[\s/]{_ATTRS})?|/[A-Za-z][^\s/<>]*+\s*+|![sS]?)>)"
 _NAMES = "|".join(CONTAINERS)
 _EDGE = rf"(?i)(?=</?(?:{_NAMES}|body|html)[\s/>])"
 _CLASS = r"""(?is)\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
@@ -106,17 +106,29 @@ def _attribute(tag: str, name: str) -> str:
     )
 
 
+def _occurrences(text: str, part: str) -> str:
+    return f"(length({text}) - length(replace({text}, '{part}', ''))) div {len(part)}"
+
+
 def _events(pieces: str, s: Selectors) -> str:
     """Per piece: way (1 opens, -1 closes, -2 closes body or page, 0 neither), name, container, junk."""
-    tag = "regexp_extract(p, '^<[^>]*>', 0)"
     junk = (
         f"exists({s.junk_classes}, j -> CASE WHEN {s.junk_exact_token} THEN array_contains(split(c, '\\\\s+'), j) ELSE contains(c, j) END)"
     )
-    head = "lower(regexp_extract(p, '^</?([A-Za-z]+)', 1))"
-    facts = bind_sql(_classes(tag), "c", f"struct(1 AS way, n AS name, n = {s.body_tag} AND ({s.body_class} IS NULL OR contains(c, {s.body_class})) AS body, n = 'div' AND {junk} AS junk)")
-    other = "struct(CASE WHEN NOT startswith(p, '</') THEN 0 WHEN n IN ('body', 'html') THEN -2 ELSE -1 END AS way, n AS name, false AS body, false AS junk)"
+    opens = bind_sql(
+        _classes("t"), "c",
+        f"struct(1 AS way, n AS name, n = {s.body_tag} AND ({s.body_class} IS NULL OR contains(c, {s.body_class})) AS body, n = 'div' AND {junk} AS junk)",
+    )
+    other = "struct(CASE WHEN NOT startswith(t, '</') THEN 0 WHEN n IN ('body', 'html') THEN -2 ELSE -1 END AS way, n AS name, false AS body, false AS junk)"
     known = ", ".join(map(quoted, CONTAINERS))
-    return f"transform({pieces}, p -> {bind_sql(head, 'n', f'CASE WHEN NOT startswith(p, {quoted("</")}) AND n IN ({known}) THEN {facts} ELSE {other} END')})"
+    event = f"CASE WHEN NOT startswith(t, '</') AND n IN ({known}) THEN {opens} ELSE {other} END"
+    named = bind_sql("lower(regexp_extract(t, '^</?([A-Za-z]+)', 1))", "n", event)
+    # only the tag is given to patterns, not the text behind it
+    return f"transform({pieces}, p -> {bind_sql(tag_of('p'), 't', named)})"
+
+
+def tag_of(piece: str) -> str:
+    return f"concat(substring_index({piece}, '>', 1), '>')"
 
 
 _START = (
@@ -165,11 +177,10 @@ def page_fields(pages: DataFrame, s: Selectors) -> DataFrame:
     e = F.expr
     marked = f"regexp_replace(html, {quoted(_MARKED)}, '<!$1$2>')"
     heads = f"regexp_extract_all(`__page`, {quoted(_HEADING)}, 0)"
-    first_tag = "regexp_extract({}, '^<[^>]*>', 0)"
-    titled = f"filter({heads}, h -> contains({_classes(first_tag.format('h'))}, {s.title_class}))"
+    titled = f"filter({heads}, h -> contains({_classes(tag_of('h'))}, {s.title_class}))"
     article = r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>"
     links = f"regexp_extract_all(`__page`, {quoted('(?is)<a' + chr(92) + 's[^>]*>.*?</a' + chr(92) + 's*>')}, 0)"
-    href = f"coalesce({_attribute(first_tag.format('x'), 'href')}, '')"
+    href = f"coalesce({_attribute(tag_of('x'), 'href')}, '')"
     ours = f"filter({links}, x -> {bind_sql(href, 'h', 'contains(h, ' + quoted('/category/') + ') AND NOT contains(h, ' + quoted('/page/') + ')')})"
     inner = "regexp_replace(x, '(?is)^<[^>]*>|</a\\\\s*>$', '')"
     plain = replace_sql(replace_sql(inner, _INNER_ELEMENT, "<!>"), _INNER_ELEMENT, "<!>")
@@ -188,7 +199,7 @@ def page_fields(pages: DataFrame, s: Selectors) -> DataFrame:
         "__links": e(f"transform({ours}, x -> {plain})"),
         "__published": e(when),
         "__broken": e(
-            f"contains(regexp_replace(`__page`, {quoted(_TAG)}, ''), '<') OR regexp_count(`__page`, '(?i)<h1[\\\\s/>]') <> size({heads})"
+            f"`__page` RLIKE {quoted(_NO_TAG)} OR {_occurrences('`__page`', '<h1')} + {_occurrences('`__page`', '<H1')} <> size({heads})"
             f" OR `__page` RLIKE {quoted('(?i)<time' + chr(92) + 's[^>]*&')}"
         ),
     })
@@ -203,7 +214,7 @@ def page_fields(pages: DataFrame, s: Selectors) -> DataFrame:
     odd = " OR ".join((
         "`__broken`", "NOT `__fold`.sound", "`__fold`.open <> ''",
         "exists(`__titled`, h -> h RLIKE '(?is)^<[^>]*><(?!/h1)')",
-        "size(`__own`) = 0 AND regexp_count(`__page`, '(?i)<article[\\\\s/>]') > 1",
+        f"size(`__own`) = 0 AND {_occurrences('lower(`__page`)', '<article')} > 1",
         "size(`__own`) = 0 AND size(`__head`) > 0 AND coalesce(`__other`, '') = ''",
         "exists(`__links`, x -> x RLIKE '<[A-Za-z/]')",
     ))
