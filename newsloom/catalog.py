@@ -29,7 +29,7 @@ from newsloom.functions.urls import (
 from newsloom.operators import bursts, dedup, joins, ledger, listing, numbering, report
 from newsloom.plans import jobs
 from newsloom.profile import SiteProfile
-from newsloom.session import scratch
+from newsloom.session import drop_scratch, scratch
 from newsloom.sinks import files as sinks
 from newsloom.sources import files as sources
 from newsloom.sources.sitemaps import sitemap_entries
@@ -900,7 +900,7 @@ def stream_burst_windows(spark, sf):
     out = scratch(spark, "windows")
     errors = _stream(spark, sf, "events").where("event_type = 'error'")
     rows = stream_ops.burst_windows(errors, window_seconds=3600, slide_seconds=900, threshold=6, delay="40 days")
-    stream_sinks.write_updates(rows, out, scratch(spark, "checkpoint"))
+    stream_sinks.write_updates(rows, out, scratch(spark, "checkpoint"), "start_micros")
     return stream_sinks.latest_updates(spark, out, rows.schema, "start_micros")
 
 
@@ -911,7 +911,7 @@ def stream_progress(spark, sf):
     outcome = F.when(F.col("event_type").isin("view", "purchase"), "ok").otherwise("error")
     events = _stream(spark, sf, "events").select("ts", outcome.alias("outcome"))
     rows = stream_ops.progress_stream(events, seconds=3600, delay="40 days")
-    stream_sinks.write_updates(rows, out, scratch(spark, "checkpoint"))
+    stream_sinks.write_updates(rows, out, scratch(spark, "checkpoint"), "tick_micros")
     return stream_sinks.latest_updates(spark, out, rows.schema, "tick_micros")
 
 
@@ -922,3 +922,96 @@ def stream_burst_reset(spark, sf):
     rows = stream_ops.burst_with_reset(_stream(spark, sf, "events"), "event_type", window_seconds=7200, threshold=5)
     stream_sinks.ingest_stream(rows, out, checkpoint)
     return spark.read.schema(rows.schema).parquet(out)
+
+
+def _deliver(rows: DataFrame, folder: str) -> None:
+    """One more file for a stream that reads a folder."""
+    rows.coalesce(1).write.mode("append").parquet(folder)
+
+
+def late_events(spark, sf) -> list[DataFrame]:
+    """Events in three deliveries by time, every tenth one in the delivery after its own, then one that closes the stream."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    third = F.least(F.floor(F.datediff("ts", F.lit("2024-01-01")) / 10), F.lit(2))
+    turn = F.when(F.col("event_id") % 10 == 3, F.least(third + 1, F.lit(2))).otherwise(third)
+    end = spark.range(1).select(
+        F.lit(-1).cast("long").alias("event_id"), F.timestamp_seconds(F.lit(1893456000)).alias("ts"), F.lit("end").alias("event_type")
+    )
+    return [*(events.where(turn == k) for k in range(3)), end]
+
+
+@query
+def stream_burst_reset_late(spark, sf):
+    """T5 by event time: four deliveries with late events, a restart after each; the batch answer comes out."""
+    folder, out, checkpoint = (scratch(spark, name) for name in ("events", "triggers", "checkpoint"))
+    for part in late_events(spark, sf):
+        _deliver(part, folder)
+        stream = stream_files(spark, folder, part.schema, files_per_trigger=1)
+        rows = stream_ops.burst_with_reset_by_time(stream, "event_type", window_seconds=7200, threshold=5, delay="12 days")
+        stream_sinks.ingest_stream(rows, out, checkpoint)
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+@query
+def stream_progress_late(spark, sf):
+    """T3 over deliveries with late events and restarts; snapshots keep what a reader reads bounded."""
+    folder, out, checkpoint = (scratch(spark, name) for name in ("events", "progress", "checkpoint"))
+    for part in late_events(spark, sf)[:3]:
+        _deliver(part, folder)
+        stream = stream_files(spark, folder, part.schema, files_per_trigger=1)
+        outcome = F.when(F.col("event_type").isin("view", "purchase"), "ok").otherwise("error")
+        rows = stream_ops.progress_stream(stream.select("ts", outcome.alias("outcome")), seconds=3600, delay="40 days")
+        stream_sinks.write_updates(rows, out, checkpoint, "tick_micros", fold_every=2)
+    return stream_sinks.latest_updates(spark, out, rows.schema, "tick_micros")
+
+
+@query
+def stream_windows_late(spark, sf):
+    """T4 over deliveries with late events and restarts."""
+    folder, out, checkpoint = (scratch(spark, name) for name in ("events", "windows", "checkpoint"))
+    for part in late_events(spark, sf)[:3]:
+        _deliver(part, folder)
+        errors = stream_files(spark, folder, part.schema, files_per_trigger=1).where("event_type = 'error'")
+        rows = stream_ops.burst_windows(errors, window_seconds=3600, slide_seconds=900, threshold=6, delay="40 days")
+        stream_sinks.write_updates(rows, out, checkpoint, "start_micros", fold_every=2)
+    return stream_sinks.latest_updates(spark, out, rows.schema, "start_micros")
+
+
+@query
+def stream_pages_replayed(spark, sf):
+    """Three deliveries that overlap, then the last batch once more, as after a crash before its commit."""
+    folder, out, checkpoint = (scratch(spark, name) for name in ("landed", "pages", "checkpoint"))
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    turns = (F.col("page_id") % 3 == 0, F.col("page_id") % 3 != 2, F.lit(True))
+    for delivery, part in enumerate(turns, 1):
+        _deliver(pages.where(part).withColumn("delivery", F.lit(delivery)), folder)
+    stream = stream_files(spark, folder, pages.withColumn("delivery", F.lit(1)).schema, files_per_trigger=1)
+    stream_sinks.append_first_seen(stream, out, checkpoint, "url", "delivery")
+    drop_scratch(spark, f"{checkpoint}/commits/2")
+    stream_sinks.append_first_seen(stream, out, checkpoint, "url", "delivery")
+    rows = stream_sinks.read_batches(spark, out, stream.schema)
+    return rows.select("page_id", "url", long("delivery").alias("delivery"), "batch_id")
+
+
+@query
+def stream_archive_pages(spark, sf):
+    """Archive pages in three deliveries, one of them again, an error and a cut page in each; a restart after each."""
+    folder, out, checkpoint = (scratch(spark, name) for name in ("landed", "archive", "checkpoint"))
+    rendered = lambda c: F.struct(c.alias("rendered"))
+    post = F.struct(
+        F.col("doc_id").alias("id"), F.col("lang").alias("slug"), rendered(F.col("source")).alias("title"),
+        rendered(F.concat(F.lit("<p>"), "lang", F.lit("</p><p>&amp;</p>"))).alias("content"),
+    )
+    pages = table(spark, sf, "documents").groupBy(F.floor(F.col("doc_id") / 100).alias("page")).agg(
+        F.to_json(F.sort_array(F.collect_list(post))).alias("value")
+    )
+    for turn in range(3):
+        broken = spark.createDataFrame([(f'{{"code":"error","page":{turn}}}',), (f'[{{"id":{turn},"slug":',)], "value string")
+        part = pages.where((F.col("page") % 3 == turn) | (F.col("page") == 0)).select("value").unionByName(broken)
+        part.repartition(4).write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+        jobs.archive_stream(spark, folder, out, checkpoint, PROFILE, files_per_trigger=25)
+    records, quarantine = jobs.read_archive_stream(spark, out)
+    return records.select(F.lit("record").alias("kind"), "id", "slug", "title", "text").unionByName(
+        quarantine.select(F.lit("broken").alias("kind"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("slug"),
+                          F.lit(None).cast("string").alias("title"), F.trim(F.replace("value", F.lit("\n"), F.lit(""))).alias("text"))
+    )

@@ -13,14 +13,11 @@ from pyspark.sql import functions as F
 from newsloom.functions.scalars import floor_div
 from newsloom.operators.ledger import micros_of
 from newsloom.operators.numbering import number_rows
+from newsloom.session import scratch
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Fixed values: (window seconds, failures) of the one-session and the chunked runs.
-STEADY = (60, 5)
-CHUNKED = (30, 10)
-
 
 def failure_burst(
     failures: DataFrame, key: str, ts: str = "ts", window_seconds: int = 60, threshold: int = 5,
@@ -82,15 +79,16 @@ def failure_burst_reset(
     of ``block_rows``; a first pass gives each block's answer for every carried-in
     count, a fold over these summaries fixes the count each block really starts with,
     and a second pass gives the triggers. A key may span any number of blocks.
-    ``order`` is a unique column that settles equal times.
+    ``order`` is a unique column that settles equal times. Failures without a key are
+    those of one key more, as in W4.
     """
     width, need = window_seconds * 1_000_000, threshold
     if need < 2 or block_rows < need:
         raise ValueError("threshold must be at least 2 and block_rows at least the threshold")
-    kind = failures.schema[key].dataType.simpleString()
-    rows = number_rows(
-        failures.where(F.col(key).isNotNull()).select(key, micros_of(F.col(ts)).alias("ts_micros"), order), key, "ts_micros", order
-    )
+    kind = "string"
+    # as text with a mark, so that a missing key is a key that compares like any other
+    marked = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-")).alias(key)
+    rows = number_rows(failures.select(marked, micros_of(F.col(ts)).alias("ts_micros"), order), key, "ts_micros", order)
     rn = F.col("rn") - 1
     own = floor_div(rn, block_rows)
     in_tail = rn % block_rows >= block_rows - (need - 1)
@@ -125,6 +123,10 @@ def failure_burst_reset(
         summarize,
         f"block long, first_key {kind}, last_key {kind}, spans boolean, carried array<int>",
     )
+    # one row per block; two branches read it
+    path = scratch(failures.sparkSession, "blocks")
+    summary.write.parquet(path)
+    summary = failures.sparkSession.read.schema(summary.schema).parquet(path)
 
     def fold(chain: pd.DataFrame) -> pd.DataFrame:
         chain = chain.sort_values("block")
@@ -160,4 +162,5 @@ def failure_burst_reset(
         return pd.concat(found) if found else pd.DataFrame(columns=["key", "ts_micros"])
 
     triggers = ready.groupBy("block").applyInPandas(emit, f"key {kind}, ts_micros long")
-    return triggers.select(F.col("key").alias(key), "ts_micros")
+    name = F.when(F.col("key") != "-", F.substring("key", 2, 2**31 - 1)).cast(failures.schema[key].dataType)
+    return triggers.select(name.alias(key), "ts_micros")

@@ -164,6 +164,14 @@ FROM (SELECT page_id, {page_space(bare(inside) + tail)} AS b FROM pages WHERE ht
 SELECT doc_id AS id, text, source AS title, n_chars, n_chars < 100 AS bad FROM documents
 UNION ALL SELECT doc_id, text, source, n_chars, n_chars < 100 FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
 """
+    windows = """
+SELECT w * 900000000 AS start_micros, count(*) AS failures
+FROM (SELECT us, unnest(generate_series(us // 900000000 - 3, us // 900000000)) AS w
+      FROM (SELECT epoch_us(ts) AS us FROM events WHERE event_type = 'error'))
+GROUP BY w HAVING count(*) >= 6"""
+    progress = """
+SELECT epoch_us(ts) // 3600000000 * 3600000000 AS tick_micros, count(*) AS attempts,
+  count(*) FILTER (event_type IN ('view', 'purchase')) AS saved FROM events GROUP BY 1"""
     names = "CASE {s} WHEN 'en' THEN 'English' WHEN 'de' THEN 'Deutsch' WHEN 'fr' THEN 'Français' WHEN 'es' THEN 'Español' END"
     return {
         "html_plain_text": f"""
@@ -361,13 +369,15 @@ SELECT page_id, title, b AS body_text, length(b) AS char_count
 FROM (SELECT page_id, {title} AS title, {body} AS b FROM pages) WHERE title <> '' AND length(b) >= 100""",
         "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
         "stream_late_pages": "SELECT page_id, url, CAST(1 AS BIGINT) AS delivery FROM pages",
-        "stream_burst_windows": """
-SELECT w * 900000000 AS start_micros, count(*) AS failures
-FROM (SELECT us, unnest(generate_series(us // 900000000 - 3, us // 900000000)) AS w
-      FROM (SELECT epoch_us(ts) AS us FROM events WHERE event_type = 'error'))
-GROUP BY w HAVING count(*) >= 6""",
-        "stream_progress": """
-SELECT epoch_us(ts) // 3600000000 * 3600000000 AS tick_micros, count(*) AS attempts,
-  count(*) FILTER (event_type IN ('view', 'purchase')) AS saved FROM events GROUP BY 1""",
+        "stream_burst_windows": windows,
+        "stream_progress": progress,
         "stream_burst_reset": triggers(2, 5),
+        "stream_burst_reset_late": triggers(2, 5),
+        "stream_progress_late": progress,
+        "stream_windows_late": windows,
+        "stream_pages_replayed": """
+SELECT page_id, url, CAST(page_id % 3 + 1 AS BIGINT) AS delivery, CAST(page_id % 3 AS BIGINT) AS batch_id FROM pages""",
+        "stream_archive_pages": """
+SELECT 'record' AS kind, doc_id AS id, lang AS slug, source AS title, lang || chr(10) || chr(10) || '&' AS text FROM documents
+UNION ALL SELECT 'broken', NULL, NULL, NULL, unnest(['{"code":"error","page":' || t || '}', '[{"id":' || t || ',"slug":']) FROM range(3) r(t)""",
     }

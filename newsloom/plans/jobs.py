@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom import schemas
 from newsloom.functions.archive import map_archive_record
@@ -24,10 +25,11 @@ from newsloom.session import drop_scratch, scratch
 from newsloom.sinks.files import SHARD_ROWS, append_ledger, write_article_shards, write_report, write_url_list
 from newsloom.sources.files import (
     broken_pages, drop_malformed, land_articles, malformed_lines, posts_of, read_archive_files, read_articles,
-    read_ledger, read_pages,
+    read_ledger, read_pages, stream_archive_files,
 )
 from newsloom.sources.sitemaps import read_sitemaps
-from newsloom.streaming.sinks import append_first_seen, ingest_stream
+from newsloom.streaming.keystore import KeyStore
+from newsloom.streaming.sinks import append_first_seen, ingest_stream, read_committed, run_of, write_committed
 from newsloom.streaming.sources import stream_files
 
 
@@ -196,3 +198,39 @@ def stream_job_once(
     pages = pages.withColumn("delivery", F.col("_metadata.file_path"))
     records = extract_article(pages, profile, keep=("delivery",))
     return append_first_seen(records, out, checkpoint, "url", "delivery", continuous)
+
+
+def archive_stream(
+    spark: SparkSession, pages_dir: str, out: str, checkpoint: str, profile: SiteProfile,
+    files_per_trigger: int = 1000, continuous: bool = False,
+):
+    """Archive pages as they arrive -> 12-field records and a quarantine of broken pages.
+
+    Both appear with one commit per batch; read them with ``read_archive_stream``. A record delivered again
+    is ignored, and of several in one batch the first by (page, file path, place) stays. Records
+    without an id all stay.
+    """
+    def outputs(files: DataFrame, batch_id: int):
+        place = F.struct(F.coalesce("page", F.lit(2**62)).alias("page"), "path", "pos")
+        landed, kept = scratch(spark, "records"), scratch(spark, "kept")
+        map_archive_record(posts_of(files).withColumn("__place", place), profile, keep=("__place",)).write.parquet(landed)
+        rows = spark.read.parquet(landed)
+        store = KeyStore(spark, f"{out}/_keys", rows.schema["id"].dataType)
+        named = rows.select("id").where("id is not null").distinct()
+        seen = store.seen(named, "id", run_of(checkpoint), batch_id)
+        dedup_keep_first(rows, "id", "__place").drop("__place").join(seen, "id", "left_anti").select(
+            *schemas.ARTICLES_ARCHIVE.fieldNames()).write.parquet(kept)
+        records = spark.read.parquet(kept)
+        store.add(records.select("id").where("id is not null"), "id", run_of(checkpoint), batch_id)
+        return {"records": records, "quarantine": broken_pages(files)}, [landed, kept]
+
+    return write_committed(outputs, stream_archive_files(spark, pages_dir, files_per_trigger), out, checkpoint, continuous)
+
+
+def read_archive_stream(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """Records and quarantined pages of the finished batches of ``archive_stream``."""
+    pages = "file string, path string, page long, value string"
+    return (
+        read_committed(spark, out, "records", schemas.ARTICLES_ARCHIVE),
+        read_committed(spark, out, "quarantine", T._parse_datatype_string(pages)),
+    )

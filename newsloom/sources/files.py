@@ -70,7 +70,15 @@ def read_archive_files(spark: SparkSession, path: str) -> DataFrame:
     A page file has at most 100 posts, so one row per file is small. The page number is
     read from names like ``page_12.json``; any other name is a page without a number.
     """
-    pages = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return _archive_files(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True))
+
+
+def stream_archive_files(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """``read_archive_files`` of files as they arrive."""
+    return _archive_files(spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path, wholetext=True))
+
+
+def _archive_files(pages: DataFrame) -> DataFrame:
     file = F.col("_metadata.file_name")
     return pages.select(
         file.alias("file"), F.col("_metadata.file_path").alias("path"),

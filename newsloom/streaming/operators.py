@@ -11,9 +11,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StructField, StructType
 
 from newsloom.operators.bursts import burst_triggers
 from newsloom.operators.ledger import TICK_SECONDS, micros_of
+from newsloom.session import JOB_CONF
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,9 +62,10 @@ def burst_windows(
 def burst_with_reset(
     failures: DataFrame, key: str, ts: str = "ts", window_seconds: int = 60, threshold: int = 5
 ) -> DataFrame:
-    """T5: W5 in a stream. State is the last failures that still count, fewer than the
-    threshold; a batch is read in time order. A failure earlier than the newest one that is
-    held is late and does not count."""
+    """T5, at once: W5 in a stream, a trigger in the batch that brings its last failure. State is the last
+    failures that still count, fewer than the threshold; a batch is read in time order. A
+    failure earlier than the newest one that is held is late and does not count;
+    ``burst_with_reset_by_time`` waits for such failures."""
     width, need = window_seconds * 1_000_000, threshold
     kind = failures.schema[key].dataType.simpleString()
 
@@ -81,3 +85,72 @@ def burst_with_reset(
         step, f"{key} {kind}, ts_micros long", "held array<bigint>", "append",
         GroupStateTimeout.NoTimeout,
     )
+
+
+class _TimedBursts(StatefulProcessor):
+    """Failures of one key: those that wait for the watermark, and those before it that still count."""
+
+    def __init__(self, key: str, width: int, need: int):
+        self.key, self.width, self.need = key, width, need
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        times = StructType([StructField("ts_micros", LongType())])
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", times)
+        self.held = handle.getListState("held", times)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        reached = timerValues.getCurrentWatermarkInMs() * 1000
+        new = np.concatenate([b.ts_micros.to_numpy(np.int64) for b in rows])
+        new = new[new > reached]            # what is older than the watermark has been decided without it
+        if len(new):
+            self.waiting.appendList([(int(t),) for t in new])
+            self._wake(int(new.min()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        reached = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = np.sort(np.array([t for t, in self.waiting.get()], np.int64))
+        held = np.array([t for t, in self.held.get()], np.int64)
+        due, later = waiting[waiting <= reached], waiting[waiting > reached]
+        times = np.concatenate((held, due))
+        hits = burst_triggers(times, len(held), self.width, self.need)
+        since = len(times) - 1 - hits[-1] if len(hits) else len(times)
+        keep = times[len(times) - min(self.need - 1, since):]
+        keep = keep[keep > reached - self.width]
+        for state, values in ((self.waiting, later), (self.held, keep)):
+            state.clear()
+            if len(values):
+                state.put([(int(t),) for t in values])
+        # the next failure to decide, or the time when the last one held stops to count and nothing is left
+        if len(later):
+            self._wake(int(later[0]))
+        elif len(keep):
+            self._wake(int(keep[-1]) + self.width)
+        if len(hits):
+            yield pd.DataFrame({self.key: [key[0]] * len(hits), "ts_micros": times[hits]})
+
+    def _wake(self, micros: int) -> None:
+        self.handle.registerTimer(-(-micros // 1000))
+
+    def close(self) -> None:
+        pass
+
+
+def burst_with_reset_by_time(
+    failures: DataFrame, key: str, ts: str = "ts", window_seconds: int = 60, threshold: int = 5, delay: str = "10 minutes"
+) -> DataFrame:
+    """T5: W5 in a stream, exact for failures that are late by up to ``delay``.
+
+    Failures wait in state until the watermark has passed them and are then decided in time order, so
+    triggers come later by the delay and do not depend on how failures arrive. A key whose
+    failures have all left the window keeps no state. A busy key's batch is handled in one task. Failures
+    without a key are those of one key more. Needs the RocksDB state store, which is set here.
+    """
+    spark = failures.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", JOB_CONF["spark.sql.streaming.stateStore.providerClass"])
+    kind = failures.schema[key].dataType.simpleString()
+    rows = event_time(failures.where(F.col(ts).isNotNull()).select(key, ts), ts, delay).withColumn("ts_micros", F.unix_micros(ts))
+    return rows.groupBy(key).transformWithStateInPandas(
+        _TimedBursts(key, window_seconds * 1_000_000, threshold), f"{key} {kind}, ts_micros long", "Append", "EventTime"
+    )
