@@ -27,6 +27,7 @@ from newsloom.functions.urls import (
     url_host, url_path, url_scheme, without_query,
 )
 from newsloom.operators import bursts, dedup, joins, ledger, listing, numbering, report
+from newsloom.operators.ledger_table import LedgerTable
 from newsloom.plans import jobs
 from newsloom.profile import SiteProfile
 from newsloom.session import drop_scratch, scratch
@@ -775,6 +776,45 @@ def progress_summary(spark, sf):
     )
 
 
+@query
+def progress_rate_of_work(spark, sf):
+    """W6 against the list of what was to be done: remaining work and time left."""
+    work = table(spark, sf, "documents").select("doc_id")
+    return ledger.progress_rate(attempts(spark, sf), tick_seconds=900, work=work)
+
+
+@query
+def ledger_compaction(spark, sf):
+    """Seven appends, a snapshot every three; state and history are those of one ledger."""
+    ledger_table = LedgerTable(spark, scratch(spark, "ledger"), fold_every=3)
+    rows = attempts(spark, sf)
+    for turn in range(7):
+        ledger_table.append(rows.where(F.col("event_id") % 7 == turn))
+    history = ledger_table.history().groupBy("url").agg(F.count("*").alias("tried"))
+    return ledger_table.status().join(history, "url").select(
+        "url", long("attempt").alias("attempt"), F.unix_micros("ts").alias("ts_micros"), "outcome", "attempts", "tried"
+    )
+
+
+@query
+def job_ledger(spark, sf):
+    """A run with failed fetches and stub pages, a second one that skips what is done and tries the rest again."""
+    landed, out, path = scratch(spark, "landed"), scratch(spark, "job"), scratch(spark, "ledger")
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    failed, stub = F.col("page_id") % 5 == 0, F.col("page_id") % 7 == 1
+    first = pages.select(
+        "url", F.when(failed, F.lit(None)).when(stub, "<html><h1>stub</h1></html>").otherwise(F.col("html")).alias("html"),
+        F.when(failed, 503).otherwise(200).alias("status"),
+    )
+    second = pages.select("url", "html", F.lit(200).alias("status"))
+    for run, rows in (("run1", first), ("run2", second)):
+        rows.write.parquet(f"{landed}/{run}")
+        jobs.page_job(spark, f"{landed}/{run}", out, PROFILE, ledger=path, run=run)
+    saved = sources.read_articles(spark, f"{out}/articles/*", schemas.ARTICLES_PAGE).groupBy("url").agg(F.count("*").alias("saved"))
+    status = LedgerTable(spark, path).status()
+    return status.join(saved, "url", "left").select("url", "attempts", "outcome", F.coalesce("saved", F.lit(0)).alias("saved"))
+
+
 @query
 def ledger_round_trip(spark, sf):
     """Attempts appended outcome by outcome, then the keys still to do."""

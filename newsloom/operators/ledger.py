@@ -71,22 +71,65 @@ def progress_rate(
     )
 
 
-def _key_status(ledger: DataFrame, key: str) -> DataFrame:
-    """Last attempt and time of the first attempt per key.
+# The classes of F13. The place of a class in the list settles attempts of one time and number.
+OUTCOMES = ("other", "error", "gone", "ok", "rejected", "throttled")
+_TIME, _NUMBER = 10**13, 10
+
 
-    The last attempt is the maximum of (time, attempt, outcome): the latest time, then the
-    highest attempt number, one without a number first. It is combined before the shuffle.
-    A later success takes a URL off the failed list.
+def packed_attempt(ts: Column, attempt: Column, outcome: Column) -> Column:
+    """Time, number and outcome class of an attempt in one number of fixed width, which orders attempts.
+
+    Such a number can be reduced in place by a hash aggregate; a struct or a text cannot.
     """
-    us = micros_of(F.col("ts"))
-    latest = F.max(F.struct(us.alias("us"), F.col("attempt").cast("long").alias("attempt"), "outcome"))
-    last = ledger.groupBy(key).agg(latest.alias("__last"), F.min(us).alias("first_micros"))
-    return last.select(
-        key, F.col("__last.attempt").cast(ledger.schema["attempt"].dataType).alias("attempt"),
-        F.timestamp_micros("__last.us").alias("ts"), F.col("__last.outcome").alias("outcome"), "first_micros",
+    code = F.coalesce(F.array_position(F.array(*map(F.lit, OUTCOMES)), outcome), F.lit(0))
+    code = F.greatest(code - 1, F.lit(0))
+    number = F.coalesce(attempt.cast("long") + 1, F.lit(0))
+    return (
+        micros_of(ts).cast("decimal(20,0)") * F.lit(_TIME).cast("decimal(14,0)") + (number * _NUMBER + code).cast("decimal(20,0)")
+    ).cast("decimal(38,0)")
+
+
+def unpacked_attempt(packed: Column) -> dict[str, Column]:
+    """``ts``, ``attempt`` and ``outcome`` of ``packed_attempt``; an unknown class is ``other``."""
+    rest = F.pmod(packed, F.lit(_TIME).cast("decimal(14,0)"))
+    low = rest.cast("long")
+    number = F.floor(low / _NUMBER)
+    return {
+        "attempt": F.when(number > 0, number - 1).cast("int"),
+        "ts": F.timestamp_micros(((packed - rest) / F.lit(_TIME).cast("decimal(14,0)")).cast("long")),
+        "outcome": F.element_at(F.array(*map(F.lit, OUTCOMES)), (F.pmod(low, F.lit(_NUMBER)) + 1).cast("int")),
+    }
+
+
+def key_state(ledger: DataFrame, key: str = "url") -> DataFrame:
+    """(key, last, first_micros, attempts): what all later reports need, one hash aggregate over fixed-width values."""
+    return ledger.groupBy(key).agg(
+        F.max(packed_attempt(F.col("ts"), F.col("attempt"), F.col("outcome"))).alias("last"),
+        F.min(micros_of(F.col("ts"))).alias("first_micros"), F.count("*").alias("attempts"),
+    )
+
+
+def merged_state(states: DataFrame, key: str = "url") -> DataFrame:
+    """States of several parts of a ledger as one."""
+    return states.groupBy(key).agg(
+        F.max("last").alias("last"), F.min("first_micros").alias("first_micros"), F.sum("attempts").alias("attempts")
     )
 
 
+def status_of(state: DataFrame, key: str = "url") -> DataFrame:
+    """Last attempt and time of the first attempt per key, from ``key_state``.
+
+    The last attempt has the latest time, then the highest attempt number, one without a number first. A later
+    success takes a URL off the failed list.
+    """
+    parts = unpacked_attempt(F.col("last"))
+    return state.select(key, *(c.alias(name) for name, c in parts.items()), "first_micros", "attempts")
+
+
+def _key_status(ledger: DataFrame, key: str) -> DataFrame:
+    return status_of(key_state(ledger, key), key).drop("attempts")
+
+
 def latest_status(ledger: DataFrame, key: str = "url") -> DataFrame:
     """Outcome of the last attempt per key, with its time and number."""
     return _key_status(ledger, key).drop("first_micros")

@@ -164,6 +164,19 @@ FROM (SELECT page_id, {page_space(bare(inside) + tail)} AS b FROM pages WHERE ht
 SELECT doc_id AS id, text, source AS title, n_chars, n_chars < 100 AS bad FROM documents
 UNION ALL SELECT doc_id, text, source, n_chars, n_chars < 100 FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
 """
+    def rate(total: str) -> str:
+        return f"""
+WITH t AS (SELECT us // 900000000 AS tick, count(*) FILTER (outcome = 'ok') AS o, count(*) AS n, min(us) AS lo, max(us) AS hi
+           FROM ({ATTEMPTS}) GROUP BY 1),
+r AS (SELECT tick, CAST(sum(o) OVER w AS BIGINT) AS saved, CAST(sum(n) OVER w AS BIGINT) AS done,
+        CAST({total} AS BIGINT) AS pending, (hi - min(lo) OVER ()) // 1000000 AS elapsed_s
+      FROM t WINDOW w AS (ORDER BY tick)),
+s AS (SELECT tick, elapsed_s, saved, done - saved AS failed, greatest(pending - done, 0) AS remaining,
+        CAST(saved AS DOUBLE) / greatest(elapsed_s, 1) AS rate FROM r),
+u AS (SELECT *, CASE WHEN rate > 0.1 THEN CAST(floor(remaining / rate) AS BIGINT) END AS eta_s FROM s)
+SELECT tick, elapsed_s, {hms('elapsed_s')} AS elapsed, saved, failed, remaining, rate, eta_s,
+  CASE WHEN eta_s IS NULL THEN '??' ELSE {hms('coalesce(eta_s, 0)')} END AS eta FROM u"""
+
     windows = """
 SELECT w * 900000000 AS start_micros, count(*) AS failures
 FROM (SELECT us, unnest(generate_series(us // 900000000 - 3, us // 900000000)) AS w
@@ -330,17 +343,16 @@ SELECT event_id, outcome, {backoff('attempt')} AS backoff_s,
         "retry_queue": f"""
 SELECT url, 'unknown' AS category_name, {backoff('attempt')} AS backoff_s, ts_micros + 1000000 * {backoff('attempt')} AS next_micros
 FROM ({STATUS}) WHERE outcome <> 'ok'""",
-        "progress_rate": f"""
-WITH t AS (SELECT us // 900000000 AS tick, count(*) FILTER (outcome = 'ok') AS o, count(*) AS n, min(us) AS lo, max(us) AS hi
-           FROM ({ATTEMPTS}) GROUP BY 1),
-r AS (SELECT tick, CAST(sum(o) OVER w AS BIGINT) AS saved, CAST(sum(n) OVER w AS BIGINT) AS done,
-        CAST(sum(n) OVER () AS BIGINT) AS pending, (hi - min(lo) OVER ()) // 1000000 AS elapsed_s
-      FROM t WINDOW w AS (ORDER BY tick)),
-s AS (SELECT tick, elapsed_s, saved, done - saved AS failed, pending - done AS remaining,
-        CAST(saved AS DOUBLE) / greatest(elapsed_s, 1) AS rate FROM r),
-u AS (SELECT *, CASE WHEN rate > 0.1 THEN CAST(floor(remaining / rate) AS BIGINT) END AS eta_s FROM s)
-SELECT tick, elapsed_s, {hms('elapsed_s')} AS elapsed, saved, failed, remaining, rate, eta_s,
-  CASE WHEN eta_s IS NULL THEN '??' ELSE {hms('coalesce(eta_s, 0)')} END AS eta FROM u""",
+        "progress_rate": rate("sum(n) OVER ()"),
+        "progress_rate_of_work": rate("(SELECT count(*) FROM documents)"),
+        "ledger_compaction": f"""
+SELECT url, s.attempt, ts_micros, s.outcome, n AS attempts, n AS tried
+FROM ({STATUS}) s JOIN (SELECT url, count(*) AS n FROM ({ATTEMPTS}) GROUP BY url) USING (url)""",
+        "job_ledger": f"""
+SELECT url, CAST(CASE WHEN good AND page_id % 5 <> 0 AND page_id % 7 <> 1 THEN 1 ELSE 2 END AS BIGINT) AS attempts,
+  CASE WHEN good THEN 'ok' ELSE 'rejected' END AS outcome, CAST(good AS BIGINT) AS saved
+FROM (SELECT page_id, url, coalesce(title <> '' AND length(b) >= 100, false) AS good
+      FROM (SELECT page_id, url, {title} AS title, {body} AS b FROM pages))""",
         "progress_summary": f"""
 SELECT saved, failed, start_micros, last_micros, {hms('(last_micros - start_micros) // 1000000')} AS elapsed,
   round(100.0 * saved / (saved + failed), 1) AS percent_saved

@@ -12,20 +12,22 @@ from pyspark.sql import types as T
 from newsloom import schemas
 from newsloom.functions.archive import map_archive_record
 from newsloom.functions.article import extract_article
+from newsloom.functions.scalars import classify_outcome
 from newsloom.functions.urls import is_article_url, listing_link_rows
 from newsloom.operators.dedup import dedup_keep_first, distinct_urls, duplicates_report
 from newsloom.operators.joins import (
     attach_discovered_category, category_names, discover_urls, only_post_sitemaps, page_range_from,
     pending_work,
 )
+from newsloom.operators.ledger_table import LedgerTable
 from newsloom.operators.listing import first_seen, listing_stop_rule, page_walk
 from newsloom.operators.report import validation_report
 from newsloom.profile import SiteProfile
 from newsloom.session import drop_scratch, scratch
-from newsloom.sinks.files import SHARD_ROWS, append_ledger, write_article_shards, write_report, write_url_list
+from newsloom.sinks.files import SHARD_ROWS, write_article_shards, write_report, write_url_list
 from newsloom.sources.files import (
     broken_pages, drop_malformed, land_articles, malformed_lines, posts_of, read_archive_files, read_articles,
-    read_ledger, read_pages, stream_archive_files,
+    read_pages, stream_archive_files,
 )
 from newsloom.sources.sitemaps import read_sitemaps
 from newsloom.streaming.keystore import KeyStore
@@ -101,36 +103,45 @@ def listing_urls(listings: DataFrame, profile: SiteProfile) -> DataFrame:
 def page_job(
     spark: SparkSession, pages_path: str, out: str, profile: SiteProfile,
     url_list: DataFrame | None = None, done: DataFrame | None = None, shard_rows: int = SHARD_ROWS,
-    ledger: str | None = None,
+    ledger: str | None = None, run: str | None = None,
 ) -> None:
     """Landed pages -> 7-field shards, leaving out what is done.
 
     Articles are extracted before what is done is left out, so raw pages are not shuffled.
-    With ``ledger`` every page becomes an attempt there: ``ok``, or ``rejected`` when it
-    holds no valid article; a next run takes its ``done`` from it.
+    With ``ledger`` every landed page that is not done becomes an attempt there, and a next run leaves out
+    what the ledger says is done. The outcome follows F13: from the page's ``status`` where the landed table has
+    such a column (a failed fetch is a row without ``html``), else as of a fetched page; a fetched page without
+    a valid article is ``rejected``. ``run`` names a folder of its own for the articles of a further run.
     """
     pages = read_pages(spark, pages_path)
+    table = LedgerTable(spark, ledger) if ledger is not None else None
+    if table is not None:
+        # what was done before this run, fixed now: the run itself adds to the ledger
+        before = scratch(spark, "before")
+        table.status().select("url", "attempt", "outcome").write.parquet(before)
+        status = spark.read.parquet(before)
+        saved_before = status.where("outcome = 'ok'").select("url")
+        done = saved_before if done is None else done.select("url").unionByName(saved_before)
     articles = extract_article(pages, profile, default_category=None if url_list is not None else "unknown")
     if done is not None:
         articles = pending_work(articles, done, "url")
     if url_list is not None:
         articles = attach_discovered_category(articles, url_list)
-    write_article_shards(articles, f"{out}/articles", shard_rows)
-    if ledger is not None:
-        saved = spark.read.schema("url string").json(f"{out}/articles").distinct()
-        tried = pages.select("url").distinct()
-        if done is not None:
-            tried = pending_work(tried, done, "url")
-        before = read_ledger(spark, ledger).groupBy("url").agg(F.max("attempt").alias("__n"))
-        attempts = tried.join(saved.withColumn("__ok", F.lit(True)), "url", "left").join(before, "url", "left").select(
-            "url", (F.coalesce("__n", F.lit(-1)) + 1).cast("int").alias("attempt"),
-            F.current_timestamp().alias("ts"), F.lit(200).alias("status"),
-            F.when(F.col("__ok"), "ok").otherwise("rejected").alias("outcome"),
+    target = f"{out}/articles" if run is None else f"{out}/articles/{run}"
+    write_article_shards(articles, target, shard_rows)
+    if table is not None:
+        landed = spark.read.parquet(pages_path)
+        code = F.coalesce("status", F.lit(200)) if "status" in landed.columns else F.lit(200)
+        tried = landed.groupBy("url").agg(F.min(code.cast("int")).alias("status"))
+        tried = pending_work(tried, done, "url")
+        saved = spark.read.schema("url string").json(target).distinct().withColumn("__ok", F.lit(True))
+        numbers = status.select("url", F.col("attempt").alias("__n"))
+        attempts = tried.join(saved, "url", "left").join(numbers, "url", "left").select(
+            "url", (F.coalesce("__n", F.lit(-1)) + 1).cast("int").alias("attempt"), F.current_timestamp().alias("ts"),
+            "status", classify_outcome(F.col("status"), F.coalesce("__ok", F.lit(False))).alias("outcome"),
         )
-        landed = scratch(spark, "attempts")
-        attempts.write.parquet(landed)
-        append_ledger(spark.read.schema(attempts.schema).parquet(landed), ledger)
-        drop_scratch(spark, landed)
+        table.append(attempts)
+        drop_scratch(spark, before)
 
 
 def merge_job(
