@@ -32,6 +32,7 @@ from newsloom.plans import jobs
 from newsloom.profile import SiteProfile
 from newsloom.session import drop_scratch, scratch
 from newsloom.sinks import files as sinks
+from newsloom.sinks import parts as sink_parts
 from newsloom.sources import files as sources
 from newsloom.sources.sitemaps import sitemap_entries
 from newsloom.streaming import operators as stream_ops
@@ -274,7 +275,49 @@ def first_seen(spark, sf):
 def union_discovered(spark, sf):
     """Repeats across categories stay."""
     links = nav_links(spark, sf).select("category_slug", "url")
-    return joins.union_discovered([links.where(F.col("category_slug") == slug) for slug in PROFILE.categories])
+    return joins.discovered_in(links, list(PROFILE.categories))
+
+
+@query
+def union_discovered_runs(spark, sf):
+    """J4 over lists of their own: what two runs found, one without page numbers."""
+    found = nav_links(spark, sf)
+    listed = table(spark, sf, "pages").select("url", F.lit("listed").alias("category_slug"))
+    return joins.union_discovered([found.select("category_slug", "url", long("page_num").alias("page_num")), listed])
+
+
+@query
+def discover_sitemap_first(spark, sf):
+    """The sitemap has URLs, so the listing result is not taken."""
+    urls = table(spark, sf, "pages").select("url")
+    return joins.discover_urls(dedup.distinct_urls(urls.where(is_article_url(F.col("url"), PROFILE))), urls)
+
+
+@query
+def archive_job_report(spark, sf):
+    """The report that the job's writes counted, over pages that repeat records, one of them broken."""
+    base, out = scratch(spark, "landed"), scratch(spark, "job")
+    docs = table(spark, sf, "documents")
+    post = F.struct(
+        F.when(F.col("doc_id") % 10 != 9, F.col("doc_id")).alias("id"), F.concat(F.lit("2024-01-"), F.lpad(F.col("doc_id") % 28 + 1, 2, "0"), F.lit("T00:00:00")).alias("date"),
+        F.struct(F.col("source").alias("rendered")).alias("title"),
+        F.struct(F.when(F.col("doc_id") % 3 == 0, "").otherwise("<p>abc</p>").alias("rendered")).alias("content"),
+    )
+    broken = spark.createDataFrame([('{"code": "rest"}',), ("[{",)], "value string")
+    for run, rows in (("run1", docs.where("doc_id % 2 = 0")), ("run2", docs)):
+        pages = rows.groupBy(F.floor(F.col("doc_id") / 100)).agg(F.to_json(F.collect_list(post)).alias("value"))
+        pages.select("value").unionByName(broken).repartition(4).write.option("maxRecordsPerFile", 1).text(f"{base}/{run}")
+    report_row = jobs.archive_job(spark, base, out, PROFILE)
+    order = sink_parts.is_in_order(sources.read_articles(spark, f"{out}/articles"), "id").select("ordered", F.col("records").alias("written"))
+    again = jobs.report_job(spark, f"{out}/articles", f"{out}/again", schemas.ARTICLES_ARCHIVE)
+    same = ["total_records", "unique_ids", "malformed", "duplicates", "null_ids", "empty_text", "chars_total", "min_id", "max_id", "first_published", "last_published"]
+    renamed = again.select(*(F.col(c).alias(f"read_{c}") for c in same))
+    one = F.lit(1).alias("one")
+    joined = report_row.select("*", one).join(order.select("*", one), "one").join(renamed.select("*", one), "one")
+    agree = F.lit(True)
+    for c in same:
+        agree = agree & F.col(c).eqNullSafe(F.col(f"read_{c}"))
+    return joined.select(*same, "input_records", "input_malformed", "removed", "ordered", "written", agree.alias("agrees"))
 
 
 @query
@@ -685,6 +728,39 @@ def sized_parts(spark, sf):
     return read.unionByName(over).agg(F.sum("record").alias("records"), F.sum("over").alias("oversize"))
 
 
+def _certified(rows: DataFrame, kind: str) -> DataFrame:
+    return sink_parts.is_in_order(rows, "id").select(
+        F.lit(kind).alias("kind"), "records", F.col("first.id").alias("first_id"), F.col("last.id").alias("last_id"), "ordered"
+    )
+
+
+@query
+def single_archive_order(spark, sf):
+    """K2, O2: the certificate of an archive in order, and of one in which neighbours are swapped."""
+    good, bad = scratch(spark, "archive"), scratch(spark, "swapped")
+    records = document_records(spark, sf)
+    sinks.write_single_archive(records, good, "id")
+    swapped = records.withColumn("place", F.col("id").bitwiseXOR(F.lit(1)))
+    swapped.orderBy("place").drop("place").write.option("compression", "gzip").json(bad)
+    return _certified(sources.read_articles(spark, good), "sorted").unionByName(_certified(sources.read_articles(spark, bad), "swapped"))
+
+
+@query
+def sized_parts_skewed(spark, sf):
+    """K4: texts of very unequal size and a limit that bites; all records, in order, no part above the limit."""
+    path, limit = scratch(spark, "parts"), 100_000
+    noise = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda k: F.sha2(F.concat("source", k.cast("string"), F.col("id").cast("string")), 256)), "")
+    records = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "source", "text")
+    records = records.withColumn("text", F.when(F.col("id") % 17 == 0, F.concat("text", noise)).when(F.col("id") % 5 == 0, "").otherwise(F.col("text")))
+    over = sink_parts.write_parts_below(records, path, "id", part_bytes=limit)
+    rows = spark.read.schema("id long, source string, text string").json(path).withColumn("ingest_pos", sources.file_position())
+    parts = F.lit(sink_parts.order_certificate(rows, "id").count() > 5)
+    return sink_parts.is_in_order(rows, "id").select(
+        "records", F.col("first.id").alias("first_id"), F.col("last.id").alias("last_id"), "ordered", parts.alias("many_parts"),
+        F.lit(over.count()).cast("long").alias("oversize"),
+    )
+
+
 @query
 def by_chunk(spark, sf):
     """K7, W1."""

@@ -23,12 +23,16 @@ def union_distinct_urls(parts: list[DataFrame], column: str = "url") -> DataFram
 def repeated_rows(df: DataFrame, key: Column, position: str) -> DataFrame:
     """Positions of the rows that have an earlier row with the same key.
 
-    Only key and position are read. The counts are combined before the shuffle, so a
+    Key and position are stored first, so that the rows are read, and a key that is computed is
+    computed, once. The counts are combined before the shuffle, so a
     key holding a third of all rows is one record per task; the join back has one row
     per repeated key on its right, which adaptive execution broadcasts when it is
     small and otherwise joins with the hot key split. A row without a key repeats nothing.
     """
+    spark, path = df.sparkSession, scratch(df.sparkSession, "keys")
     narrow = df.select(key.alias("__key"), F.col(position).alias("__pos")).where("__key is not null")
+    narrow.write.parquet(path)
+    narrow = spark.read.schema(narrow.schema).parquet(path)
     first = (
         narrow.groupBy("__key")
         .agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))

@@ -47,6 +47,11 @@ def union_discovered(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def discovered_in(links: DataFrame, slugs: list[str]) -> DataFrame:
+    """J4 where the lists of all categories are one table: those of the wanted ones, repeats kept, in one scan."""
+    return links.where(F.col("category_slug").isin(*slugs))
+
+
 def only_post_sitemaps(entries: DataFrame, mark: str = "post-sitemap") -> DataFrame:
     """Sub-sitemaps that list articles."""
     return entries.where((F.col("kind") == "sitemap") & F.col("loc").contains(mark))

@@ -61,6 +61,25 @@ def validation_report(
     return report
 
 
+def report_metrics(
+    key: str = "id", text: str = "text", title: str | None = "title", published: str | None = "published_at"
+) -> list[Column]:
+    """A1 as plain aggregates, for records in which a key occurs once: what a write can count as it goes."""
+    length = F.length(text).cast("long")
+    if title:
+        length = length + F.length(title)
+    keyed = F.count(key)
+    return [
+        F.count("*").alias("total_records"), keyed.alias("unique_ids"), (F.count("*") - keyed).alias("null_ids"),
+        F.count_if(F.col(text) == "").alias("empty_text"), F.coalesce(F.sum(length), F.lit(0)).alias("chars_total"),
+        F.min(key).alias("min_id"), F.max(key).alias("max_id"),
+        *(
+            [F.date_format(F.min(_instant(published)), _ISO).alias("first_published"),
+             F.date_format(F.max(_instant(published)), _ISO).alias("last_published")] if published else []
+        ),
+    ]
+
+
 def _instant(column: str) -> Column:
     return F.col(column).try_cast("timestamp")
 

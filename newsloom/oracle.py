@@ -246,6 +246,20 @@ WHERE {is_article('u')}""",
 SELECT CAST(doc_id AS VARCHAR) AS file, 'sitemap' AS kind,
   'https://news.example.com/' || lang || '-post-sitemap' || CAST(doc_id AS VARCHAR) || '.xml' AS loc FROM documents""",
         "discover_fallback": "SELECT DISTINCT url FROM pages",
+        "discover_sitemap_first": f"SELECT DISTINCT url FROM pages WHERE {is_article('url')}",
+        "union_discovered_runs": f"""
+SELECT {LANG.replace('url', 'page_url')} AS category_slug, link AS url, page_id + 1 AS page_num FROM ({LINK_ROWS})
+UNION ALL SELECT 'listed', url, NULL FROM pages""",
+        "archive_job_report": """
+WITH d AS (SELECT CASE WHEN doc_id % 10 <> 9 THEN doc_id END AS id, doc_id, length(source) + CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 3 END AS chars,
+             doc_id % 3 = 0 AS empty, '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00' AS day FROM documents),
+k AS (SELECT * FROM d WHERE id IS NOT NULL UNION ALL SELECT * FROM d WHERE id IS NULL UNION ALL SELECT * FROM d WHERE id IS NULL AND doc_id % 2 = 0)
+SELECT count(*) AS total_records, count(id) AS unique_ids, CAST(0 AS BIGINT) AS malformed, CAST(0 AS BIGINT) AS duplicates,
+  count(*) - count(id) AS null_ids, count(*) FILTER (empty) AS empty_text, CAST(sum(chars) AS BIGINT) AS chars_total, min(id) AS min_id, max(id) AS max_id,
+  min(day) AS first_published, max(day) AS last_published,
+  (SELECT count(*) + count(*) FILTER (doc_id % 2 = 0) FROM documents) AS input_records, CAST(4 AS BIGINT) AS input_malformed,
+  (SELECT count(*) + count(*) FILTER (doc_id % 2 = 0) FROM documents) - count(*) AS removed,
+  true AS ordered, count(*) AS written, true AS agrees FROM k""",
         "url_list_round_trip": """
 SELECT url, 'unknown' AS category_slug, CAST(NULL AS VARCHAR) AS category_name FROM pages""",
         "pending_work": "SELECT doc_id, source, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
@@ -328,6 +342,12 @@ FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 500 AS shard FROM docu
         "shard_totals": "SELECT count(*) AS records, CAST(0 AS BIGINT) AS too_long, CAST(0 AS BIGINT) AS empty_files FROM documents",
         "single_archive": "SELECT count(*) AS records, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents",
         "sized_parts": "SELECT count(*) AS records, CAST(0 AS BIGINT) AS oversize FROM documents",
+        "single_archive_order": """
+SELECT 'sorted' AS kind, count(*) AS records, min(doc_id) AS first_id, max(doc_id) AS last_id, true AS ordered FROM documents
+UNION ALL SELECT 'swapped', count(*), arg_min(doc_id, xor(doc_id, 1)), arg_max(doc_id, xor(doc_id, 1)), false FROM documents""",
+        "sized_parts_skewed": """
+SELECT count(*) AS records, min(doc_id) AS first_id, max(doc_id) AS last_id, true AS ordered, true AS many_parts,
+  CAST(0 AS BIGINT) AS oversize FROM documents""",
         "by_chunk": """
 SELECT doc_id, lang, CASE WHEN size = 0 THEN 7 ELSE least((rn - 1) // size, 7) END AS chunk
 FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS rn, count(*) OVER () // 8 AS size FROM documents)""",

@@ -5,7 +5,7 @@ Options are keyword arguments; their bounds are checked where they are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,19 +14,18 @@ from newsloom.functions.archive import map_archive_record
 from newsloom.functions.article import extract_article
 from newsloom.functions.scalars import classify_outcome
 from newsloom.functions.urls import is_article_url, listing_link_rows
-from newsloom.operators.dedup import dedup_keep_first, distinct_urls, duplicates_report
+from newsloom.operators.dedup import dedup_keep_first, distinct_urls
 from newsloom.operators.joins import (
-    attach_discovered_category, category_names, discover_urls, only_post_sitemaps, page_range_from,
-    pending_work,
+    attach_discovered_category, category_names, discover_urls, only_post_sitemaps, pending_work,
 )
 from newsloom.operators.ledger_table import LedgerTable
 from newsloom.operators.listing import first_seen, listing_stop_rule, page_walk
-from newsloom.operators.report import validation_report
+from newsloom.operators.report import report_metrics, validation_report
 from newsloom.profile import SiteProfile
 from newsloom.session import drop_scratch, scratch
 from newsloom.sinks.files import SHARD_ROWS, write_article_shards, write_report, write_url_list
 from newsloom.sources.files import (
-    broken_pages, drop_malformed, land_articles, malformed_lines, posts_of, read_archive_files, read_articles,
+    broken_pages, drop_malformed, land_articles, malformed_lines, posts_and_broken, posts_of, read_archive_files, read_articles,
     read_pages, stream_archive_files,
 )
 from newsloom.sources.sitemaps import read_sitemaps
@@ -37,27 +36,35 @@ from newsloom.streaming.sources import stream_files
 
 def archive_job(
     spark: SparkSession, pages_path: str, out: str, profile: SiteProfile, start_page: int = 1,
-    done: DataFrame | None = None, shard_rows: int = SHARD_ROWS,
+    done: DataFrame | None = None, shard_rows: int = SHARD_ROWS, ordered: bool = True,
 ) -> DataFrame:
-    """Landed archive pages -> deduplicated 12-field shards; returns the report.
+    """Landed archive pages -> deduplicated 12-field shards, in the order of ids; returns the report.
 
     Pages may lie in several folders and have any names; of repeated records the first by
     (page, file path, place) stays, and records without an id all stay. Broken pages go to
-    ``out/quarantine``. The report counts the input: what was malformed, repeated, kept.
+    ``out/quarantine``. The report counts the input: what was malformed, repeated, kept. Input is read once, and
+    the counts are taken by the writes themselves. ``ordered=False`` saves the shuffle that sorting takes.
     """
-    files = read_archive_files(spark, pages_path)
-    landed, broken = scratch(spark, "records"), f"{out}/quarantine"
-    broken_pages(files).write.json(broken)
-    posts = page_range_from(posts_of(files), start_page)
+    landed = scratch(spark, "records")
+    rows = page_range_or_broken(posts_and_broken(read_archive_files(spark, pages_path)), start_page)
     if done is not None:
-        posts = pending_work(posts, done, "page")
+        skip = done.select("page").distinct().withColumn("__done", F.lit(True))
+        rows = rows.join(skip, "page", "left").where("__done is null or broken is not null").drop("__done")
     place = F.struct(F.coalesce("page", F.lit(2**62)).alias("page"), "path", "pos")
-    map_archive_record(posts.withColumn("__place", place), profile, keep=("__place",)).write.parquet(landed)
-    rows = spark.read.parquet(landed)
-    records = dedup_keep_first(rows, "id", "__place")
-    write_article_shards(records.drop("__place"), f"{out}/articles", shard_rows)
-    bad = spark.read.schema("file string").json(broken).count()
-    return input_report(rows, f"{out}/articles", f"{out}/report", schemas.ARTICLES_ARCHIVE, bad, landed)
+    seen = Observation("input")
+    records = map_archive_record(rows.withColumn("__place", place), profile, keep=("__place", "broken"))
+    records.observe(
+        seen, F.count_if(F.col("broken").isNull()).alias("records"), F.count_if(F.col("broken").isNotNull()).alias("broken")
+    ).write.parquet(landed)
+    stored = spark.read.schema(records.schema).parquet(landed)
+    stored.where("broken is not null").select("broken.*").write.json(f"{out}/quarantine")
+    kept = dedup_keep_first(stored.where("broken is null").drop("broken"), "id", "__place").drop("__place")
+    return write_with_report(kept.orderBy("id") if ordered else kept, out, shard_rows, schemas.ARTICLES_ARCHIVE, seen.get["records"], seen.get["broken"], landed)
+
+
+def page_range_or_broken(rows: DataFrame, start_page: int) -> DataFrame:
+    """P8 for ``posts_and_broken``: broken pages are never left out."""
+    return rows.where(F.col("broken").isNotNull() | F.col("page").isNull() | (F.col("page") >= start_page))
 
 
 def discover_job(
@@ -155,38 +162,46 @@ def merge_job(
     malformed lines go to ``out/quarantine``.
     """
     key = "url" if "body_text" in schema.fieldNames() else "id"
-    landed = land_articles(spark, shards, schema)
+    seen = Observation("input")
+    bad = F.col(schemas.CORRUPT).isNotNull()
+    landed = land_articles(spark, shards, schema, lambda rows: rows.observe(
+        seen, F.count_if(~bad).alias("records"), F.count_if(bad).alias("broken")))
     malformed_lines(landed).write.json(f"{out}/quarantine")
-    rows = drop_malformed(landed)
-    records = dedup_keep_first(rows, key, "ingest_pos").drop("ingest_pos")
-    write_article_shards(records, f"{out}/articles", shard_rows)
-    bad = landed.where(F.col(schemas.CORRUPT).isNotNull()).count()
-    return input_report(rows, f"{out}/articles", f"{out}/report", schema, bad)
+    records = dedup_keep_first(drop_malformed(landed), key, "ingest_pos").drop("ingest_pos")
+    return write_with_report(records, out, shard_rows, schema, seen.get["records"], seen.get["broken"])
 
 
-def input_report(rows: DataFrame, shards: str, out: str, schema, malformed: int, *scratch_paths: str) -> DataFrame:
-    """The report over written shards, with what the input had: records, malformed, duplicates removed."""
-    spark = rows.sparkSession
-    key = "url" if "body_text" in schema.fieldNames() else "id"
-    seen = duplicates_report(rows, key).first()
-    report = report_job(spark, shards, out, schema).withColumns({
-        "input_records": F.lit(seen.rows_in).cast("long"), "input_malformed": F.lit(malformed).cast("long"),
-        "removed": F.lit(seen.rows_removed).cast("long"),
-    })
-    made = spark.createDataFrame(report.collect(), report.schema)
-    write_report(made, out)
+def write_with_report(
+    records: DataFrame, out: str, shard_rows: int, schema, rows_in: int, broken: int, *scratch_paths: str
+) -> DataFrame:
+    """Write shards of records in which a key occurs once, and the report that the write itself has counted."""
+    spark = records.sparkSession
+    counted = Observation("output")
+    write_article_shards(records.observe(counted, *report_metrics(**_page_columns(schema))), f"{out}/articles", shard_rows)
+    got = counted.get
+    values = {
+        "total_records": got["total_records"], "unique_ids": got["unique_ids"], "malformed": 0, "duplicates": 0,
+        **{k: v for k, v in got.items() if k not in ("total_records", "unique_ids")},
+        "input_records": rows_in, "input_malformed": broken, "removed": rows_in - got["total_records"],
+    }
+    kinds = {**{k: "long" for k in values}, "first_published": "string", "last_published": "string"}
+    if "body_text" in schema.fieldNames():
+        kinds |= {"min_id": "string", "max_id": "string"}
+    form = ", ".join(f"{k} {kinds[k]}" for k in values)
+    write_report(spark.createDataFrame([tuple(values.values())], form), f"{out}/report")
     drop_scratch(spark, *scratch_paths)
-    return spark.read.schema(report.schema).json(out)
+    return spark.read.schema(form).json(f"{out}/report")
+
+
+def _page_columns(schema) -> dict:
+    page_form = "body_text" in schema.fieldNames()
+    return {"key": "url", "text": "body_text", "published": "published_date"} if page_form else {}
 
 
 def report_job(spark: SparkSession, shards: str, out: str, schema) -> DataFrame:
     """Validation report over shards, stored as one JSON record."""
-    page_form = "body_text" in schema.fieldNames()
-    columns = (
-        {"key": "url", "text": "body_text", "published": "published_date"} if page_form else {}
-    )
     rows = read_articles(spark, shards, schema)
-    report = validation_report(rows, corrupt=schemas.CORRUPT, **columns)
+    report = validation_report(rows, corrupt=schemas.CORRUPT, **_page_columns(schema))
     write_report(report, out)
     return spark.read.schema(report.schema).json(out)
 

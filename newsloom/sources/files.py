@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,16 +43,18 @@ def read_articles(
 
 
 def land_articles(
-    spark: SparkSession, path: str, schema: T.StructType = schemas.ARTICLES_ARCHIVE
+    spark: SparkSession, path: str, schema: T.StructType = schemas.ARTICLES_ARCHIVE,
+    counted: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """S2, once: parse the lines and store them as columns in the shared folder.
 
     Gzip text cannot be split and is parsed whole for every query; what follows reads
-    only the columns it needs, and each row keeps the position it got here.
+    only the columns it needs, and each row keeps the position it got here. ``counted`` may
+    observe the rows on their way.
     """
     landed = scratch(spark, "landed")
     rows = read_articles(spark, path, schema)
-    rows.write.parquet(landed)
+    counted(rows).write.parquet(landed)
     return spark.read.schema(rows.schema).parquet(landed)
 
 
@@ -97,6 +101,17 @@ def posts_of(pages: DataFrame) -> DataFrame:
     return pages.where("is_list").select(*named, posts).select(*named, "pos", "post.*")
 
 
+def posts_and_broken(pages: DataFrame) -> DataFrame:
+    """S3 in one pass over ``read_archive_files``: the posts, and a row with ``broken`` for every page that has none to give."""
+    parsed = pages.withColumn("__posts", F.from_json("value", T.ArrayType(schemas.ARCHIVE_POST)))
+    bad = ~F.col("is_list") | F.col("__posts").isNull()
+    rows = parsed.select(
+        "path", "page", F.when(bad, F.struct("file", "path", "page", "value")).alias("broken"),
+        F.posexplode_outer(F.when(~bad, F.col("__posts"))).alias("pos", "post"),
+    )
+    return rows.where("pos is not null or broken is not null").select("path", "page", "broken", "pos", "post.*")
+
+
 def read_archive_pages(spark: SparkSession, path: str) -> DataFrame:
     """S3: posts of all landed archive pages; a page that is not a list gives no rows."""
     return posts_of(read_archive_files(spark, path))
