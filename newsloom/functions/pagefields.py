@@ -31,6 +31,10 @@ _MARKED = (
     rf"|(s){_raw_element('script')[1:]}|(s){_raw_element('style')[1:]})"
 )
 _NO_TAG = rf"<(?!(?:[A-Za-z][^\s/<>]*+(?:[\s/]{_ATTRS})?|/[A-Za-z][^\s/<>]*+\s*+|![sS]?)>)"
+# An h1 that is not closed before the next one begins, a date with a reference in it.
+_BROKEN = (
+    rf"{_NO_TAG}|<[hH]1(?=[\s/>])(?![^<]*+(?:<(?!/?[hH]1[\s/>])[^<]*+)*+</[hH]1\s*+>)|<[tT][iI][mM][eE]\s[^<>]*&"
+)
 _NAMES = "|".join(CONTAINERS)
 _EDGE = rf"(?i)(?=</?(?:{_NAMES}|body|html)[\s/>])"
 _CLASS = r"""(?is)\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
@@ -106,10 +110,6 @@ def _attribute(tag: str, name: str) -> str:
     )
 
 
-def _occurrences(text: str, part: str) -> str:
-    return f"(length({text}) - length(replace({text}, '{part}', ''))) div {len(part)}"
-
-
 def _events(pieces: str, s: Selectors) -> str:
     """Per piece: way (1 opens, -1 closes, -2 closes body or page, 0 neither), name, container, junk."""
     junk = (
@@ -132,7 +132,7 @@ def tag_of(piece: str) -> str:
 
 
 _START = (
-    "named_struct('i', 0, 'open', '', 'depth', 0, 'sound', true, 'a', -1, 'b', -1, 'at', 0, 'junk_a', -1, 'junk_at', 0, "
+    "named_struct('i', 0, 'open', '', 'depth', 0, 'sound', true, 'a', -1, 'b', -1, 'at', 0, 'junk_a', -1, 'junk_at', 0, 'articles', 0, "
     "'cuts', CAST(array() AS ARRAY<STRUCT<a: INT, b: INT>>))"
 )
 
@@ -154,6 +154,7 @@ def _fold(events: str) -> str:
         "at": f"CASE WHEN {begins} THEN s.depth + 1 ELSE s.at END",
         "junk_a": f"CASE WHEN {junk_begins} THEN s.i ELSE s.junk_a END",
         "junk_at": f"CASE WHEN {junk_begins} THEN s.depth + 1 WHEN {junk_ends} THEN 0 ELSE s.junk_at END",
+        "articles": "CASE WHEN e.way = 1 AND e.name = 'article' THEN s.articles + 1 ELSE s.articles END",
         "cuts": f"CASE WHEN {junk_ends} THEN array_append(s.cuts, struct(s.junk_a AS a, s.i AS b)) ELSE s.cuts END",
     }
     made = ", ".join(f"'{name}', {value}" for name, value in fields.items())
@@ -195,26 +196,24 @@ def page_fields(pages: DataFrame, s: Selectors) -> DataFrame:
     step = step.withColumns({
         "__pieces": e(f"split(`__page`, {quoted(_EDGE)}, -1)"),
         "__titled": e(f"CASE WHEN {s.title_class} IS NULL THEN CAST(array() AS ARRAY<STRING>) ELSE {titled} END"),
-        "__inside": e(f"regexp_extract(`__page`, {quoted(article)}, 1)"),
-        "__links": e(f"transform({ours}, x -> {plain})"),
+        "__links": e(f"CASE WHEN contains(`__page`, '/category/') THEN transform({ours}, x -> {plain}) ELSE CAST(array() AS ARRAY<STRING>) END"),
         "__published": e(when),
-        "__broken": e(
-            f"`__page` RLIKE {quoted(_NO_TAG)} OR {_occurrences('`__page`', '<h1')} + {_occurrences('`__page`', '<H1')} <> size({heads})"
-            f" OR `__page` RLIKE {quoted('(?i)<time' + chr(92) + 's[^>]*&')}"
-        ),
+        "__broken": e(f"`__page` RLIKE {quoted(_BROKEN)}"),
     })
     step = step.withColumns({
         "__fold": e(_fold(_events("`__pieces`", s))),
-        "__head": e(f"regexp_extract_all(`__inside`, {quoted(_HEADING)}, 0)"),
+        "__own": e("filter(transform(`__titled`, h -> regexp_extract(h, '(?s)^<[^>]*>([^<]+)', 1)), t -> t <> '')"),
     })
+    inside = f"regexp_extract(`__page`, {quoted(article)}, 1)"
+    step = step.withColumn(
+        "__head", e(f"CASE WHEN size(`__own`) = 0 THEN regexp_extract_all({inside}, {quoted(_HEADING)}, 0) ELSE CAST(array() AS ARRAY<STRING>) END"))
     step = step.withColumns({
-        "__own": e("filter(transform(`__titled`, h -> regexp_extract(h, '(?s)^<[^>]*>([^<]+)', 1)), t -> t <> '')"),
         "__other": e(f"regexp_extract(regexp_replace(try_element_at(`__head`, 1), '^<[^>]*>', ''), {quoted(_FIRST_TEXT)}, 1)"),
     })
     odd = " OR ".join((
         "`__broken`", "NOT `__fold`.sound", "`__fold`.open <> ''",
         "exists(`__titled`, h -> h RLIKE '(?is)^<[^>]*><(?!/h1)')",
-        f"size(`__own`) = 0 AND {_occurrences('lower(`__page`)', '<article')} > 1",
+        "size(`__own`) = 0 AND `__fold`.articles > 1",
         "size(`__own`) = 0 AND size(`__head`) > 0 AND coalesce(`__other`, '') = ''",
         "exists(`__links`, x -> x RLIKE '<[A-Za-z/]')",
     ))
@@ -223,4 +222,4 @@ def page_fields(pages: DataFrame, s: Selectors) -> DataFrame:
         "__title": e("coalesce(try_element_at(`__own`, 1), `__other`)"),
         "__body": e(_body(s)),
         "__labels": e(f"array_join(flatten(transform(`__links`, x -> split(x, '<[^>]*>', -1))), {quoted(LABEL_BREAK)})"),
-    }).drop("__page", "__pieces", "__titled", "__inside", "__links", "__broken", "__fold", "__head", "__own", "__other")
+    }).drop("__page", "__pieces", "__titled", "__links", "__broken", "__fold", "__head", "__own", "__other")
