@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def temporary(name: str) -> str:
+    """A column name that no table read by this process has: for columns that live within one operator."""
+    return f"__{_MARK}_{name}"
+
+
+_MARK = uuid.uuid4().hex[:12]
+
+
+def replaced(df: DataFrame, *outputs: str) -> DataFrame:
+    """``df`` without the columns that an operator's outputs of the same names (in any case of letters) replace."""
+    lost = {name.lower() for name in outputs}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in lost))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z alone in lower case."""
     return F.translate(text, UPPER, LOWER)

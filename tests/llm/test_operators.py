@@ -361,26 +361,56 @@ def test_recall_of_passages_just_over_fifty_words(spark):
     assert all(got[i].shared_with == 400 + i and got[400 + i].shared_with == i for i in range(400))
     assert all(got[i].n_passages == 0 for i in range(1000, 1050))
     assert all(got[i].dropped_bytes == 0 for i in range(400))
-    edge = substring_dedup.SPAN             # what may stay at either end, with a few bytes that agree by chance
-    assert all(len(t) - 2 * edge <= got[400 + i].dropped_bytes <= len(t) + 2 * 16 for i, t in enumerate(shared))
+    # what may stay at the ends, with a few bytes that agree by chance
+    assert all(len(t) - substring_dedup.ENDS <= got[400 + i].dropped_bytes <= len(t) + 2 * 16 for i, t in enumerate(shared))
+    assert sum(got[400 + i].dropped_bytes for i in range(400)) > 0.7 * sum(map(len, shared))
 
 
-def test_anchors(monkeypatch):
-    """Every stretch of SPAN windows has one, chosen by its content; long texts are read in stretches."""
-    rng, size, span = random.Random(5), 100, substring_dedup.SPAN
+def test_chunk_runs(monkeypatch):
+    """No chunk is longer than SPAN, runs start at borders, digests are those of their bytes, a long shared stretch shares a run."""
+    rng, size, span, gear = random.Random(5), 100, substring_dedup.SPAN, substring_dedup._gear()
     data = (prose(rng, 500) + "é" * 300 + prose(rng, 300)).encode()
-    starts, hashes = substring_dedup.anchors(np.frombuffer(data, np.uint8), size)
-    assert starts[0] == 0 and starts[-1] == len(data) - size and np.diff(starts).max() <= span
-    by_content = {}
-    for a, h in zip(starts.tolist(), hashes.tolist()):
-        assert by_content.setdefault(h, data[a:a + size]) == data[a:a + size]
-    part = data[700:700 + size + span - 1]
-    other = substring_dedup.anchors(np.frombuffer(b"x" * 130 + part + b"y" * 130, np.uint8), size)[1]
-    assert set(other.tolist()) & set(hashes.tolist())
-    monkeypatch.setattr(substring_dedup, "_STRETCH", 97)
-    again = substring_dedup.anchors(np.frombuffer(data, np.uint8), size)
-    assert again[0].tolist() == starts.tolist() and again[1].tolist() == hashes.tolist()
-    assert all(len(x) == 0 for x in substring_dedup.anchors(np.frombuffer(data[:99], np.uint8), size))
+    raw = np.frombuffer(data, np.uint8)
+    starts, lengths, digests = substring_dedup.chunk_runs(raw, size, gear)
+    cuts = substring_dedup.borders(raw, gear)
+    assert np.diff(cuts).max() <= span and starts[0] == 0 and starts[-1] + lengths[-1] == len(data)
+    assert set(starts.tolist()) <= set(cuts.tolist()) and lengths.min() >= size and lengths.max() <= size + 2 * span
+    by_content, by_digest = {}, {}
+    for a, n, h in zip(starts.tolist(), lengths.tolist(), digests.tolist()):
+        assert by_content.setdefault(data[a:a + n], h) == h and by_digest.setdefault(h, data[a:a + n]) == data[a:a + n]
+    part = data[700:700 + size + substring_dedup.SURE]
+    other = substring_dedup.chunk_runs(np.frombuffer(b"x" * 130 + part + b"y" * 130, np.uint8), size, gear)[2]
+    assert set(other.tolist()) & set(digests.tolist())
+    monkeypatch.setattr(substring_dedup, "_STRETCH", 197)
+    again = substring_dedup.chunk_runs(raw, size, gear)
+    assert all(a.tolist() == b.tolist() for a, b in zip(again, (starts, lengths, digests)))
+    assert all(len(x) == 0 for x in substring_dedup.chunk_runs(raw[:99], size, gear))
+
+
+def test_shared_passages_by_brute_force(spark):
+    """Which documents share a run of chunks: the same as comparing all runs as bytes."""
+    rng, gear = random.Random(77), substring_dedup._gear()
+    parts = [prose(rng, rng.randint(10, 40)) for _ in range(25)]
+    rows = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 6))), None) for i in range(60)] + [(60, None, None), (61, "é" * 400, None)]
+    runs = {}
+    for i, t, _ in rows:
+        data = (t or "").encode()
+        starts, lengths, _ = substring_dedup.chunk_runs(np.frombuffer(data, np.uint8), 100, gear)
+        for a, n in zip(starts.tolist(), lengths.tolist()):
+            runs.setdefault(data[a:a + n], []).append((i, a, n))
+    want = {i: {} for i, _, _ in rows}
+    for places in runs.values():
+        if len(set(places)) > 1:
+            for i, a, n in places:
+                for at in range(a, a + n):
+                    want[i][at] = want[i].get(at, False) or (i, a, n) != min(places)
+    clash = {c: F.lit("x") for c in ("kept_text", "N_passages", "found", "__id", "__r", "digest", "place")}
+    got = substring_dedup.dedup_passages(docs_of(spark, rows).withColumns(clash))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "found", "__id", "__r", "digest", "place", *(c.split()[0] for c in substring_dedup.MADE.split(", "))]
+    assert sum(map(bool, want.values())) > 20
+    for r in got.collect():
+        assert (r.repeated_bytes, r.dropped_bytes if r.text and r.text.isascii() else 0) == (
+            len(want[r.doc_id]), sum(want[r.doc_id].values()) if r.text and r.text.isascii() else 0)
 
 
 # ---------------------------------------------------------------- 8
