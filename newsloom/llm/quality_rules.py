@@ -15,7 +15,8 @@ packed as (39 bits of its hash, 24 bits of its place), the packed numbers are so
 neighbours with the same full hash are repeats, and the words they cover are summed.
 
 Defined cases: a null text has no words and fails; labels that are null, or whose
-document is missing, teach nothing; without labels of both kinds the list is empty.
+document is missing, teach nothing; without labels of both kinds the list is empty. The
+output columns ``__s``, ``base_failed`` and ``kept`` replace input columns of the same names; others pass through.
 """
 
 from __future__ import annotations
@@ -201,7 +202,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000)
         .groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("quality").alias("__q"))
         .orderBy(F.xxhash64("__id"), "__id").limit(max_labelled)
     )
-    texts = stored(docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("__id")).select("__id", "__q", "text"), "labelled")
+    texts = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("__id")).select("__id", "__q", "text"), "labelled")
     numbers = with_statistics(texts).where(~base_failed()).select(
         F.xxhash64("__id").alias("h"), "__id", *(c.alias(n) for n, c in ratios().items()),
         F.when(F.col("__q") == 0, 1).otherwise(0).alias("bad"),

@@ -43,9 +43,11 @@ PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 
 
-def _first_in_file() -> Column:
-    """True for the first row that a task writes."""
-    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+def _first_in_file(max_records: int) -> Column:
+    """True for the first row of every file that a task writes; the head record is one of a file's ``max_records``."""
+    if max_records < 2:
+        raise ValueError("max_records must be at least 2: a head record and one more")
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % (max_records - 1) == 0
 
 
 def _binary(*parts: Column | str) -> Column:
@@ -69,7 +71,7 @@ def write_arc(
     block = f"{version} 0 newsloom\n{ARC_FIELDS[version]}\n"
     middle = " text/plain " if version == 1 else " text/plain 200 - - 0 pages.arc "
     about = _binary(f"filedesc://pages.arc 0.0.0.0 {date}{middle}{len(block)}\n{block}")
-    rows = pages.select(F.explode(F.when(_first_in_file(), F.array(about, record)).otherwise(F.array(record))).alias("r"))
+    rows = pages.select(F.explode(F.when(_first_in_file(max_records), F.array(about, record)).otherwise(F.array(record))).alias("r"))
     rows.select(F.col("r").cast("string").alias("value")).write.option("maxRecordsPerFile", max_records).text(
         path, compression="gzip", lineSep="\n"
     )
@@ -207,7 +209,7 @@ def write_warc(records: DataFrame, path: str, max_records: int = 20_000) -> None
         F.col("warc_date"), f"\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(about)}{END}{about}",
     )
     record = _binary(top, block)
-    rows = records.select(F.explode(F.when(_first_in_file(), F.array(info, record)).otherwise(F.array(record))).alias("r"))
+    rows = records.select(F.explode(F.when(_first_in_file(max_records), F.array(info, record)).otherwise(F.array(record))).alias("r"))
     rows.select(F.col("r").cast("string").alias("value")).write.option("maxRecordsPerFile", max_records).text(
         path, compression="gzip", lineSep=END
     )
