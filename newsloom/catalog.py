@@ -754,7 +754,7 @@ def sized_parts_skewed(spark, sf):
     records = records.withColumn("text", F.when(F.col("id") % 17 == 0, F.concat("text", noise)).when(F.col("id") % 5 == 0, "").otherwise(F.col("text")))
     over = sink_parts.write_parts_below(records, path, "id", part_bytes=limit)
     rows = spark.read.schema("id long, source string, text string").json(path).withColumn("ingest_pos", sources.file_position())
-    parts = F.lit(sink_parts.order_certificate(rows, "id").count() > 5)
+    parts = F.lit(sink_parts.order_certificate(rows, "id").count() > 1)
     return sink_parts.is_in_order(rows, "id").select(
         "records", F.col("first.id").alias("first_id"), F.col("last.id").alias("last_id"), "ordered", parts.alias("many_parts"),
         F.lit(over.count()).cast("long").alias("oversize"),
