@@ -2,12 +2,12 @@
 
 The words of a source are laid end to end (a global position per document, from sums
 per group of documents) and cut into blocks of ``block_words``; only the last block of
-a source is shorter. Output shards have ``shard_slots`` slots. Each shard draws how
-many slots every source gets: the whole part of its expectation, and a multinomial
-draw for the slots that remain. A running sum over shards numbers the slots of a
-source; slot s reads block ``perm(s mod n)`` of pass ``s div n``, where ``perm`` is a
-keyed permutation of the source's n blocks, another one in each pass. Blocks and slots
-meet in a join on (source, block).
+a source is shorter. A source's slots are its target in blocks, rounded once, so it meets
+its target within a block or two however many shards there are. Each output shard draws how many
+slots every source gets: a source's slots fall on the shards by a seeded multinomial draw, made as
+a tree of binomial draws, which also numbers them (shards have ``shard_slots`` slots on average).
+Slot s reads block ``perm(s mod n)`` of pass ``s div n``, where ``perm`` is a keyed permutation
+of the source's n blocks, another one in each pass. Blocks and slots meet in a join on (source, block).
 
 So no block is read more often than the number of passes: no document exceeds ``cap``
 times its size. Everything is keyed by (seed, shard, source, pass): reruns agree.
@@ -18,7 +18,8 @@ sources are configuration; more than ``max_sources`` is refused, not cut).
 Defined cases: null or blank text has size 0 and is taken 0 times; a null source is a
 source, last in order; a row without ``doc_id`` is mixed like any other; rows that repeat
 a ``doc_id``, with equal or other texts, are separate rows of the same source (texts are cut
-by a written row number, never by ``doc_id``). An empty table gives an empty result.
+by a written row number, never by ``doc_id``). An empty table gives an empty result. Other
+columns, whatever their names, pass through ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -33,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import mix, n_words, ship, stored
+from newsloom.llm.common import mix, n_words, ship, stored, temporary
 
 ship(__name__)
 
 GROUP_WORDS = 1 << 18                       # documents laid out by one task
-SLOTS_PER_TASK = 200_000
-ROW = "__row"
+TASK_SHARDS = 32                            # shards of one group; a task deals one group or more
+MAX_TASKS = 20_000
+ROW, ID, SPANS, SIZE = (temporary(name) for name in ("row", "id", "spans", "size"))
 
 
 def source_targets(
@@ -113,49 +115,49 @@ class Mix:
         )
 
 
+def shard_counts(wanted: np.ndarray, n_shards: int, first: int, last: int, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(shard, sources, their slots in it, their slots in earlier shards) for shards first..last-1. Every source's
+    ``wanted`` slots fall on all shards by a multinomial draw, made as a tree of binomial draws: a node's slots are
+    dealt to its halves, seeded by the node, so any task finds the same counts on the way down to its own shards."""
+    every = np.flatnonzero(wanted)
+    nodes = [(0, 1 << max(0, n_shards - 1).bit_length(), every, wanted[every], np.zeros(len(every), np.int64))]
+    while nodes:
+        start, width, src, n, before = nodes.pop()
+        if start >= min(last, n_shards) or start + width <= first or not len(src):
+            continue
+        if width == 1:
+            yield start, src, n, before
+            continue
+        half, inside = width // 2, min(width, n_shards - start)
+        left = n if half >= inside else np.random.default_rng([seed, start, width]).binomial(n, half / inside)
+        more = n > left
+        nodes.append((start + half, half, src[more], (n - left)[more], (before + left)[more]))
+        some = left > 0
+        nodes.append((start, half, src[some], left[some], before[some]))
+
+
 def _slots(spark, sources, block_words: int, cap: int, shard_slots: int, seed: int) -> DataFrame:
     blocks = np.array([-(-n // block_words) for _, n, _ in sources], np.int64)
-    wanted = np.array([t * b / n if n else 0.0 for (_, n, t), b in zip(sources, blocks)])
-    total = int(round(wanted.sum()))
-    shares = wanted / wanted.sum() if total else wanted
+    wanted = np.array([min(cap * b, round(t * b / n)) if n else 0 for (_, n, t), b in zip(sources, blocks.tolist())], np.int64)
+    n_shards = -(-int(wanted.sum()) // shard_slots)
 
-    def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for shard in frame["id"]:
-                here = min(shard_slots, total - shard * shard_slots)
-                expected = shares * here
-                counts = np.floor(expected).astype(np.int64)
-                rest, odd = here - int(counts.sum()), expected - np.floor(expected)
-                if rest > 0:
-                    rng = np.random.default_rng([seed, int(shard)])
-                    counts += rng.multinomial(rest, odd / odd.sum())
-                got = np.flatnonzero(counts)
-                yield pd.DataFrame({"shard": shard, "src": got.astype(np.int32), "n": counts[got]})
-
-    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at in range(0, len(frame), 64):
-                part = frame.iloc[at:at + 64]
-                src = np.repeat(part["src"].to_numpy(np.int64), part["n"])
-                within = np.arange(len(src)) - np.repeat(np.cumsum(part["n"].to_numpy()) - part["n"].to_numpy(), part["n"])
-                slot = np.repeat(part["before"].to_numpy(np.int64), part["n"]) + within
-                shard = np.repeat(part["shard"].to_numpy(np.int64), part["n"])
-                keep = slot < cap * blocks[src]
-                src, slot, shard = src[keep], slot[keep], shard[keep]
-                turn = slot // blocks[src]
-                key = mix(mix(np.uint64(seed) + src.astype(np.uint64)) + turn.astype(np.uint64))
-                yield pd.DataFrame({
-                    "shard": shard, "src": src.astype(np.int32), "turn": turn.astype(np.int32),
-                    "block": permuted(slot % blocks[src], blocks[src], key),
-                })
-
-    shards = spark.range(0, -(-total // shard_slots), 1, max(1, min(4096, total // (64 * shard_slots)))) if total else spark.range(0)
-    drawn = shards.mapInPandas(draw, "shard long, src int, n long")
-    earlier = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = drawn.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    # as many tasks as their output needs; stored, so that the planner knows how large it is
-    numbered = numbered.repartition(max(1, total // SLOTS_PER_TASK), "src", "shard")
-    return stored(numbered.mapInPandas(number, "shard long, src int, turn int, block long"), "slots")
+            for group in frame["id"]:
+                for shard, some, n, before in shard_counts(wanted, n_shards, group * TASK_SHARDS, (group + 1) * TASK_SHARDS, seed):
+                    src = np.repeat(some, n)
+                    slot = np.arange(len(src)) + np.repeat(before - np.cumsum(n) + n, n)
+                    turn = slot // blocks[src]
+                    key = mix(mix(np.uint64(seed) + src.astype(np.uint64)) + turn.astype(np.uint64))
+                    yield pd.DataFrame({
+                        "shard": shard, "src": src.astype(np.int32), "turn": turn.astype(np.int32),
+                        "block": permuted(slot % blocks[src], blocks[src], key),
+                    })
+
+    groups = -(-n_shards // TASK_SHARDS)
+    shards = spark.range(0, groups, 1, max(1, min(groups, MAX_TASKS)))
+    # stored, so that the planner knows how large it is
+    return stored(shards.mapInPandas(deal, "shard long, src int, turn int, block long"), "slots")
 
 
 def mix_sources(
@@ -211,10 +213,10 @@ def mixed_documents(docs: DataFrame, made: Mix) -> DataFrame:
     numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
     spans = (
         made.pieces(_laid(_sized(numbered), made.sources)).join(made.slots, ["src", "block"])
-        .groupBy(F.col("row").alias("__id"), "turn")
-        .agg(F.array_sort(F.collect_list(F.struct("from_word", "to_word"))).alias("__spans"), F.max("size").alias("__size"))
+        .groupBy(F.col("row").alias(ID), "turn")
+        .agg(F.array_sort(F.collect_list(F.struct("from_word", "to_word"))).alias(SPANS), F.max("size").alias(SIZE))
     )
-    joined = numbered.join(spans.drop("turn"), F.col(ROW) == F.col("__id")).drop("__id", ROW)
+    joined = numbered.join(spans.drop("turn"), F.col(ROW) == F.col(ID)).drop(ID, ROW)
     out = docs.schema
     at = [i for i, f in enumerate(out) if f.name == "text"][0]
 

@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm import line_dedup, quality_rules, warc
+from newsloom.llm import line_dedup, mixing, quality_rules, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LINE = "a line that is long enough and that every document of this table has"
@@ -59,3 +59,13 @@ def test_every_archive_file_begins_with_its_head_record(spark, tmp_path, limit):
 def test_a_file_needs_room_for_a_record(spark, tmp_path):
     with pytest.raises(ValueError):
         warc.write_arc(spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string"), f"{tmp_path}/a", max_records=1)
+
+
+def test_mixing(spark):
+    names = ("__row", "__id", "__spans", "__size", "row", "src", "h", "block", "turn", "size", "target")
+    plain = docs(spark).repartition(2)
+    wide = clashing(plain, *names)
+    out = mixing.mixed_documents(wide, mixing.mix_sources(wide, block_words=4, shard_slots=16))
+    want = mixing.mixed_documents(plain, mixing.mix_sources(plain, block_words=4, shard_slots=16))
+    assert out.columns == wide.columns and sorted(out.select(plain.columns).collect()) == sorted(want.collect())
+    assert {r["__row"] for r in out.collect()} == {"x"} and out.count() > 0

@@ -165,7 +165,25 @@ def test_mixing(spark, corpus):
     want = mixing.source_targets([(s, v[0]) for s, v in per.items()])
     assert {s: (n, t) for s, n, t in want} == {s: (v[0], v[2]) for s, v in per.items()}
     for _, taken, target in per.values():
-        assert abs(taken - target) <= 16 * 6
+        assert abs(taken - target) <= 16 * 2
+
+
+def test_small_sources_meet_their_slots_over_many_shards():
+    """20 large and 2,000 small sources over 1,207 shards: totals are exact, and any task finds the same counts."""
+    wanted, shards = np.array([240_000] * 20 + [70] * 2000 + [0, 1]), 1207
+    rows = list(mixing.shard_counts(wanted, shards, 0, shards, 3))
+    total, sizes = np.zeros(len(wanted), int), []
+    for at, (shard, src, n, before) in enumerate(rows):
+        assert shard == at and (n > 0).all() and (before == total[src]).all()
+        total[src] += n
+        sizes.append(n.sum())
+    assert (total == wanted).all() and len(rows) == shards
+    mean = wanted.sum() / shards
+    assert 0.6 * mean < np.var(sizes) < 1.4 * mean       # as of a multinomial draw
+    for first, last in ((0, 32), (32, 64), (1184, 1216)):
+        for got, want in zip(mixing.shard_counts(wanted, shards, first, last, 3), rows[first:last], strict=True):
+            assert all(np.array_equal(a, b) for a, b in zip(got, want))
+    assert list(mixing.shard_counts(np.array([0, 0]), 0, 0, 32, 3)) == []
 
 
 def test_mixed_documents(spark, corpus):
