@@ -1,21 +1,24 @@
 """Operator 4: document quality by co-training two views.
 
-The text view sees hashed byte pairs and the shape of the text; the metadata view sees
-language, source and length. Both are logistic models. In every round each view is
-calibrated on held-out labels, scores a pool of unlabelled documents, and hands the ones
-it is sure of, with its label, to the other view, which then trains on them as well. Rounds end
-early when neither view is sure of a document that the other one has not been given.
-At the end the calibrated views are combined by a logistic model of their log-odds,
-fitted on the held-out labels, and every document is scored.
-
-Only fitting is bounded: ``max_labelled`` labelled documents and a pool of ``max_pool``
-documents, those of lowest hash. Their features are stored as fixed-size vectors (at most
-46 MB), one task fits the models on them, and only the models, a few kilobytes, come to the
-driver. Scores cover all rows, without a shuffle.
+The text view sees hashed byte pairs and the wording; the metadata view sees language,
+source and length of the record and the layout of its page, which the text view does not get. Both
+are logistic models, calibrated on held-out labels (a third of them, by id). In every round
+each view scores all documents without a label, and of each class the ``per_round`` surest
+(in the classes' proportion, by rank over the whole corpus) go to the other view with the label
+it gave them; the surer it was, the more they weigh. Rounds end early when nothing new is handed over. At the
+end the calibrated views are combined by a logistic model of their log-odds, with weights of 0 or
+more, fitted on the held-out labels, and every document is scored.
+
+What learns is bounded: ``max_labelled`` labelled rows, those of lowest hash, and ``per_round`` handed-over rows a
+round and view; one task fits the models on their vectors, and only the models, a few kilobytes, and the numbers
+of the handed-over rows come to the driver. Who is handed over is not: the views of all rows are written once as
+vectors (about 1.6 kB a row before compression) and every row without a label is scored in every round. Scores cover all rows.
 
 Defined cases: null or empty text has zero features and is scored from them; null
-metadata are values of their own; null labels teach nothing; without labels of both
-kinds every score is 0.5 and nothing is rejected. Other columns pass through.
+metadata are values of their own; null labels teach nothing; rows without an id have no label and
+take part as such; rows that repeat an id share its label; without labels of both
+kinds every score is 0.5 and nothing is rejected. ``text_score``, ``meta_score``, ``score`` and ``kept`` replace
+input columns of these names in ``score`` and ``classify``; other columns pass through, in ``keep_good`` all do.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections.abc import Iterator
-from dataclasses import astuple, dataclass
+from dataclasses import astuple, dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -31,24 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import ship, stored
-from newsloom.llm.features import TEXT_DIM, text_features
+from newsloom.llm.common import replaced, ship, stored, temporary
+from newsloom.llm.features import TEXT_DIM, meta_matrix, meta_slots, text_features
 
 ship(__name__)
 
-LANGS, SOURCES, LENGTHS = 32, 128, 24
-META_DIM = LANGS + SOURCES + LENGTHS
-
-
-def meta_features(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
-    out = np.zeros(META_DIM, np.float32)
-    slot = lambda value, n: 0 if value is None else 1 + zlib.crc32(value.encode("utf-8", "surrogatepass")) % (n - 1)
-    out[slot(lang, LANGS)] = 1
-    out[LANGS + slot(source, SOURCES)] = 1
-    size = 0 if n_chars is None else 1 + min(LENGTHS - 2, int(2 * np.log10(max(1, n_chars))))
-    out[LANGS + SOURCES + size] = 1
-    return out
-
 
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -112,135 +102,173 @@ def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tup
 class CoTrained:
     text: Logistic
     meta: Logistic
-    mixed: np.ndarray                       # weights of the two log-odds, intercept
-    exchanged: list[tuple[int, int]]        # per round: labels given to the text view, to the metadata view
+    mixed: np.ndarray                       # weights of the two log-odds (0 or more), intercept
+    share: float                            # of good ones among the labels
+    held_out: tuple[float, float, float]    # area under the curve on held-out labels: text view, metadata view, both
+    exchanged: tuple = ()                   # per round: labels given to the text view, to the metadata view
+
+    def odds(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.text.calibrated(text), self.meta.calibrated(meta)
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        a, b = self.text.calibrated(text), self.meta.calibrated(meta)
+        a, b = self.odds(text, meta)
         return _sigmoid(a), _sigmoid(b), _sigmoid(a * self.mixed[0] + b * self.mixed[1] + self.mixed[2])
 
 
-def co_train(
-    text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray,
-    rounds: int = 3, sure: float = 0.95, per_round: int = 500,
-) -> CoTrained | None:
-    """``y`` is 1 for good, 0 for bad; rows come in a fixed random order, every third is held out."""
-    held = np.arange(len(y)) % 3 == 0
-    fit = ~held
-    if min(len(set(y[fit])), len(set(y[held]))) < 2:
+def learn(text: np.ndarray, meta: np.ndarray, y: np.ndarray, weight: np.ndarray, view: np.ndarray, held: np.ndarray) -> CoTrained | None:
+    """Both views from labelled rows (``view`` is empty) and from rows handed to ``view``; ``held`` marks labelled rows that only calibrate."""
+    known = (view == "") & ~held
+    if min(len(set(y[known])), len(set(y[held]))) < 2:
         return None
-    views = {"text": (text, pool_text), "meta": (meta, pool_meta)}
-    given = {name: (np.empty(0, int), np.empty(0)) for name in views}
-    models, exchanged = {}, []
-    for turn in range(rounds + 1):
-        for name, (x, pool) in views.items():
-            rows, labels = given[name]
-            models[name] = Logistic.fit(
-                np.vstack((x[fit], pool[rows])), np.concatenate((y[fit], labels)),
-                np.concatenate((np.ones(fit.sum()), np.full(len(rows), 0.3))),
-            )
-            models[name].calibrate(x[held], y[held])
-        if turn == rounds or not len(pool_text):
-            break
-        new = {}
-        for name, other in (("text", "meta"), ("meta", "text")):
-            p = _sigmoid(models[name].calibrated(views[name][1]))
-            free = np.setdiff1d(np.arange(len(p)), given[other][0])
-            good = free[p[free] >= sure]
-            bad = free[p[free] <= 1 - sure]
-            share = y[fit].mean()           # keep the proportion of the labels
-            good = good[np.argsort(-p[good], kind="stable")][:int(per_round * share)]
-            bad = bad[np.argsort(p[bad], kind="stable")][:max(1, int(per_round * (1 - share)))]
-            new[other] = np.concatenate((good, bad)), np.concatenate((np.ones(len(good)), np.zeros(len(bad))))
-        if not any(len(rows) for rows, _ in new.values()):
-            break                           # nothing new to learn from: a further round would fit the same models
-        for name, (rows, labels) in new.items():
-            given[name] = np.concatenate((given[name][0], rows)), np.concatenate((given[name][1], labels))
-        exchanged.append((len(new["text"][0]), len(new["meta"][0])))
-    odds = np.column_stack((models["text"].calibrated(text[held]), models["meta"].calibrated(meta[held]), np.ones(held.sum())))
-    w = np.array([1.0, 0.0, 0.0])
-    goal = np.clip(y[held], 0.01, 0.99)
-    for _ in range(30):
-        p = _sigmoid(odds @ w)
-        w -= np.clip(np.linalg.solve((odds * (p * (1 - p))[:, None]).T @ odds + 1e-2 * np.eye(3), odds.T @ (p - goal) + 1e-2 * (w - (1, 0, 0))), -1, 1)
-    return CoTrained(models["text"], models["meta"], w, exchanged)
-
-
-_VECTORS = pa.schema([("id", pa.int64()), ("y", pa.int32()), ("text", pa.binary()), ("meta", pa.binary())])
-
-
-def _vectors(rows: DataFrame) -> DataFrame:
-    """(id, y, text, meta) of rows with __id, __y and the columns of documents."""
+    models = {}
+    for name, x in (("text", text), ("meta", meta)):
+        rows = known | (view == name)
+        models[name] = Logistic.fit(x[rows], y[rows], weight[rows])
+        models[name].calibrate(x[held], y[held])
+    odds = np.column_stack((models["text"].calibrated(text[held]), models["meta"].calibrated(meta[held])))
+    mixed = combine(odds, y[held])
+    scores = (odds[:, 0], odds[:, 1], odds @ mixed[:2])
+    return CoTrained(models["text"], models["meta"], mixed, float(y[known].mean()), tuple(area(z, y[held]) for z in scores))
+
+
+def combine(odds: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the log-odds, none below 0, and an intercept, through smoothed labels; Newton steps, drawn towards the first view alone."""
+    x, prior = np.column_stack((odds, np.ones(len(y)))), np.array([1.0, 0.0, 0.0])
+    goal = np.where(y == 1, 1 - 1 / ((y == 1).sum() + 2), 1 / ((y == 0).sum() + 2))
+    w, free = prior.copy(), np.ones(3, bool)
+    while True:
+        for _ in range(30):
+            p, z = _sigmoid(x @ w), x[:, free]
+            h = (z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(free.sum())
+            w[free] -= np.clip(np.linalg.solve(h, z.T @ (p - goal) + 1e-2 * (w - prior)[free]), -1, 1)
+        below = (w < 0) & np.array([True, True, False])
+        if not below.any():
+            return w
+        w[below], free = 0.0, free & ~below
+
+
+def area(z: np.ndarray, y: np.ndarray) -> float:
+    """Area under the curve, ties counted half."""
+    good, bad = z[y == 1], np.sort(z[y == 0])
+    below = np.searchsorted(bad, good, "left") + np.searchsorted(bad, good, "right")
+    return float(below.sum() / (2 * len(good) * len(bad)))
+
+
+_VECTORS = pa.schema([
+    ("row", pa.int64()), ("h", pa.int64()), ("id", pa.int64()), ("y", pa.int32()), ("text", pa.binary()), ("meta", pa.binary()),
+])
+
+
+def _views(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Number, hash, id, label (null: none) and the two vectors of every row, written once."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, ys, texts, langs, sources, chars = (batch.column(i).to_pylist() for i in range(6))
+            texts, langs, sources, chars = (batch.column(i).to_pylist() for i in range(4, 8))
             yield pa.record_batch([
-                pa.array(ids, pa.int64()), pa.array(ys, pa.int32()),
-                pa.array([text_features(t).tobytes() for t in texts], pa.binary()),
-                pa.array([meta_features(*m).tobytes() for m in zip(langs, sources, chars)], pa.binary()),
+                *(batch.column(i).cast(_VECTORS.field(i).type) for i in range(4)),
+                pa.array([text_features(t).astype(np.float16).tobytes() for t in texts], pa.binary()),
+                pa.array([meta_slots(*m).tobytes() for m in zip(langs, sources, chars, texts)], pa.binary()),
             ], schema=_VECTORS)
 
-    return rows.select("__id", "__y", *_inputs()).mapInArrow(make, "id long, y int, text binary, meta binary")
+    text, lang, source, chars = _inputs()
+    plain = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("h"),
+        F.col("doc_id").cast("long").alias("id"), text.alias("text"), lang.alias("lang"), source.alias("source"), chars.alias("chars"),
+    )
+    rows = plain.join(F.broadcast(chosen), "id", "left").select("row", "h", "id", "y", "text", "lang", "source", "chars")
+    return stored(rows.mapInArrow(make, "row long, h long, id long, y int, text binary, meta binary"), "views")
+
+
+def _matrices(text, meta) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of Arrow columns of vectors."""
+    texts = np.empty((len(text), TEXT_DIM), np.float32)
+    for at, value in enumerate(text):
+        texts[at] = np.frombuffer(value.as_buffer(), np.float16)
+    slots = [np.frombuffer(value.as_buffer(), np.int16) for value in meta]
+    return texts, meta_matrix(np.array(slots, np.int64))
 
 
 def _inputs():
     return (F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool: int = 6000) -> CoTrained | None:
-    chosen = (
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, rounds: int = 3, per_round: int = 500) -> CoTrained | None:
+    spark = docs.sparkSession
+    chosen = stored(
         labels.where("doc_id is not null and quality is not null")
-        .groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min("quality").cast("int").alias("__y"))
-        .orderBy(F.xxhash64("__id"), "__id").limit(max_labelled)
-    )
-    pool = (
-        docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("__id"))
-        .orderBy(F.xxhash64(F.lit(2), "__id"), "__id").limit(max_pool).select("__id", F.lit(-1).alias("__y"))
+        .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").cast("int").alias("y"))
+        .orderBy(F.xxhash64("id"), "id").limit(max_labelled), "chosen",
     )
-    wanted = stored(chosen.union(pool), "chosen")
-    both = docs.join(F.broadcast(wanted), F.col("doc_id").cast("long") == F.col("__id"))
-    vectors = stored(_vectors(both), "vectors")
-    made = vectors.coalesce(1).mapInArrow(_fit_rows, "model binary").head()
+    views = _views(docs, chosen)
+    labelled = views.where("y is not null").orderBy(F.xxhash64("id"), "h", "row").limit(max_labelled)
+    taught = stored(labelled.select("id", "y", F.lit("").alias("view"), F.lit(1.0).alias("weight"), "text", "meta"), "labelled")
+    model, given, exchanged = _learned(taught), [], []
+    for _ in range(rounds if model else 0):
+        new = _surest(views, model, given, per_round)
+        if not new:
+            break                           # nothing new to learn from: a further round would fit the same models
+        given += new
+        exchanged.append(tuple(sum(g.view == name for g in new) for name in ("text", "meta")))
+        named = spark.createDataFrame([tuple(g) for g in new], "row long, view string, y int, weight double")
+        taught = taught.unionByName(stored(views.drop("y").join(F.broadcast(named), "row").select(taught.columns), "given"))
+        model = _learned(taught)
+    return replace(model, exchanged=tuple(exchanged)) if model else None
+
+
+def _surest(views: DataFrame, model: CoTrained, given: list, per_round: int) -> list:
+    """(row, the view to be taught, label, weight): of all rows without a label, those each view is surest of, per
+    class at most the class's share of ``per_round``, without those the other view was given before."""
+    spark, good = views.sparkSession, int(per_round * model.share)
+    shared = spark.sparkContext.broadcast(model)
+
+    def odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                made = shared.value.odds(*_matrices(batch.column(2), batch.column(3)))
+                yield pa.record_batch([*batch.columns[:2], *(pa.array(z, pa.float64()) for z in made)], names=["row", "h", "text", "meta"])
+
+    free = views.where("y is null").select("row", "h", "text", "meta")
+    scored = stored(free.mapInArrow(odds, "row long, h long, text double, meta double"), "odds")
+    seen = spark.createDataFrame([(g.row, g.view) for g in given], "row long, view string")
+    parts = None
+    for giver, to in (("text", "meta"), ("meta", "text")):
+        left = scored.join(F.broadcast(seen.where(F.col("view") == to)), "row", "left_anti").select("row", "h", F.col(giver).alias("z"))
+        for y, most, order in ((1, good, -F.col("z")), (0, per_round - good, F.col("z"))):
+            best = left.where("z > 0" if y else "z < 0").orderBy(order, "h", "row").limit(most).select(
+                "row", F.lit(to).alias("view"), F.lit(y).alias("y"), (0.3 * F.tanh(F.abs("z") / 2)).alias("weight")
+            )
+            parts = best if parts is None else parts.union(best)
+    return sorted(parts.collect())
+
+
+def _learned(taught: DataFrame) -> CoTrained | None:
+    made = taught.coalesce(1).mapInArrow(_fit_rows, "model binary").head()
     if made is None:
         return None
-    text, meta, mixed, exchanged = pickle.loads(made["model"])
-    return CoTrained(Logistic(*text), Logistic(*meta), mixed, exchanged)
+    text, meta, *rest = pickle.loads(made["model"])
+    return CoTrained(Logistic(*text), Logistic(*meta), *rest)
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The model of all vectors, as a pickled tuple; no row if there is nothing to learn."""
-    rows = pa.Table.from_batches(batches, schema=_VECTORS)
-    model = _fit_table(rows)
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches)
+    y, weight, view = (rows[name].to_numpy() for name in ("y", "weight", "view"))
+    held = np.array([v == "" and zlib.crc32(str(i).encode()) % 3 == 0 for v, i in zip(view, rows["id"].to_pylist())])
+    model = learn(*_matrices(rows["text"], rows["meta"]), y.astype(float), weight, view, held)
     if model is not None:
         yield pa.record_batch([pa.array([pickle.dumps(astuple(model))], pa.binary())], names=["model"])
 
 
-def _fit_table(rows: pa.Table) -> CoTrained | None:
-    ids, ys = rows["id"].to_numpy(), rows["y"].to_numpy()
-    # of a document that is labelled and in the pool the label counts; the order is fixed and random
-    order = np.lexsort((ys, ids))
-    once = order[np.append(ids[order][1:] != ids[order][:-1], True)] if len(ids) else order
-    once = np.array(sorted(once, key=lambda i: zlib.crc32(str(ids[i]).encode())), int)
-    known, free = once[ys[once] >= 0], once[ys[once] < 0]
-    if not len(known):
-        return None
-
-    def matrix(part, name, dim):
-        out = np.empty((len(part), dim), np.float32)
-        for at, i in enumerate(part):
-            out[at] = np.frombuffer(rows[name][i].as_buffer(), np.float32)
-        return out
-
-    text, meta = matrix(known, "text", TEXT_DIM), matrix(known, "meta", META_DIM)
-    pool_text, pool_meta = matrix(free, "text", TEXT_DIM), matrix(free, "meta", META_DIM)
-    return co_train(text, meta, ys[known].astype(float), pool_text, pool_meta)
+NAMES = ("text_score", "meta_score", "score")
 
 
-def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
-    """``docs`` with text_score, meta_score and score: how likely the document is good."""
-    names = ("text_score", "meta_score", "score")
+def _scores(docs: DataFrame, model: CoTrained | None):
+    """A struct of the three scores, as a column of ``docs``."""
     if model is None:
-        return docs.select("*", *(F.lit(0.5).alias(n) for n in names))
+        return F.struct(*(F.lit(0.5).alias(n) for n in NAMES))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("text_score double, meta_score double, score double")
@@ -250,23 +278,30 @@ def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
             cut = slice(at, at + 512)
             made = shared.value.score(
                 np.stack([text_features(t) for t in text[cut]]),
-                np.stack([
-                    meta_features(*(None if v is None or v != v else v for v in m))
-                    for m in zip(lang[cut], source[cut], chars[cut])
-                ]),
+                meta_matrix(np.stack([
+                    meta_slots(*(None if v is None or v != v else v for v in m))
+                    for m in zip(lang[cut], source[cut], chars[cut], text[cut])
+                ])),
             )
             out.append(np.column_stack(made))
-        return pd.DataFrame(np.vstack(out) if out else np.empty((0, 3)), columns=list(names)).astype(float)
+        return pd.DataFrame(np.vstack(out) if out else np.empty((0, 3)), columns=list(NAMES)).astype(float)
 
-    return docs.withColumn("__scores", scores.asNondeterministic()(*_inputs())).select(
-        *(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"__scores.{n}") for n in names)
-    )
+    return scores.asNondeterministic()(*_inputs())
+
+
+def score(docs: DataFrame, model: CoTrained | None) -> DataFrame:
+    """``docs`` with text_score, meta_score and score: how likely the document is good."""
+    made = temporary("scores")
+    scored = docs.withColumn(made, _scores(docs, model))
+    return replaced(scored, *NAMES).select("*", *(F.col(f"{made}.{n}") for n in NAMES)).drop(made)
 
 
 def classify(docs: DataFrame, labels: DataFrame, reject_below: float = 0.3) -> DataFrame:
     """All rows with their scores and ``kept``."""
-    return score(docs, fit(docs, labels)).withColumn("kept", F.col("score") >= reject_below)
+    return replaced(score(docs, fit(docs, labels)), "kept").withColumn("kept", F.col("score") >= reject_below)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, reject_below: float = 0.3) -> DataFrame:
-    return classify(docs, labels, reject_below).where("kept")
+    """The rows that are not rejected, with their columns as they were."""
+    made = temporary("scores")
+    return docs.withColumn(made, _scores(docs, fit(docs, labels))).where(F.col(f"{made}.score") >= reject_below).drop(made)
