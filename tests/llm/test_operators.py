@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
-    decontaminate, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, substring_dedup, toxicity, warc,
+    decontaminate, features, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, substring_dedup, toxicity, warc,
 )
 from newsloom.llm import queries as llm
 from newsloom.session import scratch
@@ -228,15 +228,62 @@ def _labelled(n=240, seed=5):
 
 def test_co_training(spark):
     rows, labels = _labelled()
-    docs = docs_of(spark, rows + ODD + [(None, "x", None)]).withColumn("score", F.lit("clash"))
+    names = ("score", "text_score", "META_score", "kept", "row", "h", "id", "y", "view", "__id", "__y", "__scores")
+    docs = docs_of(spark, rows + ODD + [(None, "x", None)]).withColumns({name: F.lit("clash") for name in names})
     known = spark.createDataFrame(labels[:160] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
-    model = quality_model.fit(docs.drop("score"), known)
+    model = quality_model.fit(docs, known)
     assert model.exchanged and all(a + b for a, b in model.exchanged)
-    got = quality_model.score(docs.drop("score"), model).collect()
+    assert (model.mixed[:2] >= 0).all() and all(0.5 < v <= 1 for v in model.held_out)
+    got = quality_model.score(docs, model).collect()
     assert len(got) == len(rows) + len(ODD) + 1 and all(0 <= r.score <= 1 for r in got)
     truth = {i: q for i, q, _ in labels[160:]}
     wrong = sum((r.score >= 0.5) != truth[r.doc_id] for r in got if r.doc_id in truth)
     assert wrong <= 2
+    kept = quality_model.keep_good(docs, known)
+    assert kept.columns == docs.columns and {r["kept"] for r in kept.collect()} == {"clash"}
+    out = quality_model.classify(docs, known)
+    assert [c for c in out.columns if c.lower() in ("kept", "score", "meta_score")] == ["meta_score", "score", "kept"]
+
+
+def test_labels_handed_over_are_the_surest_of_all_rows(spark):
+    """Against brute force: every unlabelled row is scored by numpy alone and ranked within its class."""
+    rows, labels = _labelled()
+    rows += [(1000 + i, t, s) for i, (_, t, s) in enumerate(_labelled(300, seed=8)[0])]
+    docs = docs_of(spark, rows + ODD + ODD + [(None, "x", None)])
+    known = spark.createDataFrame(labels[:160], "doc_id long, quality int, toxic int")
+    model = quality_model.fit(docs, known, rounds=0)
+    chosen = known.selectExpr("doc_id as id", "quality as y")
+    views = quality_model._views(docs, chosen)
+    assert views.count() == docs.count() and views.where("y is not null").count() == 160
+    free = views.where("y is null").collect()
+    odds = {
+        r.row: model.odds(
+            np.frombuffer(r.text, np.float16).astype(np.float32)[None],
+            features.meta_matrix(np.frombuffer(r.meta, np.int16).astype(int)[None]),
+        ) for r in free
+    }
+    given = []
+    for _ in range(2):
+        got = quality_model._surest(views, model, given, 40)
+        for at, to in ((0, "meta"), (1, "text")):
+            taken = {g.row for g in given if g.view == to}
+            for y, most, sign in ((1, int(40 * model.share), 1), (0, 40 - int(40 * model.share), -1)):
+                sure = sorted((float(sign * v[at][0]) for r, v in odds.items() if r not in taken and sign * v[at][0] > 0), reverse=True)
+                mine = sorted((float(sign * odds[g.row][at][0]) for g in got if (g.view, g.y) == (to, y)), reverse=True)
+                assert np.allclose(mine, sure[:most], atol=1e-4) and mine
+        assert not {(g.row, g.view) for g in got} & {(g.row, g.view) for g in given}
+        given += got
+
+
+def test_combined_views_never_count_against_a_label():
+    rng = np.random.default_rng(1)
+    y = (rng.random(600) < 0.7).astype(float)
+    sure, noise = (2 * y - 1) * 2 + rng.normal(0, 1.5, 600), rng.normal(0, 1, 600)
+    for odds in ((sure, noise), (sure, -sure * 0.2 + noise), (noise, sure)):
+        w = quality_model.combine(np.column_stack(odds), y)
+        assert (w[:2] >= 0).all() and w[0 if odds[0] is sure else 1] > 0.5
+    pairs = [(a > b) + 0.5 * (a == b) for a in sure.round(1)[y == 1] for b in sure.round(1)[y == 0]]
+    assert abs(quality_model.area(sure.round(1), y) - np.mean(pairs)) < 1e-9
 
 
 def test_co_training_without_labels(spark):
