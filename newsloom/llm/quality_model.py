@@ -62,6 +62,7 @@ class Logistic:
         z[:, :-1] *= scale
         w = np.zeros(z.shape[1], np.float32)
         m, v, part = w.copy(), w.copy(), (importance / importance.sum()).astype(np.float32)
+        y = y.astype(np.float32)            # else every step would copy z in double precision
         for t in range(1, steps + 1):
             g = z.T @ ((_sigmoid(z @ w) - y) * part) + decay * np.append(w[:-1], 0)
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
