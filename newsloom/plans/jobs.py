@@ -31,7 +31,7 @@ from newsloom.sources.files import (
 from newsloom.sources.sitemaps import read_sitemaps
 from newsloom.streaming.keystore import KeyStore
 from newsloom.streaming.sinks import append_first_seen, ingest_stream, read_committed, run_of, write_committed
-from newsloom.streaming.sources import stream_files
+from newsloom.streaming.sources import files_per_batch, stream_files
 
 
 def archive_job(
@@ -234,22 +234,26 @@ def archive_stream(
 
     Both appear with one commit per batch; read them with ``read_archive_stream``. A record delivered again
     is ignored, and of several in one batch the first by (page, file path, place) stays. Records
-    without an id all stay.
+    without an id all stay. A run that is not ``continuous`` reads a long backlog in larger batches (``files_per_batch``).
     """
     def outputs(files: DataFrame, batch_id: int):
         place = F.struct(F.coalesce("page", F.lit(2**62)).alias("page"), "path", "pos")
         landed, kept = scratch(spark, "records"), scratch(spark, "kept")
-        map_archive_record(posts_of(files).withColumn("__place", place), profile, keep=("__place",)).write.parquet(landed)
-        rows = spark.read.parquet(landed)
+        parsed = map_archive_record(posts_of(files).withColumn("__place", place), profile, keep=("__place",))
+        parsed.write.parquet(landed)
+        rows = spark.read.schema(parsed.schema).parquet(landed)
         store = KeyStore(spark, f"{out}/_keys", rows.schema["id"].dataType)
         named = rows.select("id").where("id is not null").distinct()
         seen = store.seen(named, "id", run_of(checkpoint), batch_id)
-        dedup_keep_first(rows, "id", "__place").drop("__place").join(seen, "id", "left_anti").select(
-            *schemas.ARTICLES_ARCHIVE.fieldNames()).write.parquet(kept)
-        records = spark.read.parquet(kept)
+        fresh = dedup_keep_first(rows, "id", "__place").drop("__place").join(seen, "id", "left_anti").select(
+            *schemas.ARTICLES_ARCHIVE.fieldNames())
+        fresh.write.parquet(kept)
+        records = spark.read.schema(fresh.schema).parquet(kept)
         store.add(records.select("id").where("id is not null"), "id", run_of(checkpoint), batch_id)
         return {"records": records, "quarantine": broken_pages(files)}, [landed, kept]
 
+    if not continuous:
+        files_per_trigger = files_per_batch(spark, pages_dir, files_per_trigger)
     return write_committed(outputs, stream_archive_files(spark, pages_dir, files_per_trigger), out, checkpoint, continuous)
 
 

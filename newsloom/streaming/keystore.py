@@ -30,15 +30,16 @@ class KeyStore:
     def bucket(self, column: str):
         return F.pmod(F.xxhash64(F.col(column)), F.lit(self.buckets)).cast("int")
 
-    def _rows(self, entry: dict, touched: list[int] | None = None) -> DataFrame | None:
-        """Keys of one entry; of a segment only those in the buckets ``touched``."""
-        base = f"{self.folder}/{entry['name']}"
-        if not entry["level"]:
-            return self.spark.read.schema(self.schema).parquet(base)
-        wanted = [b for b in entry["buckets"] if touched is None or b in touched]
-        if not wanted:
-            return None
-        return self.spark.read.schema(self.schema).parquet(*(f"{base}/bucket={b}" for b in wanted))
+    def _rows(self, entries: list[dict], touched: set[int] | None = None) -> DataFrame:
+        """Keys of entries, in one read; of segments only those in the buckets ``touched``."""
+        paths = []
+        for entry in entries:
+            base = f"{self.folder}/{entry['name']}"
+            if entry["level"]:
+                paths += [f"{base}/bucket={b}" for b in entry["buckets"] if touched is None or b in touched]
+            else:
+                paths.append(base)
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def seen(self, keys: DataFrame, column: str, run: str, batch_id: int) -> DataFrame:
         """(``column``): keys that other batches have stored, as far as they can be among ``keys``."""
@@ -46,11 +47,8 @@ class KeyStore:
         touched = None
         if any(e["level"] for e in entries):
             touched = {r[0] for r in keys.select(self.bucket(column)).distinct().collect()}    # at most ``buckets`` rows
-        out = self.spark.createDataFrame([], self.schema)
-        for rows in filter(None, (self._rows(e, touched) for e in entries)):
-            out = out.unionByName(rows)
         mine = (F.col("run") == run) & (F.col("batch_id") == batch_id)
-        return out.where(~mine).select(F.col("key").alias(column))
+        return self._rows(entries, touched).where(~mine).select(F.col("key").alias(column))
 
     def add(self, keys: DataFrame, column: str, run: str, batch_id: int) -> None:
         """Store the new keys of a batch; done twice it is as done once."""
@@ -66,11 +64,7 @@ class KeyStore:
         level, gone = 0, []
         while len(full := [e for e in entries if e["level"] == level]) >= self.fan:
             name = f"segments/{level + 1}-{uuid.uuid4().hex}"
-            rows = [self._rows(e) for e in full]
-            whole = rows[0]
-            for more in rows[1:]:
-                whole = whole.unionByName(more)
-            cut = whole.withColumn("bucket", self.bucket("key"))
+            cut = self._rows(full).withColumn("bucket", self.bucket("key"))
             cut.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.folder}/{name}")
             found = sorted(r[0] for r in cut.select("bucket").distinct().collect())
             merged = [n for e in full for n in (e["merged"] or [e["name"]])]

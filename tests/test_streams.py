@@ -105,3 +105,16 @@ def test_posts_stream_in_as_json(spark, tmp_path):
     stream = stream_files(spark, f"{tmp_path}/in", schemas.URL_LIST, fmt="json")
     sinks.ingest_stream(stream, f"{tmp_path}/out", f"{tmp_path}/m")
     assert spark.read.parquet(f"{tmp_path}/out").select(F.max("url")).first()[0] == "u"
+
+
+def test_a_long_backlog_of_archive_pages_takes_few_batches(spark, tmp_path):
+    """Sixty page files, one of them broken, and a batch of one file: no batch for each, and every record once."""
+    folder, out, mark = (f"{tmp_path}/{name}" for name in ("landed", "out", "mark"))
+    pages = [(f'[{{"id":{2 * n},"slug":"a"}},{{"id":{2 * n - 1},"slug":"b"}}]',) for n in range(59)] + [('{"code":1}',)]
+    spark.createDataFrame(pages, "value string").repartition(4).write.option("maxRecordsPerFile", 1).text(folder)
+    for _ in range(2):
+        jobs.archive_stream(spark, folder, out, mark, SITE, files_per_trigger=1)
+        records, broken = jobs.read_archive_stream(spark, out)
+        assert sorted(r.id for r in records.collect()) == list(range(-1, 117)) and broken.count() == 1
+    batches = len(sinks.Manifest(spark, f"{out}/_manifest").entries())
+    assert 1 < batches <= 16
