@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import sys
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.session import drop_scratch
@@ -18,42 +17,50 @@ from newsloom.sinks.files import PART_BYTES
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FLUSH_BYTES = 1 << 14                       # text between two measurements
+SLACK = 0.01                                # of the limit: a line more also changes how those before it are packed
 
 
 class Measure:
-    """Compressed size of the lines of one part so far, at most."""
+    """Compressed size of the lines of one part, were it closed now.
+
+    Nothing is flushed in between, as the writer flushes nothing: flushed pieces pack mixed text better than
+    the whole does. The size is that of a closed copy, made only when text that is not measured yet,
+    counted in full, would pass the limit: a few times per part.
+    """
 
     def __init__(self):
-        self.packer, self.size, self.open = zlib.compressobj(6, wbits=31), 32, 0
+        self.packer, self.out, self.size, self.open = zlib.compressobj(6, wbits=31), 0, 32, 0
 
     def add(self, line: bytes) -> None:
-        self.size += len(self.packer.compress(line))
+        self.out += len(self.packer.compress(line))
         self.open += len(line)
-        if self.open >= FLUSH_BYTES:
-            self.settle()
 
     def settle(self) -> None:
-        self.size += len(self.packer.flush(zlib.Z_SYNC_FLUSH))
-        self.open = 0
+        self.size, self.open = self.out + len(self.packer.copy().flush()), 0
 
     def fits(self, length: int, limit: int) -> bool:
-        """Whether a line of so many bytes fits for certain; text that is not measured yet counts in full."""
+        """Whether a line of so many bytes fits; text that is not measured yet counts in full."""
+        limit -= int(limit * SLACK)
         if self.size + self.open + length > limit and self.open:
             self.settle()
         return self.size + self.open + length <= limit
 
 
-def _cut(limit: int, prefix: str | None = None):
-    """Lines in order -> (part, place, value); a part ends where the next line might not fit."""
+def _cut(limit: int):
+    """Lines in order -> (part, place, value); a part ends where the next line might not fit.
+
+    A second column names the part a line is in so far, whose lines follow each other; its parts are named after it."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = prefix if prefix is not None else f"{TaskContext.get().partitionId():06d}"
+        head = f"{TaskContext.get().partitionId():06d}"
         part, place, measure = 0, 0, Measure()
         for batch in batches:
             parts, places = [], []
-            for value in batch.column(0):
+            heads = batch.column(1).to_pylist() if batch.num_columns > 1 else [head] * batch.num_rows
+            for value, mine in zip(batch.column(0), heads):
                 line = value.as_py().encode("utf-8", "surrogatepass") + b"\n"
-                if place and not measure.fits(len(line), limit):
+                if mine != head:
+                    head, part, place, measure = mine, 0, 0, Measure()
+                elif place and not measure.fits(len(line), limit):
                     part, place, measure = part + 1, 0, Measure()
                 measure.add(line)
                 parts.append(f"{head}-{part:06d}")
@@ -78,7 +85,7 @@ def write_parts_below(records: DataFrame, path: str, *order_by: str, part_bytes:
 
     Rows are range-partitioned by ``order_by`` (a total order) and sorted; each task fills its parts by the
     measured compressed size of their lines. Written sizes are then checked: the compressor of the writer may
-    differ, so a part above the limit is read again and cut at a tenth less, until none
+    differ, so parts above the limit are read again, all in one job, and cut at a tenth less, until none
     is left. A single record above the limit is a part of its own; only such parts are returned. Names of parts
     sort as their records do.
     """
@@ -88,17 +95,19 @@ def write_parts_below(records: DataFrame, path: str, *order_by: str, part_bytes:
     _write(spread.select(line).mapInArrow(_cut(part_bytes), _CUT), path)
     limit = part_bytes
     while True:
-        over = [r for r in parts_above(spark, path, part_bytes).collect() if r.records > 1]
+        above = parts_above(spark, path, part_bytes)
+        over = [r.path for r in above.where("records > 1").select("path").collect()]
         if not over:
-            return parts_above(spark, path, part_bytes)
+            return above
         limit = limit * 9 // 10
-        for r in over:
-            # one file of one part: few, and small by their nature
-            draft = f"{path}/_draft-{uuid.uuid4().hex}"
-            whole = spark.read.text(r.path).coalesce(1)
-            _write(whole.mapInArrow(_cut(limit, f"{r.part}"), _CUT), draft)
-            spark.read.text(draft).select("part", "value").coalesce(1).write.mode("append").option("compression", "gzip").partitionBy("part").text(path)
-            drop_scratch(spark, r.path, draft)
+        # a file of one part is read by one task, from its first line to its last: gzip is not split
+        whole = spark.read.text(over).select("value", _part_of(F.col("_metadata.file_path")))
+        _write(whole.mapInArrow(_cut(limit), _CUT), path)
+        drop_scratch(spark, *over)
+
+
+def _part_of(path: Column) -> Column:
+    return F.regexp_extract(path, "part=([^/]+)/", 1).alias("part")
 
 
 def parts_above(spark: SparkSession, path: str, part_bytes: int) -> DataFrame:
@@ -109,7 +118,7 @@ def parts_above(spark: SparkSession, path: str, part_bytes: int) -> DataFrame:
     found = spark.createDataFrame([], "path string, part string, records long")
     if paths:
         found = spark.read.text(paths).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("records"))
-        found = found.withColumn("part", F.regexp_extract("path", "part=([^/]+)/", 1))
+        found = found.withColumn("part", _part_of(F.col("path")))
     return over.join(found, "path")
 
 

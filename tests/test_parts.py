@@ -70,3 +70,29 @@ def test_certificate_finds_swaps_inside_and_between_files(spark, tmp_path):
     assert not proof("c", [1, 2, 6], [3, 4, 5])
     empty = spark.createDataFrame([], "id long, ingest_pos struct<file: string, block: long, line: long>")
     assert parts.is_in_order(empty, "id").first().ordered
+
+
+def count_writes(monkeypatch):
+    calls, write = [], parts._write
+    monkeypatch.setattr(parts, "_write", lambda lines, path: calls.append(path) or write(lines, path))
+    return calls
+
+
+def test_text_that_packs_unevenly_is_measured_as_written(spark, tmp_path, monkeypatch):
+    rng, calls = random.Random(4), count_writes(monkeypatch)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 9)))
+    texts = [rng.randbytes(6400).hex() if i % 17 == 0 else "" if i % 5 == 0 else " ".join(word() for _ in range(400)) for i in range(1500)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    assert parts.write_parts_below(rows, f"{tmp_path}/p", "id", part_bytes=100_000).count() == 0
+    assert len(calls) == 1 and max(sizes(tmp_path / "p").values()) <= 100_000
+
+
+def test_parts_above_the_limit_are_cut_in_one_job_a_round(spark, tmp_path, monkeypatch):
+    calls, fits = count_writes(monkeypatch), parts.Measure.fits
+    monkeypatch.setattr(parts.Measure, "fits", lambda self, length, limit: fits(self, length, 3 * limit))
+    rows = records(spark, 900, random.Random(5))
+    assert parts.write_parts_below(rows, f"{tmp_path}/p", "id", part_bytes=8000).count() == 0
+    assert len(sizes(tmp_path / "p")) > 40 and len(calls) <= 14
+    read = spark.read.schema("id long, text string").json(f"{tmp_path}/p")
+    assert sorted(map(tuple, read.select("id", "text").collect())) == sorted(map(tuple, rows.collect()))
+    assert parts.is_in_order(read.withColumn("ingest_pos", file_position()), "id").first().ordered
