@@ -27,7 +27,8 @@ def failure_burst(
 
     Each key's time line is cut into slices of ``slice_windows`` windows; the last
     window of a slice is also given to the next one, as context. So a busy key is
-    spread over many tasks and the frame never looks outside its slice.
+    spread over many tasks. Inside a slice failures are added at their instant and taken off again a window later,
+    so a running sum gives the count, in one step per row however many a window holds.
     """
     width = window_seconds * 1_000_000
     length = width * slice_windows
@@ -38,10 +39,15 @@ def failure_burst(
     own = floor_div(at, length)
     slices = F.when(at > (own + 1) * length - width, F.array(own, own + 1)).otherwise(F.array(own))
     sliced = per_instant.select("*", F.explode(slices).alias("__slice"))
-    frame = Window.partitionBy(key, "__slice").orderBy("ts_micros").rangeBetween(-(width - 1), 0)
+    steps = F.array(*(
+        F.struct(instant.alias("ts_micros"), n.alias("n"), F.lit(real).alias("__own"))
+        for instant, n, real in ((at, F.col("n"), True), (at + width, -F.col("n"), False))
+    ))
+    stepped = sliced.select(key, "__slice", F.explode(steps).alias("__step")).select(key, "__slice", "__step.*")
+    frame = Window.partitionBy(key, "__slice").orderBy("ts_micros").rangeBetween(Window.unboundedPreceding, 0)
     return (
-        sliced.withColumn("failures", F.sum("n").over(frame))
-        .where((F.col("__slice") == own) & (F.col("failures") >= threshold))
+        stepped.withColumn("failures", F.sum("n").over(frame))
+        .where((F.col("__slice") == own) & F.col("__own") & (F.col("failures") >= threshold))
         .select(key, "ts_micros", "failures")
     )
 

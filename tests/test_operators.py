@@ -202,6 +202,32 @@ def test_slices_change_nothing(spark, slices):
     assert got == want
 
 
+def test_a_full_window_is_not_summed_again_at_every_instant(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "a").alias("key"), F.timestamp_millis(F.col("id") % 29_000 + F.lit(86_390_000)).alias("ts")
+    )
+    found = bursts.failure_burst(df, "key", window_seconds=20, threshold=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedpreceding$()" in plan and "specifiedwindowframe(RangeFrame, -" not in plan
+    seen = {}
+    for n in range(30_000):
+        key = "a" if n % 3 == 0 else None
+        seen.setdefault((key, n % 29_000), 0)
+        seen[key, n % 29_000] += 1
+    want = {}
+    for key in ("a", None):
+        times = sorted(t for k, t in seen if k == key)
+        upto, first = 0, 0
+        for t in times:
+            upto += seen[key, t]
+            while times[first] <= t - 20_000:
+                upto -= seen[key, times[first]]
+                first += 1
+            if upto >= 5:
+                want[key, (t + 86_390_000) * 1000] = upto
+    assert {(r.key, r.ts_micros): r.failures for r in found.collect()} == want
+
+
 def brute_triggers(rows, width, need):
     held, out = defaultdict(list), []
     for key, at in sorted(rows, key=lambda r: r[1]):
