@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from newsloom.operators.bursts import burst_triggers
 from newsloom.operators.ledger import TICK_SECONDS, micros_of
@@ -87,14 +87,28 @@ def burst_with_reset(
     )
 
 
+_ENTRY = 1 << 16                            # times in an entry of a state list
+
+
+def _packed(times: np.ndarray) -> list[tuple[bytes]]:
+    return [(times[at:at + _ENTRY].astype("<i8").tobytes(),) for at in range(0, len(times), _ENTRY)]
+
+
+def _unpacked(entries: Iterator[tuple[bytes]]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *(np.frombuffer(values, "<i8") for values, in entries)])
+
+
 class _TimedBursts(StatefulProcessor):
-    """Failures of one key: those that wait for the watermark, and those before it that still count."""
+    """Failures of one key: those that wait for the watermark, and those before it that still count.
+
+    An entry of a state list is up to ``_ENTRY`` times in a row of bytes: an entry each would cost more than the rule.
+    """
 
     def __init__(self, key: str, width: int, need: int):
         self.key, self.width, self.need = key, width, need
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        times = StructType([StructField("ts_micros", LongType())])
+        times = StructType([StructField("times", BinaryType())])
         self.handle = handle
         self.waiting = handle.getListState("waiting", times)
         self.held = handle.getListState("held", times)
@@ -104,14 +118,13 @@ class _TimedBursts(StatefulProcessor):
         new = np.concatenate([b.ts_micros.to_numpy(np.int64) for b in rows])
         new = new[new > reached]            # what is older than the watermark has been decided without it
         if len(new):
-            self.waiting.appendList([(int(t),) for t in new])
+            self.waiting.appendList(_packed(new))
             self._wake(int(new.min()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         reached = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = np.sort(np.array([t for t, in self.waiting.get()], np.int64))
-        held = np.array([t for t, in self.held.get()], np.int64)
+        waiting, held = np.sort(_unpacked(self.waiting.get())), _unpacked(self.held.get())
         due, later = waiting[waiting <= reached], waiting[waiting > reached]
         times = np.concatenate((held, due))
         hits = burst_triggers(times, len(held), self.width, self.need)
@@ -121,7 +134,7 @@ class _TimedBursts(StatefulProcessor):
         for state, values in ((self.waiting, later), (self.held, keep)):
             state.clear()
             if len(values):
-                state.put([(int(t),) for t in values])
+                state.put(_packed(values))
         # the next failure to decide, or the time when the last one held stops to count and nothing is left
         if len(later):
             self._wake(int(later[0]))

@@ -49,6 +49,22 @@ def test_idle_keys_leave_no_state(spark, tmp_path):
     assert {r.key[0] for r in state.select("key").collect()} <= {"z"}
 
 
+def test_waiting_failures_are_few_entries_of_state(spark, tmp_path):
+    """Nine thousand failures wait; the next run decides them as brute force does."""
+    at = [n // 3 * 7 % 99 for n in range(9000)]
+    assert bursts(spark, tmp_path, land(spark, tmp_path, [("k", s) for s in at])) == []
+    state = spark.read.format("statestore").option("stateVarName", "waiting").option("flattenCollectionTypes", True).load(f"{tmp_path}/mark")
+    assert 1 <= state.count() <= 4
+    got = bursts(spark, tmp_path, land(spark, tmp_path, [("z", 9000)]))
+    want, held = [], []
+    for s in sorted(at):
+        held = [t for t in held + [s] if t > s - 60]
+        if len(held) == 3:
+            want.append(("k", s))
+            held = []
+    assert got == sorted(want)
+
+
 def test_key_store_reads_little_and_knows_its_own(spark, tmp_path):
     """Twenty batches of new and old keys: every key once, few entries, own keys not taken for others'."""
     store = KeyStore(spark, f"{tmp_path}/keys", T.LongType(), buckets=4, fan=3)
