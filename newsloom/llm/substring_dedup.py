@@ -12,8 +12,8 @@ may leave up to ``ENDS`` bytes of it outside, both ends together. The run with t
 others are copies of it. What a copy covers is dropped, cut on borders of characters. Every
 dropped byte has an equal one at a smaller (doc_id, place), so one of each stays.
 
-Digests are counted with a combine before the shuffle; the join back to the places has
-one row per shared digest, and a hot digest is split by adaptive execution. Passages are
+Runs are shuffled once, by digest (24 bytes each), and a window over a digest tells its first and its last place;
+a hot digest's rows are one window, which spills. Passages are
 found per document from its own shared runs. A long text is cut in stretches.
 
 Defined cases: a null text and one of less than ``min_bytes`` bytes have no run and stay
@@ -30,10 +30,10 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import mix, replaced, ship, stored, temporary
+from newsloom.llm.common import mix, replaced, ship, temporary
 
 ship(__name__)
 
@@ -146,17 +146,12 @@ def chunked(docs: DataFrame, min_bytes: int) -> DataFrame:
 
 def shared_runs(docs: DataFrame, min_bytes: int) -> DataFrame:
     """Per document its chunk runs that occur elsewhere too: array of (place, first, other)."""
-    made = stored(chunked(docs, min_bytes), "chunks")
-    spot = F.struct("doc_id", "place")
-    often = stored(                         # a table of its own, so that a hot digest can be split in the join
-        made.groupBy("digest").agg(F.min(spot).alias("low"), F.max(spot).alias("high"))
-        .where("low <> high").select("digest", "low", F.col("high.doc_id").alias("last")),
-        "often",
-    )
-    found = made.join(often, "digest").select(
+    spot, alike = F.struct("doc_id", "place"), Window.partitionBy("digest")
+    placed = chunked(docs, min_bytes).withColumns({"low": F.min(spot).over(alike), "high": F.max(spot).over(alike)})
+    found = placed.where("low <> high").select(
         "doc_id", F.struct(
-            "place", (F.struct("doc_id", "place") == F.col("low")).alias("first"),
-            F.when(F.col("low.doc_id") == F.col("doc_id"), F.col("last")).otherwise(F.col("low.doc_id")).alias("other"),
+            "place", (spot == F.col("low")).alias("first"),
+            F.when(F.col("low.doc_id") == F.col("doc_id"), F.col("high.doc_id")).otherwise(F.col("low.doc_id")).alias("other"),
         ).alias("c"),
     )
     return found.groupBy("doc_id").agg(F.array_sort(F.collect_set("c")).alias("found"))
