@@ -23,7 +23,6 @@ the row; repeated rows are packed as often as they occur. Other columns are igno
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,38 +39,21 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_RANKS_BYTES = 32 << 20
 # Fixed value: the split pattern that belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_WHITE = "\t-\r \x85\xa0  -     　"
-# Cuts a text where PATTERN always cuts it as well: in front of a word with its space.
-_CHUNKS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 
 
-class Tokenizer(dict):
-    """Ids of a chunk of text, kept for chunks seen lately."""
-
-    limit = 200_000
+class Tokenizer:
+    """Ids of a text, of the smallest unsigned kind that holds them, with the end mark."""
 
     def __init__(self, ranks_file: bytes):
         import tiktoken
 
-        super().__init__()
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}
         self.end = len(ranks)
+        self.kind = "<u2" if self.end < 1 << 16 else "<u4"
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __missing__(self, chunk: str) -> list[int]:
-        ids = self.encoding.encode_ordinary(chunk)
-        if len(chunk) <= 40:
-            if len(self) >= self.limit:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
     def ids(self, text: str | None) -> np.ndarray:
-        out: list[int] = []
-        for ids in map(self.__getitem__, _CHUNKS.findall(text or "")):
-            out += ids
-        out.append(self.end)
-        return np.array(out, np.uint32)
+        return np.append(self.encoding.encode_to_numpy(text or "", disallowed_special=()), self.end).astype(self.kind)
 
 
 class CapacityTree:
@@ -169,11 +151,11 @@ def pack_tokens(
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(shared.value)
         end, shard = tokenizer.end, TaskContext.get().partitionId()
-        kind = "<u2" if end < 1 << 16 else "<u4"
+        kind = tokenizer.kind
         pieces, held, start = [], 0, 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokenizer.ids(text.as_py()).astype(kind)
+                ids = tokenizer.ids(text.as_py())
                 for k, at in enumerate(range(0, len(ids), length)):
                     pieces.append((doc_id, k, ids[at:at + length]))
                     held += len(pieces[-1][2])

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm import graph_index, importance, merkle
+from newsloom.llm import graph_index, importance, merkle, packing, substring_dedup, toxicity
 from newsloom.llm import queries as llm
 from tests.check import connect, difference
 from tests.conftest import DATA
@@ -281,3 +281,52 @@ def test_recall(spark, shards):
             assert abs(-s - scores[q, i]) < 1e-9
     assert len(got) == 75 and hits >= 0.95 * 20 * 75
     assert index.rows.count() == index.shards
+
+
+# ---------------------------------------------------------------- 5, 7, 10
+
+def _toxic_rows(n, seed=5):
+    rng, rows, labels = random.Random(seed), [], []
+    for i in range(n):
+        words = [rng.choice("river stone cloud paper green seven wheel table north music".split()) for _ in range(rng.randint(20, 60))]
+        if i % 5 == 1:
+            words[rng.randrange(len(words))] = rng.choice(["zorgath", "zorgathen", "blixid", "blixids"])
+        rows.append((i, " ".join(words), "en", None, None))
+        labels.append((i, 1, int(i % 5 == 1)))
+    return rows, labels
+
+
+@pytest.mark.parametrize("part_rows, max_bytes", [(60, 64 << 20), (4000, 2000)])
+def test_every_label_teaches(spark, monkeypatch, part_rows, max_bytes):
+    """In parts, or with room for a few texts at a time: no row is left out, and the layout of the rows changes nothing."""
+    rows, labels = _toxic_rows(800)
+    monkeypatch.setattr(toxicity, "PART_ROWS", part_rows, raising=False)
+    docs, known = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scores = []
+    for laid in (docs.repartition(2), docs.repartition(5, "text")):
+        got = toxicity.score(docs, toxicity.fit(laid, known, max_bytes=max_bytes)).collect()
+        scores.append({r.doc_id: r.score for r in got})
+    held = [r for r in got if r.held_out]
+    assert scores[0] == scores[1] and sum(r.predicted == (r.doc_id % 5 == 1) for r in held) >= 0.95 * len(held)
+
+
+def test_repeated_passages_are_found_with_one_shuffle_of_the_runs(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(6))
+    shared = " ".join(word() for _ in range(80))
+    texts = [" ".join(word() for _ in range(60)) + (" " + shared + " " if i % 2 else " ") + word() for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in enumerate(texts)], DOCS)
+    runs = substring_dedup.shared_runs(docs, 100)
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 0 and plan.count("MapInArrow") == 1
+    got = {r.doc_id: r for r in substring_dedup.dedup_passages(docs).collect()}
+    assert all((r.n_passages > 0) == (i % 2 == 1) for i, r in got.items())
+    assert got[1].dropped_bytes == 0 and got[1].kept_text == texts[1] and all(got[i].dropped_bytes > 300 for i in range(3, 40, 2))
+
+
+def test_token_ids_of_whole_texts(spark):
+    tokenizer = packing.Tokenizer(packing.ranks_bytes(spark, packing.RANKS))
+    odd = "é　   x'll\r\n​\u0085\x1c\x1f 12٠½ <|endoftext|>\U0001f600 "
+    for text in (None, "", " ", "a", " " * 5000 + "x", odd * 50):
+        ids = tokenizer.ids(text)
+        assert ids.dtype == np.dtype("<u2") and ids.tolist() == [*tokenizer.encoding.encode_ordinary(text or ""), tokenizer.end]
